@@ -23,6 +23,7 @@ from driver_queries.registry import (
 from wardgrid.operators import aggregates as A
 from wardgrid.operators.joins import anchored_window_join
 from wardgrid.operators.ranking import first_row_per_key
+from wardgrid.session import staged
 
 RATE_BY_CATEGORY_SQL = f"""select admission_type, count(flag) as total,
     cast(coalesce(sum(flag), 0) as bigint) as positive,
@@ -103,7 +104,7 @@ def _stay_sql(rows: str) -> str:
 
 @query("stay_by_unit", _stay_sql(f"select unit, los from {STAYS} s where los > 0 and unit is not null"))
 def _(spark, sf):
-    return rounded(A.stay_by_unit(stays(spark, sf), "unit", "los"))
+    return rounded(A.stay_by_unit(staged(stays(spark, sf)), "unit", "los"))
 
 
 @query(
@@ -125,7 +126,7 @@ def _(spark, sf):
         .otherwise(F.concat(F.lit(" "), F.col("unit"), F.lit(" "))).alias("unit"),
         F.when(los > 20, F.lit("x")).otherwise(los.cast("string")).alias("los"),
     )
-    return rounded(A.stay_by_unit(raw, "unit", "los", coerce=True))
+    return rounded(A.stay_by_unit(staged(raw), "unit", "los", coerce=True))
 
 
 HISTOGRAM = {"click": (0, 150, 10.0), "view": (0, 50, 2.0), "error": (5, 20, 0.5)}
@@ -157,7 +158,7 @@ def _(spark, sf):
     from r cross join m where floor(los / 0.5) * 0.5 < upper_end group by 1""",
 )
 def _(spark, sf):
-    return rounded(A.stay_histogram(stays(spark, sf), "los"))
+    return rounded(A.stay_histogram(staged(stays(spark, sf)), "los"))
 
 
 @query(

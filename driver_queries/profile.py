@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 
 from driver_queries.registry import ENCOUNTERS, STAYS, encounters, query, rounded, stays, table
 from wardgrid.operators import profile
+from wardgrid.session import staged
 
 COUNTED = {"customer": 5, "orders": 6, "lineitem": 11, "part": 6, "events": 6, "documents": 5, "labels": 3}
 
@@ -71,7 +72,7 @@ def _(spark, sf):
     f"select count(*) as n_rows, round(median(los), 6) as median_stay from {STAYS} s",
 )
 def _(spark, sf):
-    return rounded(profile.stay_health(stays(spark, sf), "los"))
+    return rounded(profile.stay_health(staged(stays(spark, sf)), "los"))
 
 
 @query(

@@ -55,7 +55,8 @@ def standard_scale(inputs: str = "_features", output: str = "_scaled") -> Standa
 
 
 def fit_logistic(
-    train: DataFrame, features: list[str], label: str, C: float = 0.1, max_iter: int = 1000
+    train: DataFrame, features: list[str], label: str, C: float = 0.1, max_iter: int = 1000,
+    tol: float = 1e-4,
 ) -> PipelineModel:
     """Scaled, class-balanced L2 logistic regression; Spark averages the loss, hence 1 / (C n)."""
     data, n = _balanced(train, label)
@@ -65,7 +66,7 @@ def fit_logistic(
             standard_scale(),
             LogisticRegression(
                 featuresCol="_scaled", labelCol=label, weightCol="_weight", maxIter=max_iter,
-                regParam=1.0 / (C * max(n, 1)), elasticNetParam=0.0, standardization=False,
+                tol=tol, regParam=1.0 / (C * max(n, 1)), elasticNetParam=0.0, standardization=False,
             ),
         ]
     ).fit(data)

@@ -39,100 +39,100 @@ def exact_quantiles(
 ) -> DataFrame:
     """One row per group with a column per named probability, plus any ``extra`` aggregates.
 
-    ``max_groups`` is a bound the caller can prove (keys filtered to a fixed list); without it the
-    bracket table is staged so that its real size decides the join.  Missing values are skipped;
-    a group without values gets NULL.  Rows with a missing key are dropped.
+    ``max_groups`` is a bound the caller can prove (keys filtered to a fixed list).  Without it, or
+    with extras, the bracket table is staged: its written size then decides the join, and the sketch
+    pass runs once.  The input is scanned twice in all.  Missing values are skipped and rows with a
+    missing key dropped; a group without any value has no row (without keys: one row of NULLs).
     """
-    by = list(by)
-    names = list(probabilities)
+    by, extra = list(by), list(extra)
     accuracy = accuracy or DEFAULT_ACCURACY
-    keyed = df
-    for key in by:
-        keyed = keyed.where(F.col(key).isNotNull())
+    keyed = df.na.drop(subset=by) if by else df
+    sketch, extras = _brackets(keyed, value, probabilities, by, extra, accuracy)
+    if by and (extras or max_groups is None):
+        sketch = staged(sketch, "brackets")
 
-    margin = 3.0 / accuracy
-    ends = []
-    for name in names:
-        p = probabilities[name]
-        ends += [max(0.0, p - margin), min(1.0, p + margin)]
-    v = F.col(value).cast("double")
-    sketch = keyed.groupBy(*by).agg(
-        F.count(v).alias("_n"),
-        F.min(v).alias("_min"),
-        F.max(v).alias("_max"),
-        F.percentile_approx(v, ends, accuracy).alias("_ends"),
-        *extra,
-    )
-    extras = [c for c in sketch.columns if c not in {*by, "_n", "_min", "_max", "_ends"}]
-    # Small groups, and quantiles next to an end, are bracketed by the group's own extremes.
-    small = F.col("_n") <= F.lit(accuracy // 10)
-    brackets = []
-    for i, name in enumerate(names):
-        low = F.when(small | F.lit(ends[2 * i] <= 0.0), F.col("_min")).otherwise(F.col("_ends")[2 * i])
-        high = F.when(small | F.lit(ends[2 * i + 1] >= 1.0), F.col("_max")).otherwise(
-            F.col("_ends")[2 * i + 1]
-        )
-        brackets += [low.alias(f"_lo_{name}"), high.alias(f"_hi_{name}")]
-    ends_table = sketch.select(*by, "_n", *extras, *brackets)
-    if by and max_groups is None:
-        ends_table = staged(ends_table, "brackets")
-    bracket_cols = [c for c in ends_table.columns if c.startswith(("_lo_", "_hi_"))]
-
-    values = keyed.where(v.isNotNull()).select(*by, v.alias("_v"))
+    rows = keyed.select(*by, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
     if by:
-        small_side = ends_table.select(*by, *bracket_cols)
+        side = sketch.drop(*extras)
         if max_groups is not None and max_groups <= MAX_BROADCAST_GROUPS:
-            small_side = F.broadcast(small_side)
-        values = values.join(small_side, by)
+            side = F.broadcast(side)
+        rows = rows.join(side, by)
     else:
-        values = values.withColumn("_b", ends_table.select(F.struct(*bracket_cols).alias("_b")).scalar())
-        values = values.select("_v", *[F.col(f"_b.{c}").alias(c) for c in bracket_cols])
-
-    inside = F.lit(False)
-    below = []
-    for name in names:
-        lo, hi = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
-        inside = inside | F.col("_v").between(lo, hi)
-        below.append(F.when(hi < F.col("_v"), hi))
-    floor = F.greatest(*below) if len(below) > 1 else below[0]
+        # The whole row as one scalar subquery: both uses are the same expression and run once.
+        whole = sketch.select(F.struct("*").alias("_s")).scalar()
+        rows = rows.withColumn("_s", whole).select("_v", "_s.*")
+
+    inside, floors = F.lit(False), []
+    for name in probabilities:
+        low, high = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
+        inside = inside | F.col("_v").between(low, high)
+        floors.append(F.when(high < F.col("_v"), high))
+    floor = F.greatest(*floors) if len(floors) > 1 else floors[0]
     counts = (
-        values.select(*by, F.when(inside, F.col("_v")).otherwise(floor).alias("_v"), (~inside).alias("_gap"))
-        .groupBy(*by, "_v", "_gap")
+        rows.select(
+            *by, "_n", F.when(inside, F.col("_v")).otherwise(floor).alias("_v"), (~inside).alias("_gap")
+        )
+        .groupBy(*by, "_n", "_v", "_gap")
         .agg(F.count(F.lit(1)).alias("_c"))
     )
     # Only bracketed values are left here, so the ordered window sees a thin slice of each group.
     order = W.partitionBy(*by).orderBy(F.col("_v").asc_nulls_first(), F.col("_gap"))
-    running = counts.withColumn(
-        "_upto", F.sum("_c").over(order.rowsBetween(W.unboundedPreceding, W.currentRow))
-    )
-    if by:
-        placed = running.join(ends_table.select(*by, "_n"), by)
-    else:
-        placed = running.withColumn("_n", ends_table.select("_n").scalar())
+    upto = F.sum("_c").over(order.rowsBetween(W.unboundedPreceding, W.currentRow))
+    placed = counts.withColumn("_upto", upto)
 
     picks = []
-    for name in names:
-        position = (F.col("_n") - 1) * F.lit(float(probabilities[name]))
-        for side, rank in (("a", F.floor(position)), ("b", F.ceil(position))):
+    for name, p in probabilities.items():
+        position = (F.col("_n") - 1) * F.lit(float(p))
+        for side_name, rank in (("a", F.floor(position)), ("b", F.ceil(position))):
             here = (rank >= F.col("_upto") - F.col("_c")) & (rank < F.col("_upto")) & ~F.col("_gap")
-            picks.append(F.min(F.when(here, F.col("_v"))).alias(f"_{side}_{name}"))
-    found = placed.groupBy(*by).agg(*picks)
+            picks.append(F.min(F.when(here, F.col("_v"))).alias(f"_{side_name}_{name}"))
+    found = placed.groupBy(*by).agg(F.max("_n").alias("_n"), *picks)
 
-    if by:
-        joined = ends_table.select(*by, "_n", *extras).join(found, by, "left")
-    else:
-        joined = ends_table.select("_n", *extras).withColumn(
-            "_f", found.select(F.struct("*").alias("_f")).scalar()
-        )
-        joined = joined.select("_n", *extras, "_f.*")
     out = []
-    for name in names:
+    for name, p in probabilities.items():
         a, b = F.col(f"_a_{name}"), F.col(f"_b_{name}")
-        position = (F.col("_n") - 1) * F.lit(float(probabilities[name]))
+        position = (F.col("_n") - 1) * F.lit(float(p))
         exact = a + (b - a) * (position - F.floor(position))
         checked = F.coalesce(exact, F.raise_error(F.lit("quantile bracket missed its rank")).cast("double"))
         out.append(F.when(F.col("_n") > 0, checked).alias(name))
-    return joined.select(*by, *extras, *out)
+    if not extras:
+        return found.select(*by, *out)
+    if by:
+        return found.select(*by, *out).join(sketch.select(*by, *extras), by)
+    return found.withColumn("_s", whole).select(*[f"_s.{c}" for c in extras], *out)
+
+
+def _brackets(
+    keyed: DataFrame,
+    value: str,
+    probabilities: Mapping[str, float],
+    by: list[str],
+    extra: list[Column],
+    accuracy: int,
+) -> tuple[DataFrame, list[str]]:
+    """Per group: number of values, a bracket around every wanted rank, and the extra aggregates."""
+    margin = 3.0 / accuracy
+    lows = {name: max(0.0, p - margin) for name, p in probabilities.items()}
+    highs = {name: min(1.0, p + margin) for name, p in probabilities.items()}
+    v = F.col(value).cast("double")
+    sketch = keyed.groupBy(*by).agg(
+        F.count(v).alias("_n"),
+        F.min(v).alias("_min"),
+        F.max(v).alias("_max"),
+        F.percentile_approx(v, [*lows.values(), *highs.values()], accuracy).alias("_ends"),
+        *extra,
+    )
+    extras = [c for c in sketch.columns if c not in {*by, "_n", "_min", "_max", "_ends"}]
+    # Small groups, and quantiles next to an end, are bracketed by the group's own extremes.
+    small = F.col("_n") <= F.lit(accuracy // 10)
+    columns = []
+    for i, name in enumerate(probabilities):
+        low, high = F.col("_ends")[i], F.col("_ends")[len(lows) + i]
+        columns += [
+            F.when(small | F.lit(lows[name] <= 0.0), F.col("_min")).otherwise(low).alias(f"_lo_{name}"),
+            F.when(small | F.lit(highs[name] >= 1.0), F.col("_max")).otherwise(high).alias(f"_hi_{name}"),
+        ]
+    return sketch.select(*by, "_n", *extras, *columns), extras
 
 
 def exact_median(df: DataFrame, value: str, alias: str = "median") -> Column:

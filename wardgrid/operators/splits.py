@@ -14,6 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from wardgrid.operators.sizing import sized
+from wardgrid.session import staged
 
 _PREFIX = 4  # hex digits: 65,536 evenly filled cells per class
 
@@ -24,9 +25,10 @@ def hash_key(id_col: str, seed: int) -> Column:
     return F.concat(F.md5(F.concat(F.lit(f"{seed}:"), text)), F.lit(":"), text)
 
 
-def _cuts(keyed: DataFrame, ranks: list[Column], n_classes: int | None) -> DataFrame:
+def _cuts(keyed: DataFrame, ranks: list[Column]) -> DataFrame:
     """Per class, the sort keys at the given ranks (ascending; rank 0 gives the empty text)."""
-    cells = keyed.groupBy("_class", "_cell").agg(F.count(F.lit(1)).alias("_c"))
+    # At most 65,536 cells per class; staged so that the steps below do not scan the rows again.
+    cells = staged(keyed.groupBy("_class", "_cell").agg(F.count(F.lit(1)).alias("_c")), "cells")
     per_class = cells.groupBy("_class").agg(F.sum("_c").alias("_n"))
     upto = F.sum("_c").over(
         W.partitionBy("_class").orderBy("_cell").rowsBetween(W.unboundedPreceding, W.currentRow)
@@ -37,21 +39,19 @@ def _cuts(keyed: DataFrame, ranks: list[Column], n_classes: int | None) -> DataF
     targets = (
         cells.withColumn("_upto", upto)
         .join(per_class, "_class")
-        .select("_class", "_cell", F.col("_upto"), F.col("_c"), F.explode(wanted).alias("_t"))
+        .select("_class", "_cell", "_upto", "_c", F.explode(wanted).alias("_t"))
         .where((F.col("_t.rank") > F.col("_upto") - F.col("_c")) & (F.col("_t.rank") <= F.col("_upto")))
-        .select("_class", "_cell", F.col("_t.i").alias("_i"),
-                (F.col("_t.rank") - F.col("_upto") + F.col("_c")).alias("_need"))
+        .select("_class", "_cell", (F.col("_t.rank") - F.col("_upto") + F.col("_c")).alias("_need"))
     )
-    # Only the cells that hold a cut are ranked row by row.
-    bound = None if n_classes is None else n_classes * len(ranks)
-    targets = sized(targets, bound, "cut-cells")
-    picked = keyed.join(targets.select("_class", "_cell").distinct(), ["_class", "_cell"], "left_semi")
-    ranked = picked.withColumn(
+    # Only the cells that hold a cut are ranked row by row.  Cells that hold several cuts come once.
+    needs = staged(
+        targets.groupBy("_class", "_cell").agg(F.collect_list("_need").alias("_needs")), "cut-cells"
+    )
+    ranked = keyed.join(needs, ["_class", "_cell"]).withColumn(
         "_rank", F.row_number().over(W.partitionBy("_class", "_cell").orderBy("_key"))
     )
     found = (
-        ranked.join(targets, ["_class", "_cell"])
-        .where(F.col("_rank") == F.col("_need"))
+        ranked.where(F.array_contains("_needs", F.col("_rank").cast("long")))
         .groupBy("_class")
         .agg(F.collect_list("_key").alias("_found"))  # one key per cut
     )
@@ -75,7 +75,7 @@ def _assign(
         {"_class": F.coalesce(strata.cast("string"), F.lit("")), "_key": hash_key(id_col, seed)}
     )
     narrow = keyed.select("_class", "_key", F.substring("_key", 1, _PREFIX).alias("_cell"))
-    cuts = sized(_cuts(narrow, ranks, n_classes), n_classes, "cuts")
+    cuts = sized(_cuts(narrow, ranks), n_classes, "cuts")
     part = F.aggregate(
         "_cuts", F.lit(0), lambda acc, cut: acc + F.when(F.col("_key") > cut, 1).otherwise(0)
     )
