@@ -36,9 +36,9 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     """Round every double column, as the SQL side does."""
-    return df.select(
+    return df.selectExpr(
         *[
-            F.round(f.name, digits).alias(f.name) if isinstance(f.dataType, T.DoubleType) else F.col(f.name)
+            f"round(`{f.name}`, {digits}) as `{f.name}`" if isinstance(f.dataType, T.DoubleType) else f"`{f.name}`"
             for f in df.schema.fields
         ]
     )

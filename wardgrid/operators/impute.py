@@ -7,18 +7,23 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wardgrid.functions.sqltext import ident, literal
 from wardgrid.operators.quantiles import exact_quantiles
 
 
 def column_medians(df: DataFrame, cols: Iterable[str], accuracy: int | None = None) -> DataFrame:
     """One row holding the exact median of every column, all computed in the same two passes."""
     cols = list(cols)
-    long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot([], cols, "_column", "_value")
+    numbers = df.selectExpr(*[f"cast({ident(c)} as double) as {ident(c)}" for c in cols])
+    long = numbers.unpivot([], cols, "_column", "_value")
     medians = exact_quantiles(
         long, "_value", {"_median": 0.5}, by=["_column"], max_groups=len(cols), accuracy=accuracy
     )
     return medians.agg(
-        *[F.max(F.when(F.col("_column") == c, F.col("_median"))).alias(c) for c in cols]
+        *[
+            F.expr(f"max(case when _column = {literal(c)} then _median end) as {ident(c)}")
+            for c in cols
+        ]
     )
 
 
@@ -37,9 +42,11 @@ def median_impute(
     cols = list(cols)
     medians = column_medians(fit_on if fit_on is not None else df, cols, accuracy)
     filled = df.withColumn("_medians", medians.select(F.struct(*cols).alias("_medians")).scalar())
-    return filled.select(
+    return filled.selectExpr(
         *[
-            F.coalesce(F.col(c).cast("double"), F.col(f"_medians.{c}")).alias(c) if c in cols else F.col(c)
+            f"coalesce(cast({ident(c)} as double), _medians.{ident(c)}) as {ident(c)}"
+            if c in cols
+            else ident(c)
             for c in df.columns
         ]
     )

@@ -18,9 +18,9 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from wardgrid.functions.sqltext import ident, literal
 from wardgrid.session import staged
 
 DEFAULT_ACCURACY = 100_000
@@ -51,7 +51,9 @@ def exact_quantiles(
     if by and (extras or max_groups is None):
         sketch = staged(sketch, "brackets")
 
-    rows = keyed.select(*by, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    rows = keyed.selectExpr(
+        *[ident(k) for k in by], f"cast({ident(value)} as double) as _v"
+    ).where("_v is not null")
     if by:
         side = sketch.drop(*extras)
         if max_groups is not None and max_groups <= MAX_BROADCAST_GROUPS:
@@ -62,39 +64,38 @@ def exact_quantiles(
         whole = sketch.select(F.struct("*").alias("_s")).scalar()
         rows = rows.withColumn("_s", whole).select("_v", "_s.*")
 
-    inside, floors = F.lit(False), []
-    for name in probabilities:
-        low, high = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
-        inside = inside | F.col("_v").between(low, high)
-        floors.append(F.when(high < F.col("_v"), high))
-    floor = F.greatest(*floors) if len(floors) > 1 else floors[0]
+    inside = " or ".join(f"_v between {ident(f'_lo_{n}')} and {ident(f'_hi_{n}')}" for n in probabilities)
+    floors = [f"case when {ident(f'_hi_{n}')} < _v then {ident(f'_hi_{n}')} end" for n in probabilities]
+    floor = f"greatest({', '.join(floors)})" if len(floors) > 1 else floors[0]
     counts = (
-        rows.select(
-            *by, "_n", F.when(inside, F.col("_v")).otherwise(floor).alias("_v"), (~inside).alias("_gap")
+        rows.selectExpr(
+            *[ident(k) for k in by],
+            "_n",
+            f"case when {inside} then _v else {floor} end as _v",
+            f"not ({inside}) as _gap",
         )
         .groupBy(*by, "_n", "_v", "_gap")
-        .agg(F.count(F.lit(1)).alias("_c"))
+        .agg(F.expr("count(1) as _c"))
     )
     # Only bracketed values are left here, so the ordered window sees a thin slice of each group.
-    order = W.partitionBy(*by).orderBy(F.col("_v").asc_nulls_first(), F.col("_gap"))
-    upto = F.sum("_c").over(order.rowsBetween(W.unboundedPreceding, W.currentRow))
-    placed = counts.withColumn("_upto", upto)
-
-    picks = []
-    for name, p in probabilities.items():
-        position = (F.col("_n") - 1) * F.lit(float(p))
-        for side_name, rank in (("a", F.floor(position)), ("b", F.ceil(position))):
-            here = (rank >= F.col("_upto") - F.col("_c")) & (rank < F.col("_upto")) & ~F.col("_gap")
-            picks.append(F.min(F.when(here, F.col("_v"))).alias(f"_{side_name}_{name}"))
-    found = placed.groupBy(*by).agg(F.max("_n").alias("_n"), *picks)
+    keys = ", ".join(ident(k) for k in by)
+    placed = counts.selectExpr(
+        "*",
+        f"sum(_c) over ({f'partition by {keys} ' if by else ''}order by _v nulls first, _gap "
+        "rows between unbounded preceding and current row) as _upto",
+    )
 
-    out = []
+    picks, out = [F.expr("max(_n) as _n")], []
     for name, p in probabilities.items():
-        a, b = F.col(f"_a_{name}"), F.col(f"_b_{name}")
-        position = (F.col("_n") - 1) * F.lit(float(p))
-        exact = a + (b - a) * (position - F.floor(position))
-        checked = F.coalesce(exact, F.raise_error(F.lit("quantile bracket missed its rank")).cast("double"))
-        out.append(F.when(F.col("_n") > 0, checked).alias(name))
+        position = f"((_n - 1) * {literal(float(p))})"
+        for side_name, rank in (("a", f"floor{position}"), ("b", f"ceil{position}")):
+            here = f"{rank} >= _upto - _c and {rank} < _upto and not _gap"
+            picks.append(F.expr(f"min(case when {here} then _v end) as {ident(f'_{side_name}_{name}')}"))
+        a, b = ident(f"_a_{name}"), ident(f"_b_{name}")
+        exact = f"{a} + ({b} - {a}) * ({position} - floor{position})"
+        missed = "cast(raise_error('quantile bracket missed its rank') as double)"
+        out.append(F.expr(f"case when _n > 0 then coalesce({exact}, {missed}) end as {ident(name)}"))
+    found = placed.groupBy(*by).agg(*picks)
     if not extras:
         return found.select(*by, *out)
     if by:
@@ -111,28 +112,31 @@ def _brackets(
     accuracy: int,
 ) -> tuple[DataFrame, list[str]]:
     """Per group: number of values, a bracket around every wanted rank, and the extra aggregates."""
-    margin = 3.0 / accuracy
+    # The sketch may be off by n / accuracy ranks, and positions are rounded to whole ranks.
+    margin = 5.0 / accuracy
     lows = {name: max(0.0, p - margin) for name, p in probabilities.items()}
     highs = {name: min(1.0, p + margin) for name, p in probabilities.items()}
-    v = F.col(value).cast("double")
+    v = f"cast({ident(value)} as double)"
+    ends = ", ".join(literal(e) for e in [*lows.values(), *highs.values()])
     sketch = keyed.groupBy(*by).agg(
-        F.count(v).alias("_n"),
-        F.min(v).alias("_min"),
-        F.max(v).alias("_max"),
-        F.percentile_approx(v, [*lows.values(), *highs.values()], accuracy).alias("_ends"),
+        F.expr(f"count({v}) as _n"),
+        F.expr(f"min({v}) as _min"),
+        F.expr(f"max({v}) as _max"),
+        F.expr(f"percentile_approx({v}, array({ends}), {accuracy}) as _ends"),
         *extra,
     )
     extras = [c for c in sketch.columns if c not in {*by, "_n", "_min", "_max", "_ends"}]
     # Small groups, and quantiles next to an end, are bracketed by the group's own extremes.
-    small = F.col("_n") <= F.lit(accuracy // 10)
+    small = f"_n <= {accuracy}"
     columns = []
     for i, name in enumerate(probabilities):
-        low, high = F.col("_ends")[i], F.col("_ends")[len(lows) + i]
+        at_start, at_end = literal(lows[name] <= 0.0), literal(highs[name] >= 1.0)
+        low, high = ident(f"_lo_{name}"), ident(f"_hi_{name}")
         columns += [
-            F.when(small | F.lit(lows[name] <= 0.0), F.col("_min")).otherwise(low).alias(f"_lo_{name}"),
-            F.when(small | F.lit(highs[name] >= 1.0), F.col("_max")).otherwise(high).alias(f"_hi_{name}"),
+            f"case when {small} or {at_start} then _min else _ends[{i}] end as {low}",
+            f"case when {small} or {at_end} then _max else _ends[{len(lows) + i}] end as {high}",
         ]
-    return sketch.select(*by, "_n", *extras, *columns), extras
+    return sketch.selectExpr(*[ident(c) for c in [*by, "_n", *extras]], *columns), extras
 
 
 def exact_median(df: DataFrame, value: str, alias: str = "median") -> Column:

@@ -8,7 +8,9 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_STATS = {"min": F.min, "max": F.max, "mean": F.avg}
+from wardgrid.functions.sqltext import ident, literal, literals
+
+_STATS = {"min": "min", "max": "max", "mean": "avg"}
 
 
 def _codes_by_name(names: Mapping) -> dict[str, list]:
@@ -34,9 +36,8 @@ def pivot_stats_wide(
     stats = list(stats)
     columns = []
     for name, codes in _codes_by_name(names).items():
-        mine = F.col(item) == codes[0] if len(codes) == 1 else F.col(item).isin(codes)
-        picked = F.when(mine, F.col(value))
-        columns += [_STATS[stat](picked).alias(f"{name}_{stat}") for stat in stats]
+        picked = f"case when {ident(item)} in ({literals(codes)}) then {ident(value)} end"
+        columns += [F.expr(f"{_STATS[stat]}({picked}) as {ident(f'{name}_{stat}')}") for stat in stats]
     return (
         events.where(F.col(item).isin(list(names)) & F.col(entity).isNotNull())
         .groupBy(entity)
@@ -51,7 +52,14 @@ def pivot_peak_matrix(
     return (
         events.where(F.col(item).isin(list(names)) & F.col(subject).isNotNull())
         .groupBy(subject)
-        .agg(*[F.max(F.when(F.col(item) == code, F.col(value))).alias(n) for code, n in names.items()])
+        .agg(
+            *[
+                F.expr(
+                    f"max(case when {ident(item)} = {literal(code)} then {ident(value)} end) as {ident(n)}"
+                )
+                for code, n in names.items()
+            ]
+        )
     )
 
 

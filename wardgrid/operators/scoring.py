@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,15 +16,17 @@ from wardgrid.config import (
     ULN_ALT,
     ULN_BILIRUBIN,
 )
+from wardgrid.functions.sqltext import ident, literal, literals
 
 
-def _starts_with_any(code: Column, prefixes: Iterable[str]) -> Column:
-    """True when the code starts with a listed prefix: one set lookup per prefix length."""
+def _starts_with_any(code: str, prefixes: Iterable[str]) -> str:
+    """SQL text: the code starts with a listed prefix; one set lookup per prefix length."""
     by_length: dict[int, list[str]] = {}
     for prefix in prefixes:
         by_length.setdefault(len(prefix), []).append(prefix)
-    tests = [F.substring(code, 1, n).isin(group) for n, group in sorted(by_length.items())]
-    return reduce(lambda a, b: a | b, tests)
+    return " or ".join(
+        f"substring({code}, 1, {n}) in ({literals(group)})" for n, group in sorted(by_length.items())
+    )
 
 
 def prefix_match_score(
@@ -45,22 +46,20 @@ def prefix_match_score(
     The table is configuration, so it becomes one "any code matches" aggregate per category.  Rows
     collapse to one per entity on the map side: no code is multiplied, joined or de-duplicated.
     """
-    text = F.trim(F.col(code).cast("string"))
+    text = f"trim(cast({ident(code)} as string))"
     hits = [
-        F.coalesce(F.bool_or(_starts_with_any(text, prefixes)), F.lit(False)).alias(name)
+        F.expr(f"coalesce(bool_or({_starts_with_any(text, prefixes)}), false) as {ident(name)}")
         for name, (_, prefixes) in table.items()
     ]
     flags = codes.where(F.col(entity).isNotNull()).groupBy(entity).agg(*hits)
-
-    def points(name: str) -> Column:
-        present = F.col(name)
-        stronger = (hierarchy or {}).get(name)
-        if stronger is not None:
-            present = present & ~F.col(stronger)
-        return F.when(present, F.lit(table[name][0])).otherwise(F.lit(0))
-
-    total = reduce(lambda a, b: a + b, [points(name) for name in table])
-    return flags.select(entity, total.cast("int").alias(alias))
+    stronger = hierarchy or {}
+    points = [
+        f"case when {ident(name)}"
+        + (f" and not {ident(stronger[name])}" if name in stronger else "")
+        + f" then {literal(weight)} else 0 end"
+        for name, (weight, _) in table.items()
+    ]
+    return flags.selectExpr(ident(entity), f"cast({' + '.join(points)} as int) as {ident(alias)}")
 
 
 def edish_quadrant(

@@ -4,36 +4,37 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardgrid.functions.columns import hours_between
+from wardgrid.functions.sqltext import ident, literal
 from wardgrid.operators.ranking import first_row_per_key
 from wardgrid.operators.sizing import sized
 
 
-def _pair_correlation(a: str, b: str) -> Column:
+def _pair_correlation(a: str, b: str) -> str:
     # Pairwise complete Pearson; a constant column gives NULL where the built-in corr would raise.
-    both_a = F.when(F.col(b).isNotNull(), F.col(a))
-    both_b = F.when(F.col(a).isNotNull(), F.col(b))
-    return F.try_divide(F.covar_samp(a, b), F.stddev_samp(both_a) * F.stddev_samp(both_b))
+    return (
+        f"try_divide(covar_samp({a}, {b}), stddev_samp(case when {b} is not null then {a} end)"
+        f" * stddev_samp(case when {a} is not null then {b} end))"
+    )
 
 
 def correlation_matrix(wide: DataFrame, cols: Iterable[str]) -> DataFrame:
     """Full square Pearson matrix, long form, from one aggregation over the upper triangle."""
     cols = list(cols)
     pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
-    stats = wide.agg(*[_pair_correlation(cols[i], cols[j]).alias(f"_r{i}_{j}") for i, j in pairs])
+    stats = wide.agg(
+        *[F.expr(f"{_pair_correlation(ident(cols[i]), ident(cols[j]))} as _r{i}_{j}") for i, j in pairs]
+    )
     cells = [
-        F.struct(
-            F.lit(a).alias("marker_a"),
-            F.lit(b).alias("marker_b"),
-            F.col(f"_r{min(i, j)}_{max(i, j)}").alias("r"),
-        )
+        f"named_struct('marker_a', {literal(a)}, 'marker_b', {literal(b)}, "
+        f"'r', _r{min(i, j)}_{max(i, j)})"
         for i, a in enumerate(cols)
         for j, b in enumerate(cols)
     ]
-    return stats.select(F.inline(F.array(*cells)))
+    return stats.selectExpr(f"inline(array({', '.join(cells)}))")
 
 
 def strongest_pair(corr: DataFrame) -> DataFrame:

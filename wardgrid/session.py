@@ -17,6 +17,21 @@ RUNTIME_SETTINGS = {
 }
 
 
+# Settings a session has to be started with.  Recording the Python call site of every Column costs
+# several milliseconds each, which adds up in matrices with hundreds of expressions.
+START_SETTINGS = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
+
+
+def start_settings(builder: SparkSession.Builder) -> SparkSession.Builder:
+    """Add the recommended start-up settings to a session builder."""
+    for key, value in {**START_SETTINGS, **RUNTIME_SETTINGS}.items():
+        builder = builder.config(key, value)
+    return builder
+
+
 def prepare(spark: SparkSession) -> SparkSession:
     """Switch on the adaptive settings the operators are designed around."""
     for key, value in RUNTIME_SETTINGS.items():
