@@ -65,7 +65,7 @@ def test_representatives_fill_open_survivor_slots(spark):
 
 def test_trajectories_window_and_fallback(spark):
     hours = [-6.01, -6, 0, 120, 120.01]
-    labs = [(s, 1, T0 + timedelta(hours=h), h) for s in (1, 2) for h in hours] + [(3, 1, T0, 0.0), (1, 2, T0, 0.0)]
+    labs = [(s, 1, T0 + timedelta(hours=h), float(h)) for s in (1, 2) for h in hours] + [(3, 1, T0, 0.0), (1, 2, T0, 0.0)]
     events = spark.createDataFrame(labs, "subject_id int, itemid int, charttime timestamp, valuenum double")
     icu = spark.createDataFrame([(1, T0), (1, T0 + timedelta(days=9))], "subject_id int, intime timestamp")
     adm = spark.createDataFrame([(2, T0), (1, T0 - timedelta(days=3))], "subject_id int, admittime timestamp")

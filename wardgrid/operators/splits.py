@@ -67,19 +67,22 @@ def _cuts(keyed: DataFrame, ranks: list[Column]) -> DataFrame:
 
 
 def _assign(
-    df: DataFrame, id_col: str, strata: Column, ranks: list[Column], seed: int, n_classes: int | None
+    df: DataFrame, id_col: str, strata: str | None, ranks: list[Column], seed: int, n_classes: int | None
 ) -> DataFrame:
     """``df`` with ``_part``: how many of its class's cut keys lie before each row."""
-    # A missing class forms a class of its own.
-    keyed = df.withColumns(
-        {"_class": F.coalesce(strata.cast("string"), F.lit("")), "_key": hash_key(id_col, seed)}
-    )
+    # Without strata there is one class; a missing class forms a class of its own.
+    cls = F.lit("all") if strata is None else F.coalesce(F.col(strata).cast("string"), F.lit(""))
+    keyed = df.withColumns({"_class": cls, "_key": hash_key(id_col, seed)})
     narrow = keyed.select("_class", "_key", F.substring("_key", 1, _PREFIX).alias("_cell"))
-    cuts = sized(_cuts(narrow, ranks), n_classes, "cuts")
+    cuts = _cuts(narrow, ranks)
+    if strata is None:
+        keyed = keyed.withColumn("_cuts", cuts.select("_cuts").scalar())
+    else:
+        keyed = keyed.join(sized(cuts, n_classes, "cuts"), "_class")
     part = F.aggregate(
         "_cuts", F.lit(0), lambda acc, cut: acc + F.when(F.col("_key") > cut, 1).otherwise(0)
     )
-    return keyed.join(cuts, "_class").withColumn("_part", part).drop("_class", "_key", "_cuts")
+    return keyed.withColumn("_part", part).drop("_class", "_key", "_cuts")
 
 
 def stratified_split(
@@ -104,14 +107,14 @@ def random_split(
 ) -> DataFrame:
     """Mark the test rows: the share of all rows nearest to ``test``."""
     ranks = [F.floor(F.col("_n") * F.lit(float(test)) + F.lit(0.5))]
-    marked = _assign(df, id_col, F.lit("all"), ranks, seed, 1)
+    marked = _assign(df, id_col, None, ranks, seed, 1)
     return marked.withColumn(out, (F.col("_part") == 0).cast("int")).drop("_part")
 
 
 def _split(df, id_col, label, test, seed, classes, out) -> DataFrame:
     rows, n = _known_classes(df, label, classes)
     ranks = [F.floor(F.col("_n") * F.lit(float(test)) + F.lit(0.5))]
-    marked = _assign(rows, id_col, F.col(label), ranks, seed, n)
+    marked = _assign(rows, id_col, label, ranks, seed, n)
     return marked.withColumn(out, (F.col("_part") == 0).cast("int")).drop("_part")
 
 
@@ -134,10 +137,10 @@ def folds(
     """Fold number 0..k-1 per row; fold sizes inside a class (or overall) differ by at most one."""
     ranks = [F.floor(F.col("_n") * F.lit(i) / F.lit(k)) for i in range(1, k)]
     if label is None:
-        marked = _assign(df, id_col, F.lit("all"), ranks, seed, 1)
+        marked = _assign(df, id_col, None, ranks, seed, 1)
     else:
         rows, n = _known_classes(df, label, classes)
-        marked = _assign(rows, id_col, F.col(label), ranks, seed, n)
+        marked = _assign(rows, id_col, label, ranks, seed, n)
     return marked.withColumnRenamed("_part", out)
 
 
