@@ -29,19 +29,20 @@ def _cuts(keyed: DataFrame, ranks: list[Column]) -> DataFrame:
     """Per class, the sort keys at the given ranks (ascending; rank 0 gives the empty text)."""
     # At most 65,536 cells per class; staged so that the steps below do not scan the rows again.
     cells = staged(keyed.groupBy("_class", "_cell").agg(F.count(F.lit(1)).alias("_c")), "cells")
-    per_class = cells.groupBy("_class").agg(F.sum("_c").alias("_n"))
-    upto = F.sum("_c").over(
-        W.partitionBy("_class").orderBy("_cell").rowsBetween(W.unboundedPreceding, W.currentRow)
-    )
-    wanted = F.array(
-        *[F.struct(F.lit(i).alias("i"), r.cast("long").alias("rank")) for i, r in enumerate(ranks)]
+    mine = W.partitionBy("_class")
+    placed = cells.withColumns(
+        {
+            "_n": F.sum("_c").over(mine),
+            "_upto": F.sum("_c").over(
+                mine.orderBy("_cell").rowsBetween(W.unboundedPreceding, W.currentRow)
+            ),
+        }
     )
+    wanted = F.explode(F.array(*[r.cast("long") for r in ranks])).alias("_rank")
     targets = (
-        cells.withColumn("_upto", upto)
-        .join(per_class, "_class")
-        .select("_class", "_cell", "_upto", "_c", F.explode(wanted).alias("_t"))
-        .where((F.col("_t.rank") > F.col("_upto") - F.col("_c")) & (F.col("_t.rank") <= F.col("_upto")))
-        .select("_class", "_cell", (F.col("_t.rank") - F.col("_upto") + F.col("_c")).alias("_need"))
+        placed.select("_class", "_cell", "_upto", "_c", wanted)
+        .where((F.col("_rank") > F.col("_upto") - F.col("_c")) & (F.col("_rank") <= F.col("_upto")))
+        .select("_class", "_cell", (F.col("_rank") - F.col("_upto") + F.col("_c")).alias("_need"))
     )
     # Only the cells that hold a cut are ranked row by row.  Cells that hold several cuts come once.
     needs = staged(
@@ -50,20 +51,14 @@ def _cuts(keyed: DataFrame, ranks: list[Column]) -> DataFrame:
     ranked = keyed.join(needs, ["_class", "_cell"]).withColumn(
         "_rank", F.row_number().over(W.partitionBy("_class", "_cell").orderBy("_key"))
     )
-    found = (
-        ranked.where(F.array_contains("_needs", F.col("_rank").cast("long")))
-        .groupBy("_class")
-        .agg(F.collect_list("_key").alias("_found"))  # one key per cut
-    )
-    zeros = F.aggregate(
-        wanted, F.lit(0), lambda acc, t: acc + F.when(t["rank"] == 0, 1).otherwise(0)
-    )
-    return per_class.join(found, "_class", "left").select(
-        "_class",
-        F.concat(
-            F.array_repeat(F.lit(""), zeros), F.coalesce("_found", F.array().cast("array<string>"))
-        ).alias("_cuts"),
-    )
+    hits = F.filter("_needs", lambda need: need == F.col("_rank"))
+    found = ranked.select("_class", "_key", F.explode(hits)).select("_class", "_key")
+    # A cut at rank 0 lies before every row.
+    before_all = (
+        placed.select("_class", "_n").distinct().select("_class", wanted).where(F.col("_rank") == 0)
+    ).select("_class", F.lit("").alias("_key"))
+    # One key per cut.
+    return found.unionByName(before_all).groupBy("_class").agg(F.collect_list("_key").alias("_cuts"))
 
 
 def _assign(
