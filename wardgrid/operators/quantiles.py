@@ -8,9 +8,9 @@ Here two passes do the work instead:
    between two brackets fall together into one counter.  Map-side combine shrinks the data to the
    few brackets before anything is shuffled, and hot groups are spread over (group, value).
 
-A running count over the bracketed values then reads the order statistics off exactly.  Any bracket
-that contains the wanted rank gives the same answer, so a recomputed sketch cannot change results;
-a bracket that misses its rank raises instead of returning a wrong value.
+Totals per cell of the brackets then show which cells hold a wanted rank, and a running count over
+just those cells reads the order statistics off exactly.  Any bracket that contains the wanted rank
+gives the same answer; a bracket that misses its rank raises instead of returning a wrong value.
 """
 
 from __future__ import annotations
@@ -24,6 +24,8 @@ from wardgrid.functions.sqltext import ident, literal
 from wardgrid.session import staged
 
 DEFAULT_ACCURACY = 100_000
+# Each bracket is cut into this many cells; only the cells that hold a wanted rank are sorted.
+CELLS = 1024
 # Groups up to this many broadcast safely: a bracket row holds a few numbers.
 MAX_BROADCAST_GROUPS = 10_000
 
@@ -45,10 +47,12 @@ def exact_quantiles(
     missing key dropped; a group without any value has no row (without keys: one row of NULLs).
     """
     by, extra = list(by), list(extra)
+    wanted_order = list(probabilities)
+    probabilities = dict(sorted(probabilities.items(), key=lambda named: named[1]))
     accuracy = accuracy or DEFAULT_ACCURACY
     keyed = df.na.drop(subset=by) if by else df
     sketch, extras = _brackets(keyed, value, probabilities, by, extra, accuracy)
-    if by and (extras or max_groups is None):
+    if by and (extras or max_groups is None or max_groups > MAX_BROADCAST_GROUPS):
         sketch = staged(sketch, "brackets")
 
     rows = keyed.selectExpr(
@@ -64,28 +68,10 @@ def exact_quantiles(
         whole = sketch.select(F.struct("*").alias("_s")).scalar()
         rows = rows.withColumn("_s", whole).select("_v", "_s.*")
 
-    inside = " or ".join(f"_v between {ident(f'_lo_{n}')} and {ident(f'_hi_{n}')}" for n in probabilities)
-    floors = [f"case when {ident(f'_hi_{n}')} < _v then {ident(f'_hi_{n}')} end" for n in probabilities]
-    floor = f"greatest({', '.join(floors)})" if len(floors) > 1 else floors[0]
-    counts = (
-        rows.selectExpr(
-            *[ident(k) for k in by],
-            "_n",
-            f"case when {inside} then _v else {floor} end as _v",
-            f"not ({inside}) as _gap",
-        )
-        .groupBy(*by, "_n", "_v", "_gap")
-        .agg(F.expr("count(1) as _c"))
-    )
-    # Only bracketed values are left here, so the ordered window sees a thin slice of each group.
-    keys = ", ".join(ident(k) for k in by)
-    placed = counts.selectExpr(
-        "*",
-        f"sum(_c) over ({f'partition by {keys} ' if by else ''}order by _v nulls first, _gap "
-        "rows between unbounded preceding and current row) as _upto",
-    )
+    counts = _bracket_counts(rows, by, list(probabilities))
+    placed = _placed(counts, by, [float(p) for p in probabilities.values()], max_groups)
 
-    picks, out = [F.expr("max(_n) as _n")], []
+    picks, out = [F.expr("max(_n) as _n")], {}
     for name, p in probabilities.items():
         position = f"((_n - 1) * {literal(float(p))})"
         for side_name, rank in (("a", f"floor{position}"), ("b", f"ceil{position}")):
@@ -94,8 +80,9 @@ def exact_quantiles(
         a, b = ident(f"_a_{name}"), ident(f"_b_{name}")
         exact = f"{a} + ({b} - {a}) * ({position} - floor{position})"
         missed = "cast(raise_error('quantile bracket missed its rank') as double)"
-        out.append(F.expr(f"case when _n > 0 then coalesce({exact}, {missed}) end as {ident(name)}"))
+        out[name] = F.expr(f"case when _n > 0 then coalesce({exact}, {missed}) end as {ident(name)}")
     found = placed.groupBy(*by).agg(*picks)
+    out = [out[name] for name in wanted_order]
     if not extras:
         return found.select(*by, *out)
     if by:
@@ -103,6 +90,62 @@ def exact_quantiles(
     return found.withColumn("_s", whole).select(*[f"_s.{c}" for c in extras], *out)
 
 
+def _bracket_counts(rows: DataFrame, by: list[str], names: list[str]) -> DataFrame:
+    """Counts per bracketed value and per gap between brackets, each in an ordered cell.
+
+    ``names`` come in ascending probability.  Every bracket is cut into equal cells; a value lies in
+    the first bracket that holds it and a gap in the last cell of the bracket before it, so cells
+    follow the order of the values.
+    """
+    cell, gap_cell, floors = "", "-1", []
+    for j, name in enumerate(names):
+        low, high = ident(f"_lo_{name}"), ident(f"_hi_{name}")
+        share = f"case when {high} > {low} then floor((_v - {low}) / ({high} - {low}) * {CELLS}) else 0 end"
+        cell += f" when _v between {low} and {high} then {j * CELLS} + least({CELLS - 1}, {share})"
+        gap_cell = f"case when {high} < _v then {(j + 1) * CELLS - 1} else {gap_cell} end"
+        floors.append(f"case when {high} < _v then {high} end")
+    inside = " or ".join(f"_v between {ident(f'_lo_{n}')} and {ident(f'_hi_{n}')}" for n in names)
+    floor = f"greatest({', '.join(floors)})" if len(floors) > 1 else floors[0]
+    return (
+        rows.selectExpr(
+            *[ident(k) for k in by],
+            "_n",
+            f"cast(case{cell} else {gap_cell} end as int) as _cell",
+            f"case when {inside} then _v else {floor} end as _v",
+            f"not ({inside}) as _gap",
+        )
+        .groupBy(*by, "_n", "_cell", "_v", "_gap")
+        .agg(F.expr("count(1) as _c"))
+    )
+
+
+def _placed(counts: DataFrame, by: list[str], probs: list[float], max_groups: int | None) -> DataFrame:
+    """The values of the cells that hold a wanted rank, with the number of values up to each."""
+    keys = "".join(f"{ident(k)}, " for k in by)
+    within = f"partition by {keys[:-2]} " if by else ""
+    ranks = [f"{side}((_n - 1) * {literal(p)})" for p in probs for side in ("floor", "ceil")]
+    # At most one row per cell reaches this window: the cells of all brackets and one below them.
+    targets = (
+        counts.groupBy(*by, "_n", "_cell")
+        .agg(F.expr("sum(_c) as _cells"))
+        .selectExpr(
+            "*",
+            f"sum(_cells) over ({within}order by _cell rows between unbounded preceding and current row)"
+            " - _cells as _before",
+        )
+        .where(" or ".join(f"({r} >= _before and {r} < _before + _cells)" for r in ranks))
+        .select(*by, "_cell", "_before")
+    )
+    groups = max_groups if by else 1
+    if groups is not None and groups <= MAX_BROADCAST_GROUPS:
+        targets = F.broadcast(targets)  # at most two cells per group and probability
+    return counts.join(targets, [*by, "_cell"]).selectExpr(
+        "*",
+        f"_before + sum(_c) over (partition by {keys}_cell order by _v nulls first, _gap "
+        "rows between unbounded preceding and current row) as _upto",
+    )
+
+
 def _brackets(
     keyed: DataFrame,
     value: str,
