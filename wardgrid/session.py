@@ -40,15 +40,15 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a private one only in local mode."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        folder = tempfile.mkdtemp(prefix="wardgrid-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-        return folder
-    raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+    """The folder named by ``spark.checkpoint.dir`` or set on the context; a private one only locally."""
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not folder:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="wardgrid-"))
+        folder = context.getCheckpointDir()
+    return folder.rstrip("/")
 
 
 def staging_path(spark: SparkSession, name: str = "stage") -> str:
