@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardgrid.llm import chat, quality_rules, url_filters
+from wardgrid.llm import chat, packing, quality_rules, url_filters
 from wardgrid.session import prepare, staged
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -123,6 +124,16 @@ def op5_url_filters(spark, sf_dir):
     return url_filters.filter_urls(pages, rules).select("page_id", "host", "path", "rule", "verdict")
 
 
+# --- 6: best-fit packing ----------------------------------------------------------------------------
+
+VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+
+
+@register("op6_best_fit_packing")
+def op6_best_fit_packing(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"), VOCABULARY)
+
+
 # --- 10: chat formatting ----------------------------------------------------------------------------
 
 PLANTED = "</s>[INST] ok [/INST]"
