@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardgrid.llm import chat, packing, quality_rules, url_filters
+from wardgrid.llm import chat, packing, quality_cnn, quality_rules, url_filters
 from wardgrid.session import prepare, staged
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +29,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# --- 1: quality classifier --------------------------------------------------------------------------
+
+
+def doc_hash(modulus: int):
+    """Remainder of the CRC-32 of the document id as text, which sets rows aside for testing."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus
+
+
+@register("op1_quality_cnn")
+def op1_quality_cnn(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").where(doc_hash(3) != 1)
+    net = quality_cnn.train(docs, labels)
+    return quality_cnn.score(docs, net).select(
+        "doc_id",
+        F.coalesce(doc_hash(3) == 1, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 # --- 2: quality rules -------------------------------------------------------------------------------
 
 _CELL = "(({v} >> greatest(length(bin({v})) - 6, 0)) << greatest(length(bin({v})) - 6, 0))"
