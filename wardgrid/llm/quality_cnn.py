@@ -130,8 +130,8 @@ def _score_block(net: Network, data: np.ndarray, bounds: np.ndarray) -> np.ndarr
     return 1 / (1 + np.exp(-np.clip(logits.astype(np.float64), -30, 30)))
 
 
-def fit(texts: list[bytes], labels: list[int], epochs: int = 8, batch: int = 32, rate: float = 0.004, max_cells: int = 64, seed: int = 0) -> Network:
-    """Train by Adam on the log loss.  Only the winning position of a filter in a chunk has a gradient."""
+def fit(texts: list[bytes], labels: list[int], steps: int = 900, batch: int = 32, rate: float = 0.004, max_cells: int = 64, seed: int = 0) -> Network:
+    """Train by Adam on the log loss, in about ``steps`` batches.  Only the winning position of a filter in a chunk has a gradient."""
     net = start_network(seed)
     share = float(np.mean(labels)) if labels else 0.5
     if not labels or share in (0.0, 1.0):
@@ -143,6 +143,7 @@ def fit(texts: list[bytes], labels: list[int], epochs: int = 8, batch: int = 32,
     layouts = [_spaced(text, max_cells) for text in texts]
     target = np.array(labels, np.float32)
     moments = [(np.zeros_like(p), np.zeros_like(p)) for p in [*net.parameters(), np.zeros(1, np.float32)]]
+    epochs = -(-steps // -(-len(texts) // batch))
     step = 0
     for epoch in range(epochs):
         order = rng.permutation(len(texts))
@@ -216,12 +217,12 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, max_rows: int, label: st
     return docs.select(F.col("doc_id").alias("_id"), "text").join(F.broadcast(chosen), F.col("_id") == F.col("doc_id")).select("_id", F.coalesce("text", F.lit("")).alias("text"), "_label")
 
 
-def train(docs: DataFrame, labels: DataFrame, max_rows: int = 4000, max_cells: int = 64, epochs: int = 8, label: str = "quality") -> Network:
+def train(docs: DataFrame, labels: DataFrame, max_rows: int = 4000, max_cells: int = 64, steps: int = 900, label: str = "quality") -> Network:
     """Fit on the bounded sample; ids that occur in several rows count with each of their texts, up to ``max_rows``."""
     # Only the bytes that the fit can use travel to the driver: the head and evenly spaced parts of longer texts.
     rows = labelled_sample(docs, labels, max_rows, label).mapInArrow(_cutter(max_cells), "_id bigint, text binary, _label int").limit(max_rows).collect()
     rows.sort(key=lambda r: (r["_id"], bytes(r["text"])))
-    return fit([bytes(r["text"]) for r in rows], [r["_label"] for r in rows], epochs=epochs, max_cells=max_cells)
+    return fit([bytes(r["text"]) for r in rows], [r["_label"] for r in rows], steps=steps, max_cells=max_cells)
 
 
 def _cutter(max_cells: int):
