@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardgrid.llm import chat, packing, quality_cnn, quality_rules, url_filters
+from wardgrid.llm import chat, kneser_ney, packing, quality_cnn, quality_rules, url_filters
 from wardgrid.session import prepare, staged
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -155,6 +155,20 @@ def op6_best_fit_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), VOCABULARY)
 
 
+# --- 8: LM scoring ----------------------------------------------------------------------------------
+
+
+@register("op8_kneser_ney")
+def op8_kneser_ney(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.coalesce(doc_hash(10) == 0, F.lit(False))
+    folder = kneser_ney.train(docs.where(~held_out))
+    scored = kneser_ney.score(docs, folder)
+    return scored.withColumn("held_out", held_out).select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 # --- 10: chat formatting ----------------------------------------------------------------------------
 
 PLANTED = "</s>[INST] ok [/INST]"
