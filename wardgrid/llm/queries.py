@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardgrid.llm import chat, kneser_ney, packing, quality_cnn, quality_rules, url_filters
+from wardgrid.llm import chat, decontaminate, kneser_ney, license_scan, line_dedup, packing, quality_cnn, quality_rules, url_filters
 from wardgrid.session import prepare, staged
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -114,6 +114,15 @@ def op2_quality_rules(spark, sf_dir):
     return judged.select("doc_id", *counts, F.col("_base_failed").alias("base_failed"), F.col("_kept").alias("kept"))
 
 
+# --- 3: line dedup ----------------------------------------------------------------------------------
+
+
+@register("op3_line_dedup")
+def op3_line_dedup(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.dedup_lines(docs, removed="removed_lines")
+
+
 # --- 5: URL filters ---------------------------------------------------------------------------------
 
 URL_RULES = (
@@ -155,6 +164,27 @@ def op6_best_fit_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), VOCABULARY)
 
 
+# --- 7: benchmark decontamination -------------------------------------------------------------------
+
+_SHINGLES = """(select {id}, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3] || ' ' || w[i + 4] s from (
+    select {id}, w, unnest(range(1, len(w) - 3)) i from (select {id}, regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') w from {table})
+    where len(w) > 4))"""
+
+
+@register(
+    "op7_decontamination",
+    f"""with b as (select distinct item_id, s from {_SHINGLES.format(id="item_id", table="benchmark")}),
+d as (select distinct doc_id, s from {_SHINGLES.format(id="doc_id", table="documents")}),
+n as (select item_id, count(*) n from b group by 1)
+select doc_id, item_id, n as n_item_shingles, count(*) as n_shared, cast(count(*) as double) / n as containment
+from b join d using (s) join n using (item_id) group by doc_id, item_id, n having 100 * count(*) >= 80 * n""",
+)
+def op7_decontamination(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark")).drop("text_key")
+
+
 # --- 8: LM scoring ----------------------------------------------------------------------------------
 
 
@@ -169,6 +199,14 @@ def op8_kneser_ney(spark, sf_dir):
     )
 
 
+# --- 9: license scans -------------------------------------------------------------------------------
+
+
+@register("op9_license_scan")
+def op9_license_scan(spark, sf_dir):
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
 # --- 10: chat formatting ----------------------------------------------------------------------------
 
 PLANTED = "</s>[INST] ok [/INST]"

@@ -36,6 +36,7 @@ def _coefficients(n: int, seed: int) -> np.ndarray:
 TABLE = 4096
 NEAR, FAR = _coefficients(TABLE, 1), _coefficients(TABLE, 10**6)
 FAR[0] = 1
+OTHER = _coefficients(TABLE, 3 * 10**6)  # in place of NEAR, for a second hash
 GRAM = _coefficients(64, 2 * 10**6)
 
 
@@ -70,7 +71,7 @@ def spans(data: np.ndarray, bounds: np.ndarray, inside: np.ndarray = NOT_SPACE)
     return starts, ends, np.searchsorted(starts, bounds)
 
 
-def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, near: np.ndarray = NEAR) -> np.ndarray:
     """A 64-bit hash for each span of bytes (no span may be empty)."""
     if not len(starts):
         return np.zeros(0, np.uint64)
@@ -79,10 +80,10 @@ def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     place = np.arange(int(lengths.sum()), dtype=np.int64) - np.repeat(first, lengths)
     value = data[place + np.repeat(starts, lengths)].astype(np.uint64) + np.uint64(1)
     with np.errstate(over="ignore"):
-        value *= NEAR[place & (TABLE - 1)]
+        value *= near[place & (TABLE - 1)]
         if int(lengths.max()) > TABLE:
             value *= FAR[(place // TABLE) % TABLE]
-        return mix(np.add.reduceat(value, first) + lengths.astype(np.uint64) * NEAR[7])
+        return mix(np.add.reduceat(value, first) + lengths.astype(np.uint64) * near[7])
 
 
 def gram_hash(words: np.ndarray, n: int) -> np.ndarray:
