@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -33,3 +33,13 @@ def null_safe(left: list[Column], right: list[Column]) -> Column:
     for a, b in zip(left, right, strict=True):
         condition = condition & a.eqNullSafe(b)
     return condition
+
+
+def shielded(docs: DataFrame, used: tuple[str, ...]) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``docs`` with the columns an operator doesn't use under names that clash with nothing, and the way back."""
+    own = {c: f"own {k}" for k, c in enumerate(docs.columns) if c not in used}
+
+    def restored(result: DataFrame) -> DataFrame:
+        return result.select(*[F.col(f"`{own.get(c, c)}`").alias(c) for c in docs.columns])
+
+    return docs.withColumnsRenamed(own), restored

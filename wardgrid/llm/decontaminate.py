@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wardgrid.llm.columns import ascii_lower, bind, null_safe, words_of
+from wardgrid.llm.columns import ascii_lower, bind, null_safe, shielded, words_of
 from wardgrid.session import staged
 
 SHINGLE = 5
@@ -100,4 +100,6 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT) ->
 def decontaminate(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark item, with their columns unchanged."""
     leaks = staged(find_leaks(docs, benchmark, percent).select(F.col("doc_id").alias("_d"), F.col("text_key").alias("_t")).distinct(), "leaks")
-    return docs.join(leaks, docs["doc_id"].eqNullSafe(leaks["_d"]) & (F.xxhash64(docs["text"]) == leaks["_t"]), "left_anti")
+    plain, restored = shielded(docs, ("doc_id", "text"))
+    same = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.xxhash64("text") == F.col("_t"))
+    return restored(plain.join(leaks, same, "left_anti"))

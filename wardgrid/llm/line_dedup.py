@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from wardgrid.llm import textbytes
-from wardgrid.llm.columns import null_safe
+from wardgrid.llm.columns import null_safe, shielded
 from wardgrid.session import staged
 
 MIN_WORDS = 50
@@ -154,8 +154,11 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, removed: str | None
     """``docs`` with the repeats cut out of ``text``; ``removed`` names a column for the lines cut per row."""
     runs = repeats(docs, min_words).groupBy("doc_id", "tkey").agg(F.collect_list("first").alias("_firsts"), F.collect_list("last").alias("_lasts"))
     cut = staged(runs, "cuts").withColumnsRenamed({"doc_id": "_d", "tkey": "_t"})
-    keyed = docs.withColumn("_key", F.xxhash64("text"))
+    plain, restored = shielded(docs, ("doc_id", "text"))
+    keyed = plain.withColumn("_key", F.xxhash64("text"))
     joined = keyed.join(cut, null_safe([F.col("doc_id").cast("long"), F.col("_key")], [F.col("_d"), F.col("_t")]), "left")
-    done = joined.withColumn("_new", _without("text", "_firsts", "_lasts"))
-    columns = [F.col("_new.text").alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns]
-    return done.select(*columns, *([F.col("_new.removed").alias(removed)] if removed else []))
+    done = joined.withColumn("_new", _without("text", "_firsts", "_lasts")).withColumn("text", F.col("_new.text"))
+    if removed is None:
+        return restored(done)
+    own = [F.col(f"`{o}`").alias(c) for o, c in zip(plain.columns, docs.columns, strict=True) if c != removed]
+    return done.select(*own, F.col("_new.removed").alias(removed))

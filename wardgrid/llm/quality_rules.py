@@ -21,7 +21,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wardgrid.llm.columns import SPACES, UPPER, bind, null_safe, words_of
+from wardgrid.llm.columns import SPACES, UPPER, bind, null_safe, shielded, words_of
+from wardgrid.session import staged
 
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
@@ -175,8 +176,7 @@ def judge(measured: DataFrame, fences: DataFrame, lang: str = "lang", source: st
 
 def filter_quality(docs: DataFrame, reach: int = REACH, min_group: int = MIN_GROUP) -> DataFrame:
     """The rows of ``docs`` (text, lang, source and any others) that pass, with their columns unchanged."""
-    own = {c: f"own {k}" for k, c in enumerate(docs.columns) if c not in ("text", "lang", "source")}
-    plain = docs.withColumnsRenamed(own)
-    fences = thresholds(measure(plain), reach=reach, min_group=min_group)
-    kept = judge(measure(plain), fences).where("_kept")
-    return kept.select(*[F.col(f"`{own.get(c, c)}`").alias(c) for c in docs.columns])
+    plain, restored = shielded(docs, ("text", "lang", "source"))
+    # The fences are a small table: written once, its size decides how it is joined.
+    fences = staged(thresholds(measure(plain), reach=reach, min_group=min_group), "fences")
+    return restored(judge(measure(plain), fences).where("_kept"))

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardgrid.llm import chat, decontaminate, kneser_ney, license_scan, line_dedup, packing, quality_cnn, quality_rules, url_filters
+from wardgrid.llm import chat, decontaminate, kneser_ney, license_scan, line_dedup, ngram_join, packing, quality_cnn, quality_rules, url_filters
 from wardgrid.session import prepare, staged
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -123,6 +123,14 @@ def op3_line_dedup(spark, sf_dir):
     return line_dedup.dedup_lines(docs, removed="removed_lines")
 
 
+# --- 4: n-gram Jaccard join -------------------------------------------------------------------------
+
+
+@register("op4_ngram_join")
+def op4_ngram_join(spark, sf_dir):
+    return ngram_join.join_documents(table(spark, sf_dir, "documents")).drop("class_id", "text_key")
+
+
 # --- 5: URL filters ---------------------------------------------------------------------------------
 
 URL_RULES = (

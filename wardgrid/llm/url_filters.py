@@ -98,12 +98,16 @@ def filter_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: s
         F.max(F.struct("_length", "_host_length", (F.col("_verdict") == "block").cast("int").alias("_block"), "_rule", "_verdict")).alias("_best")
     )
     judged = best.select("_url", F.col("_best._rule").alias("_rule"), F.col("_best._verdict").alias("_verdict"))
+    own = [F.col(f"_page.`{c}`").alias(c) for c in pages.columns if c not in ("host", "path", "rule", "verdict")]
+    given = F.col(f"_page.`{url}`")
     return (
-        pages.drop("host", "path", "rule", "verdict")
-        .join(judged, F.col(url) == F.col("_url"), "left")
-        .withColumn("host", host_of(F.col(url)))
-        .withColumn("path", path_of(F.col(url)))
-        .withColumn("rule", F.col("_rule"))
-        .withColumn("verdict", F.coalesce("_verdict", F.lit(default)))
-        .drop("_url", "_rule", "_verdict")
+        pages.select(F.struct(*[F.col(f"`{c}`") for c in pages.columns]).alias("_page"))
+        .join(judged, given == F.col("_url"), "left")
+        .select(
+            *own,
+            host_of(given).alias("host"),
+            path_of(given).alias("path"),
+            F.col("_rule").alias("rule"),
+            F.coalesce("_verdict", F.lit(default)).alias("verdict"),
+        )
     )
