@@ -93,3 +93,13 @@ def test_best_model_rules(spark):
 def test_predicted_vs_actual_axis(spark):
     df = spark.createDataFrame([("m", 1.0, 7.0), ("n", 3.0, 2.0)], "model string, y double, p double")
     assert {r.axis_max for r in X.predicted_vs_actual(df, "model", "y", "p").collect()} == {7.0}
+
+
+def test_first_row_prefers_dated_rows_and_whole_keys(spark):
+    data = [(1, 1, None, "undated"), (1, 1, 5, "dated"), (1, None, 1, "no key"), (2, 1, None, "only")]
+    df = spark.createDataFrame(data, "a int, b int, t int, note string")
+    first = K.first_row_per_key(df, ["a", "b"], ["t"])
+    assert rows(first.select("a", "note"), "a") == [(1, "dated"), (2, "only")]
+    again = K.first_row_per_key(df.union(df), ["a", "b"], ["t"])
+    assert rows(again.select("a", "note"), "a") == [(1, "dated"), (2, "only")]
+    assert "SortAggregate" not in first._jdf.queryExecution().executedPlan().toString()

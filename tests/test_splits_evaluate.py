@@ -73,15 +73,15 @@ def brute_auroc(pairs):
     return sum((p > n) + 0.5 * (p == n) for p in pos for n in neg) / (len(pos) * len(neg))
 
 
-@pytest.mark.parametrize("ranges", [None, 2, 64])
+@pytest.mark.parametrize("per_octave", [None, 2, 64])
 @pytest.mark.parametrize("digits", [0, 1, 6])
-def test_auroc_matches_brute_force_for_any_number_of_ranges(spark, ranges, digits):
+def test_auroc_matches_brute_force_for_any_number_of_cells(spark, per_octave, digits):
     rng = random.Random(digits)
     pairs = [(round(rng.gauss(0, 2), digits), int(rng.random() < 0.3)) for _ in range(400)]
     df = scored(spark, pairs)
-    got = E.auroc(df, "s", "y", ranges).first().auroc
+    got = E.auroc(df, "s", "y", per_octave).first().auroc
     assert got == pytest.approx(brute_auroc(pairs))
-    mirrored = E.auroc(df.withColumn("s", -F.col("s")), "s", "y", ranges).first().auroc
+    mirrored = E.auroc(df.withColumn("s", -F.col("s")), "s", "y", per_octave).first().auroc
     assert got + mirrored == pytest.approx(1.0)
 
 
@@ -117,3 +117,29 @@ def test_regression_metrics(spark):
     assert row.rmse == pytest.approx((5 / 3) ** 0.5) and row.r2 == pytest.approx(1 - 5 / 8)
     flat = spark.createDataFrame([(1.0, 1.0), (1.0, 1.0)], "y double, p double")
     assert E.regression_metrics(flat, "y", "p").first().r2 == 1.0
+
+
+def test_missing_ids_and_other_classes_keep_their_rows(spark):
+    data = [(k, k % 2) for k in range(40)] + [(None, 1), (100, None), (101, 7)]
+    df = spark.createDataFrame(data, "id int, y int")
+    hinted = S.stratified_split(df, "id", "y", classes=(0, 1))
+    plain = S.stratified_split(df, "id", "y")
+    assert hinted.count() == plain.count() == len(data)
+    known = F.col("y").isin(0, 1)
+    assert rows(hinted.where(known), "id") == rows(plain.where(known), "id")
+    missing = [S.random_split(df, "id", seed=s).where("id is null").first().is_test for s in range(12)]
+    assert sum(missing) < 12
+
+
+def test_repeated_ids_raise_where_they_break_the_sizes(spark):
+    df = spark.createDataFrame([(1 if k < 400 else k, k) for k in range(1000)], "id int, line int")
+    out = S.random_split(df, ["id", "line"])
+    assert out.where("is_test = 1").count() == 200
+    clean = 0
+    for seed in range(4):
+        try:
+            clean += S.random_split(df, "id", seed=seed).where("is_test = 1").count() == 200
+        except Exception as error:
+            assert "ids repeat" in str(error)
+            clean += 1
+    assert clean == 4

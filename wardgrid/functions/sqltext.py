@@ -29,3 +29,13 @@ def literal(value) -> str:
 
 def literals(values: Iterable) -> str:
     return ", ".join(literal(v) for v in values)
+
+
+def order_cell(value: str, per_octave: int) -> str:
+    """The number of a cell that grows with ``value`` (a double that isn't NaN).
+
+    There are ``per_octave`` cells between a number and its double; zero has a cell of its own.
+    """
+    # 1100 lifts the logarithm of the smallest double above 0; the cap keeps infinity a number.
+    size = f"floor(least((log2(abs({value})) + 1100) * {per_octave}, {2200 * per_octave}))"
+    return f"case when {value} > 0 then {size} when {value} < 0 then -{size} else 0 end"

@@ -1,9 +1,9 @@
 """Evaluation of scores, classes and numeric predictions.
 
 ROC-type measures need running totals over all distinct scores.  A window without partitioning
-would pull them into one task, so scores are cut into value ranges first: totals per range give
-each range its offset, and the running total inside a range is local.  The range borders are fixed
-numbers in the plan, so a recomputed task sees the same ranges.
+would pull them into one task, so scores fall into ordered cells first, and cells into blocks: totals
+per block and per cell give each cell its offset, and the running total inside a cell is local.
+Cells are functions of the score, so no job runs ahead and a recomputed task sees the same cells.
 """
 
 from __future__ import annotations
@@ -11,73 +11,66 @@ from __future__ import annotations
 from collections.abc import Iterable
 from functools import reduce
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-MAX_RANGES = 2048
+from wardgrid.functions.sqltext import order_cell
+
+CELLS_PER_OCTAVE = 65_536
+BLOCK = 1024
 
 
 def _score_counts(scored: DataFrame, score: str, label: str) -> DataFrame:
     return (
-        scored.where(F.col(score).isNotNull() & F.col(label).isin(0, 1))
+        scored.where(F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double")) & F.col(label).isin(0, 1))
         .groupBy(F.col(score).cast("double").alias("score"))
         .agg(F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg"))
     )
 
 
-def _range_borders(scored: DataFrame, score: str, ranges: int | None) -> list[float]:
-    """Distinct score borders that cut the rows into about equal ranges (a bounded sketch)."""
-    if ranges is None:
-        ranges = 2 * int(scored.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranges = max(2, min(MAX_RANGES, ranges))
-    values = scored.select(F.col(score).cast("double").alias("s"))
-    inner = values.approxQuantile("s", [i / ranges for i in range(1, ranges)], 0.25 / ranges)
-    return [float("-inf"), *sorted(set(inner)), float("inf")]
-
-
 def running_score_totals(
-    scored: DataFrame, score: str, label: str, ranges: int | None = None
+    scored: DataFrame, score: str, label: str, per_octave: int | None = None
 ) -> DataFrame:
     """Distinct scores with class counts, counts strictly below each score, and class totals.
 
-    Columns: score, pos, neg, pos_below, neg_below, n_pos, n_neg.  Runs one sketch job up front.
+    Columns: score, pos, neg, pos_below, neg_below, n_pos, n_neg.  Scores fall into ordered cells
+    (``per_octave`` between a score and its double), cells into blocks of ``BLOCK`` cells.
     """
     counts = _score_counts(scored, score, label)
-    borders = _range_borders(scored, score, ranges)
-    if len(borders) > 2:
-        cut = Bucketizer(splits=borders, inputCol="score", outputCol="_range").transform(counts)
-    else:
-        cut = counts.withColumn("_range", F.lit(0.0))
-    per_range = cut.groupBy("_range").agg(F.sum("pos").alias("_p"), F.sum("neg").alias("_n"))
-    # At most MAX_RANGES rows reach this single-partition window.
-    before = W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
-    whole = W.orderBy("_range").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    offsets = per_range.select(
-        "_range",
-        F.coalesce(F.sum("_p").over(before), F.lit(0)).alias("_p0"),
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_n0"),
-        F.sum("_p").over(whole).alias("n_pos"),
-        F.sum("_n").over(whole).alias("n_neg"),
+    cell = order_cell("score", per_octave or CELLS_PER_OCTAVE)
+    cut = counts.selectExpr("*", f"{cell} as _cell").selectExpr("*", f"floor(_cell / {BLOCK}) as _block")
+    cells = cut.groupBy("_block", "_cell").agg(F.sum("pos").alias("_p"), F.sum("neg").alias("_n"))
+    blocks = cells.groupBy("_block").agg(F.sum("_p").alias("_bp"), F.sum("_n").alias("_bn"))
+
+    def sums(partition: list[str], order: str, columns: dict[str, str]) -> list:
+        within = W.partitionBy(*partition) if partition else W
+        before = within.orderBy(order).rowsBetween(W.unboundedPreceding, -1)
+        return [F.coalesce(F.sum(c).over(before), F.lit(0)).alias(out) for c, out in columns.items()]
+
+    # The number of blocks follows from the range of doubles, not from the rows.
+    whole = W.orderBy("_block").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    offsets = blocks.select(
+        "_block", *sums([], "_block", {"_bp": "_bp0", "_bn": "_bn0"}),
+        F.sum("_bp").over(whole).alias("n_pos"), F.sum("_bn").over(whole).alias("n_neg"),
     )
-    inside = W.partitionBy("_range").orderBy("score").rowsBetween(W.unboundedPreceding, -1)
+    inner = cells.select("_block", "_cell", *sums(["_block"], "_cell", {"_p": "_p0", "_n": "_n0"}))
+    located = inner.join(offsets, "_block").drop("_block")
     return (
-        cut.withColumn("_pi", F.coalesce(F.sum("pos").over(inside), F.lit(0)))
-        .withColumn("_ni", F.coalesce(F.sum("neg").over(inside), F.lit(0)))
-        .join(F.broadcast(offsets), "_range")
+        cut.select("_cell", "score", "pos", "neg", *sums(["_cell"], "score", {"pos": "_pi", "neg": "_ni"}))
+        .join(located, "_cell")
         .select(
             "score", "pos", "neg",
-            (F.col("_p0") + F.col("_pi")).alias("pos_below"),
-            (F.col("_n0") + F.col("_ni")).alias("neg_below"),
+            (F.col("_bp0") + F.col("_p0") + F.col("_pi")).alias("pos_below"),
+            (F.col("_bn0") + F.col("_n0") + F.col("_ni")).alias("neg_below"),
             "n_pos", "n_neg",
         )
     )
 
 
-def auroc(scored: DataFrame, score: str, label: str, ranges: int | None = None) -> DataFrame:
+def auroc(scored: DataFrame, score: str, label: str, per_octave: int | None = None) -> DataFrame:
     """Area under the ROC curve by the rank statistic, ties counting one half."""
-    totals = running_score_totals(scored, score, label, ranges)
+    totals = running_score_totals(scored, score, label, per_octave)
     won = F.col("pos") * (F.col("neg_below") + F.col("neg") / F.lit(2.0))
     return totals.agg(
         F.try_divide(
@@ -88,18 +81,18 @@ def auroc(scored: DataFrame, score: str, label: str, ranges: int | None = None)
     )
 
 
-def average_precision(scored: DataFrame, score: str, label: str, ranges: int | None = None) -> DataFrame:
+def average_precision(scored: DataFrame, score: str, label: str, per_octave: int | None = None) -> DataFrame:
     """Sum over thresholds of recall gained times precision (step form, not trapezoidal)."""
-    totals = running_score_totals(scored, score, label, ranges)
+    totals = running_score_totals(scored, score, label, per_octave)
     tp = F.col("n_pos") - F.col("pos_below")
     fp = F.col("n_neg") - F.col("neg_below")
     gain = F.try_divide(F.col("pos").cast("double"), F.col("n_pos"))
     return totals.agg(F.sum(gain * tp / (tp + fp)).alias("average_precision"))
 
 
-def roc_points(scored: DataFrame, score: str, label: str, ranges: int | None = None) -> DataFrame:
+def roc_points(scored: DataFrame, score: str, label: str, per_octave: int | None = None) -> DataFrame:
     """False and true positive rate at every distinct score, plus the origin (threshold NULL)."""
-    totals = running_score_totals(scored, score, label, ranges)
+    totals = running_score_totals(scored, score, label, per_octave)
     points = totals.select(
         F.col("score").alias("threshold"),
         F.try_divide((F.col("n_neg") - F.col("neg_below")).cast("double"), F.col("n_neg")).alias("fpr"),

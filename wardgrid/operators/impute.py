@@ -11,13 +11,13 @@ from wardgrid.functions.sqltext import ident, literal
 from wardgrid.operators.quantiles import exact_quantiles
 
 
-def column_medians(df: DataFrame, cols: Iterable[str], accuracy: int | None = None) -> DataFrame:
+def column_medians(df: DataFrame, cols: Iterable[str]) -> DataFrame:
     """One row holding the exact median of every column, all computed in the same two passes."""
     cols = list(cols)
     numbers = df.selectExpr(*[f"cast({ident(c)} as double) as {ident(c)}" for c in cols])
     long = numbers.unpivot([], cols, "_column", "_value")
     medians = exact_quantiles(
-        long, "_value", {"_median": 0.5}, by=["_column"], max_groups=len(cols), accuracy=accuracy
+        long, "_value", {"_median": 0.5}, by=["_column"], max_groups=len(cols)
     )
     return medians.agg(
         *[
@@ -31,7 +31,6 @@ def median_impute(
     df: DataFrame,
     cols: Iterable[str],
     fit_on: DataFrame | None = None,
-    accuracy: int | None = None,
 ) -> DataFrame:
     """Fill each column with its own exact median, taken before any filling.
 
@@ -40,7 +39,7 @@ def median_impute(
     result of heavy joins.
     """
     cols = list(cols)
-    medians = column_medians(fit_on if fit_on is not None else df, cols, accuracy)
+    medians = column_medians(fit_on if fit_on is not None else df, cols)
     filled = df.withColumn("_medians", medians.select(F.struct(*cols).alias("_medians")).scalar())
     return filled.selectExpr(
         *[
@@ -56,10 +55,9 @@ def residual_impute(
     df: DataFrame,
     cols: Iterable[str],
     fit_on: DataFrame | None = None,
-    accuracy: int | None = None,
 ) -> DataFrame:
     """The second fill, over the joined matrix: rows without any in-window data are filled here."""
-    return median_impute(df, cols, fit_on, accuracy)
+    return median_impute(df, cols, fit_on)
 
 
 def zero_fill(df: DataFrame, cols: Iterable[str]) -> DataFrame:

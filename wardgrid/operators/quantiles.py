@@ -1,16 +1,16 @@
 """Exact quantiles with linear interpolation, without gathering a group's values in one task.
 
 The built-in exact ``percentile`` keeps every distinct value of a group in one aggregation buffer.
-Here two passes do the work instead:
+Here selection works from coarse to fine, one route for every size:
 
-1. a bounded sketch per group (``approx_percentile``) brackets each wanted rank;
-2. one counting aggregation in which values inside a bracket keep their identity and all values
-   between two brackets fall together into one counter.  Map-side combine shrinks the data to the
-   few brackets before anything is shuffled, and hot groups are spread over (group, value).
+1. values are counted in ordered cells (a fixed number per power of two of the value), with map-side
+   combine, so a task passes on a few counters per group however many rows it reads; running totals
+   over the cells show which ones hold a wanted rank;
+2. only values of those cells are counted one by one, inside finer cells of equal width.  Totals of
+   the finer cells narrow the rank down again, and a running count over just that cell reads the
+   order statistics off.
 
-Totals per cell of the brackets then show which cells hold a wanted rank, and a running count over
-just those cells reads the order statistics off exactly.  Any bracket that contains the wanted rank
-gives the same answer; a bracket that misses its rank raises instead of returning a wrong value.
+Cells are functions of the value alone, so the result is exact and repeatable, and no sketch can miss.
 """
 
 from __future__ import annotations
@@ -20,13 +20,12 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardgrid.functions.sqltext import ident, literal
-from wardgrid.session import staged
+from wardgrid.functions.sqltext import ident, literal, order_cell
 
-DEFAULT_ACCURACY = 100_000
-# Each bracket is cut into this many cells; only the cells that hold a wanted rank are sorted.
-CELLS = 1024
-# Groups up to this many broadcast safely: a bracket row holds a few numbers.
+# Coarse cells per power of two, and finer cells in each coarse cell that holds a wanted rank.
+OCTAVE_CELLS = 256
+CELLS = 4096
+# Groups up to this many broadcast safely: a target row holds a few numbers.
 MAX_BROADCAST_GROUPS = 10_000
 
 
@@ -37,149 +36,86 @@ def exact_quantiles(
     by: Iterable[str] = (),
     max_groups: int | None = None,
     extra: Iterable[Column] = (),
-    accuracy: int | None = None,
 ) -> DataFrame:
     """One row per group with a column per named probability, plus any ``extra`` aggregates.
 
-    ``max_groups`` is a bound the caller can prove (keys filtered to a fixed list).  Without it, or
-    with extras, the bracket table is staged: its written size then decides the join, and the sketch
-    pass runs once.  The input is scanned twice in all.  Missing values are skipped and rows with a
-    missing key dropped; a group without any value has no row (without keys: one row of NULLs).
+    ``max_groups`` is a bound the caller can prove (keys filtered to a fixed list) and allows a
+    broadcast.  The input is scanned twice, and once more for extras.  Missing values and NaN are
+    skipped and rows with a missing key dropped; a group without any value has no row (without keys:
+    one row of NULLs).
     """
     by, extra = list(by), list(extra)
-    wanted_order = list(probabilities)
-    probabilities = dict(sorted(probabilities.items(), key=lambda named: named[1]))
-    accuracy = accuracy or DEFAULT_ACCURACY
     keyed = df.na.drop(subset=by) if by else df
-    sketch, extras = _brackets(keyed, value, probabilities, by, extra, accuracy)
-    if by and (extras or max_groups is None or max_groups > MAX_BROADCAST_GROUPS):
-        sketch = staged(sketch, "brackets")
-
     rows = keyed.selectExpr(
         *[ident(k) for k in by], f"cast({ident(value)} as double) as _v"
-    ).where("_v is not null")
-    if by:
-        side = sketch.drop(*extras)
-        if max_groups is not None and max_groups <= MAX_BROADCAST_GROUPS:
-            side = F.broadcast(side)
-        rows = rows.join(side, by)
-    else:
-        # The whole row as one scalar subquery: both uses are the same expression and run once.
-        whole = sketch.select(F.struct("*").alias("_s")).scalar()
-        rows = rows.withColumn("_s", whole).select("_v", "_s.*")
-
-    counts = _bracket_counts(rows, by, list(probabilities))
-    placed = _placed(counts, by, [float(p) for p in probabilities.values()], max_groups)
-
-    picks, out = [F.expr("max(_n) as _n")], {}
+    ).where("_v is not null and not isnan(_v)")
+    probs = [float(p) for p in probabilities.values()]
+    placed = _placed(rows, by, probs, max_groups)
+
+    picks, out = [F.expr("max(_n) as _n")], []
     for name, p in probabilities.items():
         position = f"((_n - 1) * {literal(float(p))})"
-        for side_name, rank in (("a", f"floor{position}"), ("b", f"ceil{position}")):
-            here = f"{rank} >= _upto - _c and {rank} < _upto and not _gap"
-            picks.append(F.expr(f"min(case when {here} then _v end) as {ident(f'_{side_name}_{name}')}"))
+        for side, rank in (("a", f"floor{position}"), ("b", f"ceil{position}")):
+            here = f"{rank} >= _upto - _c and {rank} < _upto"
+            picks.append(F.expr(f"min(case when {here} then _v end) as {ident(f'_{side}_{name}')}"))
         a, b = ident(f"_a_{name}"), ident(f"_b_{name}")
-        exact = f"{a} + ({b} - {a}) * ({position} - floor{position})"
-        missed = "cast(raise_error('quantile bracket missed its rank') as double)"
-        out[name] = F.expr(f"case when _n > 0 then coalesce({exact}, {missed}) end as {ident(name)}")
-    found = placed.groupBy(*by).agg(*picks)
-    out = [out[name] for name in wanted_order]
-    if not extras:
-        return found.select(*by, *out)
+        # Between equal neighbours nothing is interpolated (infinite values stay what they are).
+        between = f"{a} + ({b} - {a}) * ({position} - floor{position})"
+        out.append(F.expr(f"case when {a} = {b} then {a} else {between} end as {ident(name)}"))
+    found = placed.groupBy(*by).agg(*picks).select(*by, *out)
+    if not extra:
+        return found
+    # Columns in the order: keys, extras, quantiles.
+    names = list(probabilities)
+    extras = keyed.groupBy(*by).agg(*extra)
     if by:
-        return found.select(*by, *out).join(sketch.select(*by, *extras), by)
-    return found.withColumn("_s", whole).select(*[f"_s.{c}" for c in extras], *out)
-
+        own = [c for c in extras.columns if c not in by]
+        return extras.join(found, by).select(*by, *own, *names)
+    whole = found.select(F.struct(*names).alias("_q")).scalar()
+    own = extras.columns
+    return extras.withColumn("_q", whole).select(*own, *[f"_q.{c}" for c in names])
 
-def _bracket_counts(rows: DataFrame, by: list[str], names: list[str]) -> DataFrame:
-    """Counts per bracketed value and per gap between brackets, each in an ordered cell.
 
-    ``names`` come in ascending probability.  Every bracket is cut into equal cells; a value lies in
-    the first bracket that holds it and a gap in the last cell of the bracket before it, so cells
-    follow the order of the values.
-    """
-    cell, gap_cell, floors = "", "-1", []
-    for j, name in enumerate(names):
-        low, high = ident(f"_lo_{name}"), ident(f"_hi_{name}")
-        share = f"case when {high} > {low} then floor((_v - {low}) / ({high} - {low}) * {CELLS}) else 0 end"
-        cell += f" when _v between {low} and {high} then {j * CELLS} + least({CELLS - 1}, {share})"
-        gap_cell = f"case when {high} < _v then {(j + 1) * CELLS - 1} else {gap_cell} end"
-        floors.append(f"case when {high} < _v then {high} end")
-    inside = " or ".join(f"_v between {ident(f'_lo_{n}')} and {ident(f'_hi_{n}')}" for n in names)
-    floor = f"greatest({', '.join(floors)})" if len(floors) > 1 else floors[0]
-    return (
-        rows.selectExpr(
-            *[ident(k) for k in by],
-            "_n",
-            f"cast(case{cell} else {gap_cell} end as int) as _cell",
-            f"case when {inside} then _v else {floor} end as _v",
-            f"not ({inside}) as _gap",
-        )
-        .groupBy(*by, "_n", "_cell", "_v", "_gap")
+def _placed(rows: DataFrame, by: list[str], probs: list[float], max_groups: int | None) -> DataFrame:
+    """The values of the finest cells that hold a wanted rank, with the number of values up to each."""
+    keys = [ident(k) for k in by]
+    ranks = [f"{side}((_n - 1) * {literal(p)})" for p in probs for side in ("floor", "ceil")]
+    wanted = " or ".join(f"({r} >= _upto - _c and {r} < _upto)" for r in ranks)
+    bounded = not by or (max_groups is not None and max_groups <= MAX_BROADCAST_GROUPS)
+
+    def running(partition: list[str], order: str, total: bool = False) -> str:
+        within = f"partition by {', '.join(partition)} " if partition else ""
+        return f"sum(_c) over ({within}" + (")" if total else f"order by {order} rows between unbounded preceding and current row)")
+
+    # A few thousand cells per group at most reach this window.
+    coarse = (
+        rows.selectExpr("*", f"{order_cell('_v', OCTAVE_CELLS)} as _coarse")
+        .groupBy(*by, "_coarse")
+        .agg(F.expr("count(1) as _c"), F.expr("min(_v) as _lo"), F.expr("max(_v) as _hi"))
+        .selectExpr("*", f"{running(keys, '_coarse')} as _upto", f"{running(keys, '', total=True)} as _n")
+        .where(wanted)
+        .selectExpr(*keys, "_coarse", "_n", "_lo", "_hi", "_upto - _c as _before")
+    )
+    share = f"nanvl((_v - _lo) / (_hi - _lo) * {CELLS}, 0)"
+    fine = f"cast(case when _hi > _lo then least({CELLS - 1}, floor({share})) else 0 end as int)"
+    values = (
+        rows.selectExpr("*", f"{order_cell('_v', OCTAVE_CELLS)} as _coarse")
+        .join(F.broadcast(coarse) if bounded else coarse, [*by, "_coarse"])
+        .selectExpr(*keys, "_n", "_coarse", "_before", f"{fine} as _fine", "_v")
+        .groupBy(*by, "_n", "_coarse", "_before", "_fine", "_v")
         .agg(F.expr("count(1) as _c"))
     )
-
-
-def _placed(counts: DataFrame, by: list[str], probs: list[float], max_groups: int | None) -> DataFrame:
-    """The values of the cells that hold a wanted rank, with the number of values up to each."""
-    keys = "".join(f"{ident(k)}, " for k in by)
-    within = f"partition by {keys[:-2]} " if by else ""
-    ranks = [f"{side}((_n - 1) * {literal(p)})" for p in probs for side in ("floor", "ceil")]
-    # At most one row per cell reaches this window: the cells of all brackets and one below them.
+    cell = [*keys, "_coarse"]
     targets = (
-        counts.groupBy(*by, "_n", "_cell")
-        .agg(F.expr("sum(_c) as _cells"))
-        .selectExpr(
-            "*",
-            f"sum(_cells) over ({within}order by _cell rows between unbounded preceding and current row)"
-            " - _cells as _before",
-        )
-        .where(" or ".join(f"({r} >= _before and {r} < _before + _cells)" for r in ranks))
-        .select(*by, "_cell", "_before")
+        values.groupBy(*by, "_n", "_coarse", "_before", "_fine")
+        .agg(F.expr("sum(_c) as _c"))
+        .selectExpr(*keys, "_n", "_coarse", "_fine", "_c", f"_before + {running(cell, '_fine')} as _upto")
+        .where(wanted)
+        .selectExpr(*keys, "_coarse", "_fine", "_upto - _c as _start")
     )
-    groups = max_groups if by else 1
-    if groups is not None and groups <= MAX_BROADCAST_GROUPS:
-        targets = F.broadcast(targets)  # at most two cells per group and probability
-    return counts.join(targets, [*by, "_cell"]).selectExpr(
-        "*",
-        f"_before + sum(_c) over (partition by {keys}_cell order by _v nulls first, _gap "
-        "rows between unbounded preceding and current row) as _upto",
-    )
-
-
-def _brackets(
-    keyed: DataFrame,
-    value: str,
-    probabilities: Mapping[str, float],
-    by: list[str],
-    extra: list[Column],
-    accuracy: int,
-) -> tuple[DataFrame, list[str]]:
-    """Per group: number of values, a bracket around every wanted rank, and the extra aggregates."""
-    # The sketch may be off by n / accuracy ranks, and positions are rounded to whole ranks.
-    margin = 5.0 / accuracy
-    lows = {name: max(0.0, p - margin) for name, p in probabilities.items()}
-    highs = {name: min(1.0, p + margin) for name, p in probabilities.items()}
-    v = f"cast({ident(value)} as double)"
-    ends = ", ".join(literal(e) for e in [*lows.values(), *highs.values()])
-    sketch = keyed.groupBy(*by).agg(
-        F.expr(f"count({v}) as _n"),
-        F.expr(f"min({v}) as _min"),
-        F.expr(f"max({v}) as _max"),
-        F.expr(f"percentile_approx({v}, array({ends}), {accuracy}) as _ends"),
-        *extra,
+    return values.join(F.broadcast(targets) if bounded else targets, [*by, "_coarse", "_fine"]).selectExpr(
+        *keys, "_n", "_v", "_c", f"_start + {running([*cell, '_fine'], '_v')} as _upto"
     )
-    extras = [c for c in sketch.columns if c not in {*by, "_n", "_min", "_max", "_ends"}]
-    # Small groups, and quantiles next to an end, are bracketed by the group's own extremes.
-    small = f"_n <= {accuracy}"
-    columns = []
-    for i, name in enumerate(probabilities):
-        at_start, at_end = literal(lows[name] <= 0.0), literal(highs[name] >= 1.0)
-        low, high = ident(f"_lo_{name}"), ident(f"_hi_{name}")
-        columns += [
-            f"case when {small} or {at_start} then _min else _ends[{i}] end as {low}",
-            f"case when {small} or {at_end} then _max else _ends[{len(lows) + i}] end as {high}",
-        ]
-    return sketch.selectExpr(*[ident(c) for c in [*by, "_n", *extras]], *columns), extras
 
 
 def exact_median(df: DataFrame, value: str, alias: str = "median") -> Column:

@@ -1,12 +1,13 @@
 """First rows, top-k and ordering.
 
-De-duplication is a ``min_by`` aggregation rather than a window: it combines on the map side, so a
-subject holding a third of the rows costs no more than any other.
+De-duplication takes minima per key, which combine on the map side, and joins them back; a subject
+holding a third of the rows is a skewed key of an equi-join with a unique side, which AQE splits.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -14,15 +15,22 @@ from pyspark.sql import functions as F
 
 
 def first_row_per_key(df: DataFrame, key: str | list[str], order: Iterable[str]) -> DataFrame:
-    """The earliest row of each key by the ordering columns (give a unique last column for ties)."""
-    keys = [key] if isinstance(key, str) else list(key)
-    rest = [c for c in df.columns if c not in keys]
-    picked = (
-        df.where(F.col(keys[0]).isNotNull())
-        .groupBy(*keys)
-        .agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("_row"))
-    )
-    return picked.select(*keys, "_row.*").select(*df.columns)
+    """The earliest row of each key by the ordering columns (give a unique last column for ties).
+
+    A missing value orders last, so an undated row is taken only where a key has no dated one; rows
+    with a missing key are dropped.
+    """
+    keys, order = [key] if isinstance(key, str) else list(key), list(order)
+    present = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    rest = [c for c in df.columns if c not in keys and c not in order]
+    # Rows that tie in every ordering column are told apart by a hash of the other columns.
+    first = df.where(present).withColumn("_tie", F.xxhash64(*rest) if rest else F.lit(0).cast("long"))
+    for column in [*order, "_tie"]:
+        # One plain minimum per ordering column combines by hashing; a minimum of structs would sort.
+        least = first.groupBy(*keys).agg(F.min(column).alias("_least"))
+        same = F.col(column).eqNullSafe(F.col("_least"))
+        first = first.join(least, keys).where(same).drop("_least")
+    return first.select(*df.columns).distinct()
 
 
 def sort_rows(df: DataFrame, keys: Iterable) -> DataFrame:

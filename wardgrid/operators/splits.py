@@ -19,9 +19,11 @@ from wardgrid.session import staged
 _PREFIX = 4  # hex digits: 65,536 evenly filled cells per class
 
 
-def hash_key(id_col: str, seed: int) -> Column:
-    """Sort key of a row: hash of seed and id, then the id itself."""
-    text = F.col(id_col).cast("string")
+def hash_key(id_col: str | list[str], seed: int) -> Column:
+    """Sort key of a row: hash of seed and id, then the id itself.  A missing id counts as an empty text."""
+    ids = [id_col] if isinstance(id_col, str) else list(id_col)
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ids]
+    text = parts[0] if len(parts) == 1 else F.concat_ws(":", *parts)
     return F.concat(F.md5(F.concat(F.lit(f"{seed}:"), text)), F.lit(":"), text)
 
 
@@ -48,10 +50,14 @@ def _cuts(keyed: DataFrame, ranks: list[Column]) -> DataFrame:
     needs = staged(
         targets.groupBy("_class", "_cell").agg(F.collect_list("_need").alias("_needs")), "cut-cells"
     )
-    ranked = keyed.join(needs, ["_class", "_cell"]).withColumn(
-        "_rank", F.row_number().over(W.partitionBy("_class", "_cell").orderBy("_key"))
+    order = W.partitionBy("_class", "_cell").orderBy("_key")
+    ranked = keyed.join(needs, ["_class", "_cell"]).withColumns(
+        {"_rank": F.row_number().over(order), "_next": F.lead("_key").over(order)}
     )
-    hits = F.filter("_needs", lambda need: need == F.col("_rank"))
+    # Rows of one id stay together, so a cut inside them could not give the promised sizes.
+    repeated = F.raise_error(F.lit("ids repeat at a cut of the split; give a list of columns that is unique"))
+    sound = F.when(F.col("_next") == F.col("_key"), repeated.cast("boolean")).otherwise(F.lit(True))
+    hits = F.filter("_needs", lambda need: (need == F.col("_rank")) & sound)
     found = ranked.select("_class", "_key", F.explode(hits)).select("_class", "_key")
     # A cut at rank 0 lies before every row.
     before_all = (
@@ -62,18 +68,22 @@ def _cuts(keyed: DataFrame, ranks: list[Column]) -> DataFrame:
 
 
 def _assign(
-    df: DataFrame, id_col: str, strata: str | None, ranks: list[Column], seed: int, n_classes: int | None
+    df: DataFrame, id_col: str | list[str], strata: str | None, ranks: list[Column], seed: int,
+    classes: Iterable | None = None,
 ) -> DataFrame:
     """``df`` with ``_part``: how many of its class's cut keys lie before each row."""
     # Without strata there is one class; a missing class forms a class of its own.
     cls = F.lit("all") if strata is None else F.coalesce(F.col(strata).cast("string"), F.lit(""))
+    known = None if classes is None else [str(c) for c in classes]
+    if known is not None and strata is not None:
+        cls = F.when(cls.isin(known), cls).otherwise(F.lit(""))
     keyed = df.withColumns({"_class": cls, "_key": hash_key(id_col, seed)})
     narrow = keyed.select("_class", "_key", F.substring("_key", 1, _PREFIX).alias("_cell"))
     cuts = _cuts(narrow, ranks)
     if strata is None:
         keyed = keyed.withColumn("_cuts", cuts.select("_cuts").scalar())
     else:
-        keyed = keyed.join(sized(cuts, n_classes, "cuts"), "_class")
+        keyed = keyed.join(sized(cuts, None if known is None else len(known) + 1, "cuts"), "_class")
     part = F.aggregate(
         "_cuts", F.lit(0), lambda acc, cut: acc + F.when(F.col("_key") > cut, 1).otherwise(0)
     )
@@ -82,7 +92,7 @@ def _assign(
 
 def stratified_split(
     df: DataFrame,
-    id_col: str,
+    id_col: str | list[str],
     label: str,
     test: float = 0.2,
     seed: int = 42,
@@ -91,38 +101,31 @@ def stratified_split(
 ) -> DataFrame:
     """Mark the test rows: in every class the share nearest to ``test``.
 
-    ``classes`` lists the class values when they are known; it proves the broadcast bound and other
-    values are left out.
+    ``id_col`` names the column, or the columns, that tell rows apart.  ``classes`` lists the class
+    values when they are known and only proves a broadcast bound: rows with another value stay and
+    share one further class.
     """
     return _split(df, id_col, label, test, seed, classes, out)
 
 
 def random_split(
-    df: DataFrame, id_col: str, test: float = 0.2, seed: int = 42, out: str = "is_test"
+    df: DataFrame, id_col: str | list[str], test: float = 0.2, seed: int = 42, out: str = "is_test"
 ) -> DataFrame:
     """Mark the test rows: the share of all rows nearest to ``test``."""
     ranks = [F.floor(F.col("_n") * F.lit(float(test)) + F.lit(0.5))]
-    marked = _assign(df, id_col, None, ranks, seed, 1)
+    marked = _assign(df, id_col, None, ranks, seed)
     return marked.withColumn(out, (F.col("_part") == 0).cast("int")).drop("_part")
 
 
 def _split(df, id_col, label, test, seed, classes, out) -> DataFrame:
-    rows, n = _known_classes(df, label, classes)
     ranks = [F.floor(F.col("_n") * F.lit(float(test)) + F.lit(0.5))]
-    marked = _assign(rows, id_col, label, ranks, seed, n)
+    marked = _assign(df, id_col, label, ranks, seed, classes)
     return marked.withColumn(out, (F.col("_part") == 0).cast("int")).drop("_part")
 
 
-def _known_classes(df: DataFrame, label: str, classes) -> tuple[DataFrame, int | None]:
-    if classes is None:
-        return df, None
-    classes = list(classes)
-    return df.where(F.col(label).isin(classes)), len(classes)
-
-
 def folds(
     df: DataFrame,
-    id_col: str,
+    id_col: str | list[str],
     label: str | None = None,
     k: int = 5,
     seed: int = 42,
@@ -132,10 +135,9 @@ def folds(
     """Fold number 0..k-1 per row; fold sizes inside a class (or overall) differ by at most one."""
     ranks = [F.floor(F.col("_n") * F.lit(i) / F.lit(k)) for i in range(1, k)]
     if label is None:
-        marked = _assign(df, id_col, None, ranks, seed, 1)
+        marked = _assign(df, id_col, None, ranks, seed)
     else:
-        rows, n = _known_classes(df, label, classes)
-        marked = _assign(rows, id_col, label, ranks, seed, n)
+        marked = _assign(df, id_col, label, ranks, seed, classes)
     return marked.withColumnRenamed("_part", out)
 
 

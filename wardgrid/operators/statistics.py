@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from wardgrid.functions.columns import hours_between
 from wardgrid.functions.sqltext import ident, literal
-from wardgrid.operators.ranking import first_row_per_key
 from wardgrid.operators.sizing import sized
 
 
@@ -51,7 +50,7 @@ def zscore_outliers(
 ) -> DataFrame:
     """Largest absolute z-score per subject and the item it comes from (ties: lowest item code).
 
-    Long form throughout.  With a fixed item list the per-item statistics are a provably small
+    Long form throughout.  ``items`` keeps only these items; with such a list the per-item statistics are a provably small
     broadcast; otherwise they are staged so that their size decides.
     """
     items = list(items) if items is not None else None
@@ -62,12 +61,10 @@ def zscore_outliers(
     stats = sized(stats, len(items) if items is not None else None, "item-stats")
     z = F.abs(F.try_divide(F.col(value) - F.col("_mean"), F.col("_sd")))
     scored = rows.join(stats, item).select(subject, item, z.alias("_z"))
-    extreme = F.min(F.when(F.col("_z").isNotNull(), F.struct((-F.col("_z")).alias("nz"), F.col(item))))
-    return (
-        scored.groupBy(subject)
-        .agg(extreme.alias("_x"))
-        .select(subject, (-F.col("_x.nz")).alias("max_abs_z"), F.col(f"_x.{item}").alias("extreme_item"))
-    )
+    most = scored.groupBy(subject).agg(F.max("_z").alias("max_abs_z"))
+    at_most = scored.join(most.withColumnRenamed(subject, "_s"), F.col(subject).eqNullSafe(F.col("_s")))
+    extreme = at_most.where(F.col("_z") == F.col("max_abs_z")).groupBy("_s").agg(F.min(item).alias("extreme_item"))
+    return most.join(extreme, F.col(subject).eqNullSafe(F.col("_s")), "left").select(subject, "max_abs_z", "extreme_item")
 
 
 def extreme_item(peaks: DataFrame, subject: str, item: str, value: str, items=None) -> DataFrame:
@@ -107,7 +104,7 @@ def aligned_trajectories(
 
     def first_time(df: DataFrame, ts: str, alias: str) -> DataFrame:
         mine = df.select(subject, ts).join(chosen, subject, "left_semi")
-        return first_row_per_key(mine, subject, [ts]).select(subject, F.col(ts).alias(alias))
+        return mine.groupBy(subject).agg(F.min(ts).alias(alias))
 
     zero = (
         chosen.join(first_time(anchors, anchor_ts, "_t1"), subject, "left")
@@ -135,7 +132,7 @@ def predicted_vs_actual(preds: DataFrame, model: str, actual: str, predicted: st
 def prediction_error_histogram(
     preds: DataFrame, model: str, actual: str, predicted: str, models: Iterable[str], bins: int = 30
 ) -> DataFrame:
-    """Equal-width bins of predicted minus actual per model; the maximum falls in the last bin."""
+    """Equal-width bins of predicted minus actual for the named models; the maximum falls in the last bin."""
     models = list(models)
     errors = preds.where(F.col(model).isin(models)).select(
         F.col(model).alias("model"), (F.col(predicted) - F.col(actual)).alias("_e")

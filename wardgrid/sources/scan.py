@@ -38,7 +38,8 @@ def scan_table(
 ) -> DataFrame | None:
     """Scan a CSV or Parquet table, keep the named columns with their declared types.
 
-    Columns are matched by name whatever their position in the file.  A missing path gives ``None``.
+    Columns are matched by name whatever their position in the file; NaN is read as NULL in every format.
+    A missing path gives ``None``.
     """
     fmt = fmt or ("csv" if path.lower().split("?")[0].endswith((".csv", ".csv.gz")) else "parquet")
     try:
@@ -50,10 +51,10 @@ def scan_table(
         raise
     wanted = list(columns) if columns is not None else (schema.fieldNames() if schema else raw.columns)
     if schema is None:
-        return raw.select(*wanted)
+        return _nan_to_null(raw.select(*wanted))
     require_columns(raw, wanted)
     typed = raw.select(*[F.col(c).cast(schema[c].dataType).alias(c) for c in wanted])
-    return _nan_to_null(typed) if fmt == "csv" else typed
+    return _nan_to_null(typed)
 
 
 def load_tables(
