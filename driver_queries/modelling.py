@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import partial
-
 from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -237,11 +235,6 @@ def _(spark, sf):
 
 # -- models (no SQL equivalent) ---------------------------------------------------------------
 
-# Boosting rounds run one after another; the library defaults (200 and 300) hold for real studies.
-ROUNDS = 50
-FOLD_ROUNDS = 10
-
-
 def _study(spark, sf):
     """Order matrix with every residual gap filled and the test rows marked, staged once."""
     matrix = staged(order_matrix(spark, sf), "matrix")
@@ -281,7 +274,7 @@ def _(spark, sf):
 
 @query("fit_gbt_classifier")
 def _(spark, sf):
-    return _classify(spark, sf, partial(M.fit_gbt_classifier, rounds=ROUNDS))
+    return _classify(spark, sf, M.fit_gbt_classifier)
 
 
 def _regression_study(spark, sf):
@@ -302,24 +295,36 @@ def _regress(spark, sf, fit):
 
 @query("fit_gbt_regressor")
 def _(spark, sf):
-    return _regress(spark, sf, partial(M.fit_gbt_regressor, rounds=ROUNDS))
+    return _regress(spark, sf, M.fit_gbt_regressor)
 
 
 @query("fit_gbt_regressor_alt")
 def _(spark, sf):
-    return _regress(spark, sf, partial(M.fit_gbt_regressor_alt, rounds=ROUNDS))
+    return _regress(spark, sf, M.fit_gbt_regressor_alt)
+
+
+CLASSIFIERS = {"logistic": M.fit_logistic, "random_forest": M.fit_random_forest, "gbt": M.fit_gbt_classifier}
+REGRESSORS = {"gbt": M.fit_gbt_regressor, "gbt_alt": M.fit_gbt_regressor_alt}
 
 
 @query("cv_classification")
 def _(spark, sf):
     data, features = _study(spark, sf)
-    return M.cv_classification(data, M.fit_logistic, features, "flag", "hadm_id")
+    scores = [
+        M.cv_classification(data, fit, features, "flag", "hadm_id").select(F.lit(name).alias("model"), "*")
+        for name, fit in CLASSIFIERS.items()
+    ]
+    return E.model_comparison(scores)
 
 
 @query("cv_regression")
 def _(spark, sf):
     data, features = _regression_study(spark, sf)
-    return M.cv_regression(data, partial(M.fit_gbt_regressor, rounds=FOLD_ROUNDS), features, "los", "hadm_id")
+    errors = [
+        M.cv_regression(data, fit, features, "los", "hadm_id").select(F.lit(name).alias("model"), "*")
+        for name, fit in REGRESSORS.items()
+    ]
+    return E.model_comparison(errors)
 
 
 @query("feature_importance")

@@ -7,7 +7,9 @@ from Spark's own library, so fits agree with other libraries in kind, not to the
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     GBTClassifier,
@@ -20,8 +22,9 @@ from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardgrid.operators.evaluate import auroc, model_comparison
+from wardgrid.operators.evaluate import auroc
 from wardgrid.operators.splits import folds
+from wardgrid.session import staged
 
 Fit = Callable[[DataFrame, list[str], str], PipelineModel]
 
@@ -169,35 +172,46 @@ def feature_importance(model: PipelineModel, features: list[str]) -> DataFrame:
     )
 
 
+def _over_folds(k: int, parallelism: int, work: Callable[[int], tuple]) -> list[tuple]:
+    """``work`` of every fold, ``parallelism`` of them at a time; boosting rounds alone leave cores idle."""
+    with ThreadPool(min(k, parallelism)) as pool:
+        return pool.map(inheritable_thread_target(work), range(k))
+
+
 def cv_classification(
-    df: DataFrame, fit: Fit, features: list[str], label: str, id_col: str, k: int = 5, seed: int = 42
+    df: DataFrame, fit: Fit, features: list[str], label: str, id_col: str, k: int = 5, seed: int = 42,
+    parallelism: int = 5,
 ) -> DataFrame:
-    """AUROC per stratified fold, refitting on the other folds; stage ``df`` first."""
-    marked = folds(df, id_col, label, k, seed, classes=(0, 1))
-    rows = []
-    for fold in range(k):
+    """AUROC per stratified fold, refitting on the other folds.  The marked rows are written once."""
+    marked = staged(folds(df, id_col, label, k, seed, classes=(0, 1)), "folds")
+
+    def work(fold: int) -> tuple:
         model = fit(marked.where(F.col("fold") != fold), features, label)
         scored = score_classifier(model, marked.where(F.col("fold") == fold))
-        rows.append(auroc(scored, "score", label).select(F.lit(fold).alias("fold"), "auroc"))
-    return model_comparison(rows)
+        return fold, auroc(scored, "score", label).first()["auroc"]
+
+    rows = _over_folds(k, parallelism, work)
+    return df.sparkSession.createDataFrame(rows, "fold int, auroc double")
 
 
 def cv_regression(
-    df: DataFrame, fit: Fit, features: list[str], label: str, id_col: str, k: int = 5, seed: int = 42
+    df: DataFrame, fit: Fit, features: list[str], label: str, id_col: str, k: int = 5, seed: int = 42,
+    parallelism: int = 5,
 ) -> DataFrame:
     """Mean absolute error per fold on the log scale and in the target's own unit."""
-    marked = folds(df, id_col, None, k, seed)
-    rows = []
-    for fold in range(k):
+    marked = staged(folds(df, id_col, None, k, seed), "folds")
+
+    def work(fold: int) -> tuple:
         model = fit(marked.where(F.col("fold") != fold), features, label)
         scored = score_regressor(model, marked.where(F.col("fold") == fold))
-        rows.append(
-            scored.agg(
-                F.avg(F.abs(F.col("predicted_log") - F.log1p(label))).alias("mae_log"),
-                F.avg(F.abs(F.col("predicted") - F.col(label))).alias("mae"),
-            ).select(F.lit(fold).alias("fold"), "mae_log", "mae")
-        )
-    return model_comparison(rows)
+        errors = scored.agg(
+            F.avg(F.abs(F.col("predicted_log") - F.log1p(label))).alias("mae_log"),
+            F.avg(F.abs(F.col("predicted") - F.col(label))).alias("mae"),
+        ).first()
+        return fold, errors["mae_log"], errors["mae"]
+
+    rows = _over_folds(k, parallelism, work)
+    return df.sparkSession.createDataFrame(rows, "fold int, mae_log double, mae double")
 
 
 def cv_summary(scores: DataFrame, metric: str) -> DataFrame:
