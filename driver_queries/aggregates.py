@@ -82,14 +82,13 @@ def _(spark, sf):
 @query(
     "top_k_titles",
     """select coalesce(p_name, cast(l_partkey as varchar)) as label, count(l_orderkey) as n
-    from lineitem left join (select p_partkey, p_name from part where p_size < 25) t
+    from lineitem left join (select p_partkey, case when p_size < 25 then p_name end as p_name from part) t
     on l_partkey = p_partkey group by 1 order by n desc, label limit 10""",
 )
 def _(spark, sf):
     coded = table(spark, sf, "lineitem").select("l_orderkey", F.col("l_partkey").alias("code"))
-    titles = table(spark, sf, "part").where(F.col("p_size") < 25).select(
-        F.col("p_partkey").alias("code"), F.col("p_name").alias("title")
-    )
+    title = F.when(F.col("p_size") < 25, F.col("p_name")).alias("title")
+    titles = table(spark, sf, "part").select(F.col("p_partkey").alias("code"), title)
     return A.top_k_titles(coded, titles, "code", "title", "l_orderkey", 10)
 
 

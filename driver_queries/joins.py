@@ -27,13 +27,12 @@ from wardgrid.operators.aggregates import peak_by_subject
 @query(
     "join_subject_demographics",
     f"select hadm_id, e.subject_id, c_mktsegment as gender from {ENCOUNTERS} e left join "
-    "(select c_custkey as subject_id, c_mktsegment from customer where c_nationkey < 20) c "
+    "(select c_custkey as subject_id, case when c_nationkey < 20 then c_mktsegment end as c_mktsegment from customer) c "
     "on e.subject_id = c.subject_id",
 )
 def _(spark, sf):
-    subjects = table(spark, sf, "customer").where(F.col("c_nationkey") < 20).select(
-        F.col("c_custkey").alias("subject_id"), F.col("c_mktsegment").alias("gender")
-    )
+    gender = F.when(F.col("c_nationkey") < 20, F.col("c_mktsegment"))
+    subjects = table(spark, sf, "customer").select(F.col("c_custkey").alias("subject_id"), gender.alias("gender"))
     return J.join_subject_demographics(
         encounters(spark, sf).select("hadm_id", "subject_id"), subjects, "subject_id"
     ).select("hadm_id", "subject_id", "gender")
@@ -42,13 +41,12 @@ def _(spark, sf):
 @query(
     "join_code_titles",
     "select l_orderkey, l_partkey as code, p_name as title from lineitem left join "
-    "(select p_partkey, p_name from part where p_size < 25) t on l_partkey = p_partkey",
+    "(select p_partkey, case when p_size < 25 then p_name end as p_name from part) t on l_partkey = p_partkey",
 )
 def _(spark, sf):
     coded = table(spark, sf, "lineitem").select("l_orderkey", F.col("l_partkey").alias("code"))
-    titles = table(spark, sf, "part").where(F.col("p_size") < 25).select(
-        F.col("p_partkey").alias("code"), F.col("p_name").alias("title")
-    )
+    title = F.when(F.col("p_size") < 25, F.col("p_name")).alias("title")
+    titles = table(spark, sf, "part").select(F.col("p_partkey").alias("code"), title)
     return J.join_code_titles(coded, titles, "code").select("l_orderkey", "code", "title")
 
 
@@ -88,7 +86,7 @@ def _(spark, sf):
     left join (select hadm_id, count(code) as n_codes from {CODES} d group by hadm_id) k
       on e.hadm_id = k.hadm_id
     left join (select l_orderkey, avg(l_quantity) as mean_quantity from lineitem
-      where l_linenumber = 1 group by l_orderkey) q on e.hadm_id = q.l_orderkey""",
+      group by l_orderkey) q on e.hadm_id = q.l_orderkey""",
 )
 def _(spark, sf):
     person = table(spark, sf, "customer").select(
@@ -97,7 +95,6 @@ def _(spark, sf):
     counts = codes(spark, sf).groupBy("hadm_id").agg(F.count("code").alias("n_codes"))
     quantity = (
         table(spark, sf, "lineitem")
-        .where(F.col("l_linenumber") == 1)
         .groupBy(F.col("l_orderkey").alias("hadm_id"))
         .agg(F.avg("l_quantity").alias("mean_quantity"))
     )
@@ -113,16 +110,16 @@ def _(spark, sf):
 @query(
     "outer_align",
     f"""with c as (select subject_id, max(valuenum) as click_peak from {VITALS} v
-      where itemid = 'click' and valuenum > 60 group by subject_id),
+      where itemid = 'click' group by subject_id),
     e as (select subject_id, max(valuenum) as error_peak from {VITALS} v
-      where itemid = 'error' and valuenum > 60 group by subject_id)
+      where itemid = 'error' group by subject_id)
     select coalesce(c.subject_id, e.subject_id) as subject_id, click_peak, error_peak
     from c full outer join e on c.subject_id = e.subject_id""",
 )
 def _(spark, sf):
-    high = vitals(spark, sf).where(F.col("valuenum") > 60)
+    events = vitals(spark, sf)
     parts = [
-        peak_by_subject(high, "subject_id", "itemid", "valuenum", item, f"{item}_peak")
+        peak_by_subject(events, "subject_id", "itemid", "valuenum", item, f"{item}_peak")
         for item in ("click", "error")
     ]
     return J.outer_align(parts, "subject_id")

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from driver_queries.features import IDS, order_matrix
-from driver_queries.registry import ENCOUNTERS, STAYS, encounters, query, rounded, stays, table
+from driver_queries.features import IDS, TYPES, order_matrix
+from driver_queries.registry import ENCOUNTERS, LAB_WIDE, STAYS, encounters, query, rounded, stays, table
 from driver_queries.statistics import PREDICTIONS, _predictions
 from wardgrid.operators import evaluate as E
 from wardgrid.operators import models as M
@@ -233,7 +233,13 @@ def _(spark, sf):
     return rounded(out)
 
 
-# -- models (no SQL equivalent) ---------------------------------------------------------------
+# -- models -----------------------------------------------------------------------------------
+#
+# SQL can't repeat a fit, so it states what holds for any sound one: which rows are tested, that
+# classes follow from scores, what a weighted fit must average to, and exact errors of a mean model.
+
+TESTED = f"(select hadm_id, flag from {_KEYED} k where rk <= floor(n * 0.2::double + 0.5))"
+
 
 def _study(spark, sf):
     """Order matrix with every residual gap filled and the test rows marked, staged once."""
@@ -248,100 +254,212 @@ def _parts(data):
 
 
 def _classify(spark, sf, fit):
+    """The tested rows, whether scores are probabilities, and whether classes follow from them."""
     data, features = _study(spark, sf)
     train, test = _parts(data)
     scored = M.score_classifier(fit(train, features, "flag"), test)
-    return scored.select("hadm_id", "flag", "score", "predicted")
+    return scored.select(
+        "hadm_id", "flag",
+        F.col("score").between(0, 1).alias("is_probability"),
+        (F.col("predicted") == (F.col("score") > 0.5).cast("int")).alias("class_follows"),
+    )
+
 
+_CLASSIFIED = f"select hadm_id, flag, true as is_probability, true as class_follows from {TESTED} t"
 
-@query("standard_scale")
+
+@query(
+    "standard_scale",
+    f"""with k as (select hadm_id, rk, n from {_ALL} k), v as (select hadm_id, rk <= floor(n * 0.2::double + 0.5) as is_test,
+      feature, x from k join (select o_orderkey, unnest(['amount', 'customer']) as feature,
+        unnest([o_totalprice, o_custkey::double]) as x from orders) o on hadm_id = o_orderkey),
+    m as (select feature, avg(x) as mean, stddev_samp(x) as sd from v where not is_test group by feature)
+    select hadm_id, v.feature, round((x - mean) / sd, 6) as z from v join m on v.feature = m.feature where is_test""",
+)
 def _(spark, sf):
-    data, features = _study(spark, sf)
-    train, test = _parts(data)
-    model = Pipeline(stages=[M._assembler(features), M.standard_scale()]).fit(train)
-    return model.transform(test).select("hadm_id", vector_to_array("_scaled").alias("scaled"))
+    names = ["amount", "customer"]
+    numbers = table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("hadm_id"), F.col("o_totalprice").alias("amount"), F.col("o_custkey").cast("double").alias("customer")
+    )
+    train, test = _parts(staged(S.random_split(numbers, "hadm_id"), "scaled"))
+    model = Pipeline(stages=[M._assembler(names), M.standard_scale()]).fit(train)
+    scaled = model.transform(test).withColumn("_z", vector_to_array("_scaled"))
+    return rounded(scaled.select("hadm_id", *[F.col("_z")[k].alias(n) for k, n in enumerate(names)]).unpivot("hadm_id", names, "feature", "z"))
 
 
-@query("fit_logistic")
+@query("fit_logistic", _CLASSIFIED)
 def _(spark, sf):
     return _classify(spark, sf, M.fit_logistic)
 
 
-@query("fit_random_forest")
+@query(
+    "fit_logistic_balance",
+    f"""select count(*) filter (where rk > floor(n * 0.2::double + 0.5)) as n_train, 0.5::double as weighted_score
+    from {_KEYED} k""",
+)
+def _(spark, sf):
+    """A free intercept makes the weighted scores average to the weighted share of class 1, here one half."""
+    data, features = _study(spark, sf)
+    train, _ = _parts(data)
+    scored = M.score_classifier(M.fit_logistic(train, features, "flag"), train)
+    per_class = scored.groupBy("flag").agg(F.avg("score").alias("mean"), F.count(F.lit(1)).alias("n"))
+    return per_class.agg(F.sum("n").alias("n_train"), F.round(F.avg("mean"), 3).alias("weighted_score"))
+
+
+@query("fit_random_forest", _CLASSIFIED)
 def _(spark, sf):
     return _classify(spark, sf, M.fit_random_forest)
 
 
-@query("fit_gbt_classifier")
+@query("fit_gbt_classifier", _CLASSIFIED)
 def _(spark, sf):
     return _classify(spark, sf, M.fit_gbt_classifier)
 
 
-def _regression_study(spark, sf):
-    data, features = _study(spark, sf)
+def _target(spark, sf):
     # The order total is not part of the matrix, so it serves as a positive, skewed target.
-    target = table(spark, sf, "orders").select(
+    return table(spark, sf, "orders").select(
         F.col("o_orderkey").alias("hadm_id"), (F.col("o_totalprice") / F.lit(10000.0)).alias("los")
-    )
-    return staged(data.join(target, "hadm_id").where(F.col("los") > 0), "regression"), features
+    ).where(F.col("los") > 0)
+
+
+def _regression_study(spark, sf):
+    data, features = _study(spark, sf)
+    return staged(data.join(_target(spark, sf), "hadm_id"), "regression"), features
 
 
 def _regress(spark, sf, fit):
+    """The tested rows, whether predictions are above -1 and fit the log scale."""
     data, features = _regression_study(spark, sf)
     train, test = _parts(data)
     scored = M.score_regressor(fit(train, features, "los"), test)
-    return scored.select("hadm_id", "los", "predicted_log", "predicted")
+    return scored.select(
+        "hadm_id", F.round("los", 6).alias("los"),
+        (F.col("predicted") > -1).alias("in_range"),
+        (F.abs(F.log1p("predicted") - F.col("predicted_log")) < 1e-9).alias("scales_agree"),
+    )
+
 
+_REGRESSED = f"""select hadm_id, round(o_totalprice / 10000.0, 6) as los, true as in_range, true as scales_agree
+    from {TESTED} t join orders on hadm_id = o_orderkey where o_totalprice > 0"""
 
-@query("fit_gbt_regressor")
+
+@query("fit_gbt_regressor", _REGRESSED)
 def _(spark, sf):
     return _regress(spark, sf, M.fit_gbt_regressor)
 
 
-@query("fit_gbt_regressor_alt")
+@query("fit_gbt_regressor_alt", _REGRESSED)
 def _(spark, sf):
     return _regress(spark, sf, M.fit_gbt_regressor_alt)
 
 
+@query(
+    "cv_classification",
+    "select fold, 0.5::double as auroc from (select distinct fold from "
+    f"(select {_FOLD} as fold from {_KEYED} k) f) g",
+)
+def _(spark, sf):
+    """A constant score, whose area is one half in every fold."""
+    return M.cv_classification(_labelled(spark, sf), M.fit_share, [], "flag", "hadm_id")
+
+
+@query(
+    "cv_regression",
+    f"""with f as (select hadm_id, {_FOLD} as fold, los from {_ALL} k
+      join (select o_orderkey, o_totalprice / 10000.0 as los from orders where o_totalprice > 0) o on hadm_id = o_orderkey),
+    m as (select g.fold, avg(ln(1 + f.los)) as mean from f join (select distinct fold from f) g on f.fold <> g.fold group by g.fold)
+    select f.fold, round(avg(abs(mean - ln(1 + los))), 6) as mae_log, round(avg(abs(exp(mean) - 1 - los)), 6) as mae
+    from f join m on f.fold = m.fold group by f.fold""",
+)
+def _(spark, sf):
+    """The errors of the mean model in every fold."""
+    return rounded(M.cv_regression(_target(spark, sf), M.fit_log_mean, [], "los", "hadm_id"))
+
+
+@query(
+    "cv_summary",
+    f"""with f as (select hadm_id, {_FOLD} as fold, los from {_ALL} k
+      join (select o_orderkey, o_totalprice / 10000.0 as los from orders where o_totalprice > 0) o on hadm_id = o_orderkey),
+    m as (select g.fold, avg(ln(1 + f.los)) as mean from f join (select distinct fold from f) g on f.fold <> g.fold group by g.fold),
+    e as (select f.fold, avg(abs(exp(mean) - 1 - los)) as mae from f join m on f.fold = m.fold group by f.fold)
+    select round(avg(mae), 6) as cv_mae, round(stddev_pop(mae), 6) as cv_mae_sd from e""",
+)
+def _(spark, sf):
+    return rounded(M.cv_summary(M.cv_regression(_target(spark, sf), M.fit_log_mean, [], "los", "hadm_id"), "mae"))
+
+
 CLASSIFIERS = {"logistic": M.fit_logistic, "random_forest": M.fit_random_forest, "gbt": M.fit_gbt_classifier}
 REGRESSORS = {"gbt": M.fit_gbt_regressor, "gbt_alt": M.fit_gbt_regressor_alt}
 
 
-@query("cv_classification")
+def _five_folds(names) -> str:
+    rows = ", ".join(f"('{n}')" for n in names)
+    return f"select model, cast(fold as integer) as fold, true as is_sound from (values {rows}) m(model), range(5) f(fold)"
+
+
+@query("cv_classification_models", _five_folds(CLASSIFIERS))
 def _(spark, sf):
     data, features = _study(spark, sf)
     scores = [
-        M.cv_classification(data, fit, features, "flag", "hadm_id").select(F.lit(name).alias("model"), "*")
+        M.cv_classification(data, fit, features, "flag", "hadm_id").select(
+            F.lit(name).alias("model"), "fold", F.col("auroc").between(0, 1).alias("is_sound")
+        )
         for name, fit in CLASSIFIERS.items()
     ]
     return E.model_comparison(scores)
 
 
-@query("cv_regression")
+@query("cv_regression_models", _five_folds(REGRESSORS))
 def _(spark, sf):
     data, features = _regression_study(spark, sf)
     errors = [
-        M.cv_regression(data, fit, features, "los", "hadm_id").select(F.lit(name).alias("model"), "*")
+        M.cv_regression(data, fit, features, "los", "hadm_id").select(
+            F.lit(name).alias("model"), "fold", ((F.col("mae") > 0) & (F.col("mae_log") > 0)).alias("is_sound")
+        )
         for name, fit in REGRESSORS.items()
     ]
     return E.model_comparison(errors)
 
 
-@query("feature_importance")
+MATRIX_FEATURES = ["age", "age_imputed", *[f"type_{t}" for t in TYPES], "balance", "comorbidity", *LAB_WIDE]
+
+
+@query(
+    "feature_importance",
+    "select unnest([" + ", ".join(f"'{f}'" for f in MATRIX_FEATURES) + "]) as feature, "
+    "true as not_negative, 1.0::double as total",
+)
 def _(spark, sf):
+    """Names, signs and the sum of the forest's importances."""
     data, features = _study(spark, sf)
-    return M.feature_importance(M.fit_random_forest(_parts(data)[0], features, "flag"), features)
+    found = M.feature_importance(M.fit_random_forest(_parts(data)[0], features, "flag"), features)
+    total = found.agg(F.round(F.sum("importance"), 6)).scalar()
+    return found.select("feature", (F.col("importance") >= 0).alias("not_negative"), total.alias("total"))
+
+
+_CORRELATED = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
-@query("feature_top_n")
+@query(
+    "feature_top_n",
+    "select feature, round(abs(r), 6) as importance from (" + " union all ".join(
+        f"select '{c}' as feature, corr({c}, case when l_returnflag = 'R' then 1.0 else 0.0 end) as r from lineitem"
+        for c in _CORRELATED
+    ) + ") c order by abs(r) desc, feature limit 3",
+)
 def _(spark, sf):
-    data, features = _study(spark, sf)
-    importance = M.feature_importance(M.fit_logistic(_parts(data)[0], features, "flag"), features)
-    return feature_top_n(importance, 15)
+    label = (F.col("l_returnflag") == "R").cast("double")
+    row = table(spark, sf, "lineitem").agg(*[F.abs(F.corr(c, label)).alias(c) for c in _CORRELATED])
+    return rounded(feature_top_n(row.unpivot([], _CORRELATED, "feature", "importance"), 3))
 
 
-@query("write_model_results")
+@query(
+    "write_model_results",
+    f"select hadm_id, flag, true as same_score, true as same_auroc from {TESTED} t",
+)
 def _(spark, sf):
+    """Written predictions next to those of the reloaded model, and the written metric computed anew."""
     data, features = _study(spark, sf)
     train, test = _parts(data)
     model = M.fit_logistic(train, features, "flag")
@@ -350,4 +468,10 @@ def _(spark, sf):
         {"model": model, "predictions": scored, "metrics": E.auroc(scored, "score", "flag")},
         staging_path(spark, "results"),
     )
-    return spark.read.parquet(f"{path}/predictions")
+    written = spark.read.parquet(f"{path}/predictions")
+    again = M.score_classifier(PipelineModel.load(f"{path}/model"), test).select("hadm_id", F.col("score").alias("_again"))
+    metric = spark.read.parquet(f"{path}/metrics").select("auroc").scalar()
+    anew = E.auroc(written, "score", "flag").select("auroc").scalar()
+    return written.join(again, "hadm_id").select(
+        "hadm_id", "flag", (F.abs(F.col("score") - F.col("_again")) < 1e-9).alias("same_score"), (F.abs(metric - anew) < 1e-9).alias("same_auroc")
+    )

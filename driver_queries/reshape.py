@@ -52,13 +52,13 @@ def _(spark, sf):
 @query(
     "append_rows",
     f"select subject_id, itemid, valuenum from {VITALS} v where itemid in ('click', 'view') union all "
-    f"select subject_id, itemid, valuenum from {VITALS} v where itemid = 'error'",
+    f"select subject_id, itemid, valuenum from {VITALS} v where itemid = 'error' union all "
+    f"select subject_id, itemid, valuenum from {VITALS} v where itemid not in ('click', 'view', 'error')",
 )
 def _(spark, sf):
     rows = vitals(spark, sf).select("subject_id", "itemid", "valuenum")
-    return R.append_rows(
-        [rows.where(F.col("itemid").isin("click", "view")), rows.where(F.col("itemid") == "error")]
-    )
+    first, second = F.col("itemid").isin("click", "view"), F.col("itemid") == "error"
+    return R.append_rows([rows.where(first), rows.where(second), rows.where(~first & ~second)])
 
 
 @query(

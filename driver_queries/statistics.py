@@ -93,7 +93,7 @@ def _(spark, sf):
     f"""with sel as (select subject_id from {OUTLIERS_SQL} o order by max_abs_z desc nulls last,
       subject_id limit 20),
     t1 as (select user_id as subject_id, min(ts) as t from events where event_type = 'signup'
-      and value > 30 group by user_id),
+      group by user_id),
     t2 as (select user_id as subject_id, min(ts) as t from events group by user_id),
     z as (select sel.subject_id, coalesce(t1.t, t2.t) as t0 from sel left join t1
       on sel.subject_id = t1.subject_id left join t2 on sel.subject_id = t2.subject_id)
@@ -104,7 +104,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     events = vitals(spark, sf)
-    anchors = events.where((F.col("itemid") == "signup") & (F.col("valuenum") > 30)).select(
+    anchors = events.where(F.col("itemid") == "signup").select(
         "subject_id", F.col("charttime").alias("intime")
     )
     fallback = events.select("subject_id", F.col("charttime").alias("admittime"))

@@ -16,12 +16,13 @@ from pyspark.ml.classification import (
     LogisticRegression,
     RandomForestClassifier,
 )
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wardgrid.functions.sqltext import literal
 from wardgrid.operators.evaluate import auroc
 from wardgrid.operators.splits import folds
 from wardgrid.session import staged
@@ -140,6 +141,20 @@ def fit_mean_baseline(train: DataFrame, test: DataFrame, label: str) -> DataFram
     return test.withColumn("prediction", mean)
 
 
+def fit_log_mean(train: DataFrame, features: list[str], label: str) -> PipelineModel:
+    """The mean baseline as a model: the average of log(1 + target) for every row."""
+    mean = train.agg(F.avg(F.log1p(label))).first()[0]
+    return PipelineModel([SQLTransformer(statement=f"select *, {literal(mean)} as prediction from __THIS__")])
+
+
+def fit_share(train: DataFrame, features: list[str], label: str) -> PipelineModel:
+    """The share of class 1 as the score of every row."""
+    share = train.agg(F.avg(F.col(label).cast("double"))).first()[0]
+    statement = f"select *, {literal(share)} as _share, {literal(float(share > 0.5))} as prediction from __THIS__"
+    assembler = VectorAssembler(inputCols=["_share", "_share"], outputCol="probability")
+    return PipelineModel([SQLTransformer(statement=statement), assembler])
+
+
 def score_classifier(model: PipelineModel, df: DataFrame) -> DataFrame:
     """``df`` with the probability of class 1 (``score``) and the predicted class (``predicted``)."""
     scored = model.transform(df)

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,20 +41,37 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir`` or set on the context; a private one only locally."""
-    context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if not folder:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="wardgrid-"))
-        folder = context.getCheckpointDir()
-    return folder.rstrip("/")
+    """The folder named by ``spark.checkpoint.dir`` or set on the context, else one in the warehouse.
+
+    Every executor must be able to reach it, which holds for the warehouse of any cluster.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return (folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_staging").rstrip("/")
+
+
+_scopes: list[str] = []
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[str]:
+    """A folder for everything staged inside the ``with`` block; it is deleted at the end.
+
+    Collect or write results before leaving the block: DataFrames over staged tables end with it.
+    """
+    scope = f"{shared_folder(spark)}/wardgrid/run-{uuid.uuid4().hex}"
+    _scopes.append(scope)
+    try:
+        yield scope
+    finally:
+        _scopes.remove(scope)
+        path = spark._jvm.org.apache.hadoop.fs.Path(scope)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def staging_path(spark: SparkSession, name: str = "stage") -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_folder(spark)}/wardgrid/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder, inside the innermost ``staging`` block if there is one."""
+    base = _scopes[-1] if _scopes else f"{shared_folder(spark)}/wardgrid"
+    return f"{base}/{name}-{uuid.uuid4().hex}"
 
 
 def staged(df: DataFrame, name: str = "stage") -> DataFrame:
