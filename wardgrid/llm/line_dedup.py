@@ -41,7 +41,7 @@ WINDOWS = "fp bigint, at int, w1 bigint, w2 bigint, doc_id bigint, tkey bigint,
 def lines_of(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, ...]:
     """Of the lines that have a word: two hashes, words, number of the line in its text, and the text."""
     feeds = np.flatnonzero(data == 10)
-    starts = np.unique(np.concatenate([bounds[:-1], feeds + 1]))
+    starts = textbytes.distinct(np.concatenate([bounds[:-1], feeds + 1]))
     starts = starts[starts < len(data)]
     ends = np.concatenate([starts[1:], [len(data)]]) if len(starts) else starts
     ends = ends - (data[ends - 1] == 10) if len(starts) else ends
@@ -153,7 +153,8 @@ def _without(text: pd.Series, firsts: pd.Series, lasts: pd.Series) -> pd.DataFra
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, removed: str | None = None) -> DataFrame:
     """``docs`` with the repeats cut out of ``text``; ``removed`` names a column for the lines cut per row."""
     runs = repeats(docs, min_words).groupBy("doc_id", "tkey").agg(F.collect_list("first").alias("_firsts"), F.collect_list("last").alias("_lasts"))
-    cut = staged(runs, "cuts").withColumnsRenamed({"doc_id": "_d", "tkey": "_t"})
+    # The cuts grow with the documents, so both sides are shuffled whatever their size: one plan at every size.
+    cut = staged(runs, "cuts").withColumnsRenamed({"doc_id": "_d", "tkey": "_t"}).hint("merge")
     plain, restored = shielded(docs, ("doc_id", "text"))
     keyed = plain.withColumn("_key", F.xxhash64("text"))
     joined = keyed.join(cut, null_safe([F.col("doc_id").cast("long"), F.col("_key")], [F.col("_d"), F.col("_t")]), "left")

@@ -86,6 +86,12 @@ def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, near: np.
         return mix(np.add.reduceat(value, first) + lengths.astype(np.uint64) * near[7])
 
 
+def distinct(values: np.ndarray) -> np.ndarray:
+    """Sorted distinct values, by sorting (numpy's hashed ``unique`` is slower on these)."""
+    ordered = np.sort(values)
+    return ordered[np.concatenate(([True], ordered[1:] != ordered[:-1]))] if len(ordered) else ordered
+
+
 def gram_hash(words: np.ndarray, n: int) -> np.ndarray:
     """Hashes of all runs of n words (over text borders too; the caller keeps those inside a text)."""
     if len(words) < n:
