@@ -18,7 +18,9 @@ corners, then that of two points likewise, and pairs that survive are verified o
 Set sizes fall into classes with upper size u; a set publishes the keys of its own size class and of
 those in which a larger partner may lie.  Two sets of at most u shingles differ in at most
 d = 2u(100 - percent) / (100 + percent) shingles; with d + 1 + s blocks they agree in s + 1 of them.
-Empty blocks are no keys for sets with at most s of them; sets with more publish those too.
+A set leaves out its smallest blocks (all those up to some size, empty ones first) as long as they are no
+more than s: of the s + 1 blocks that agree, one is then larger than what either set leaves out.  Small
+blocks say little, so this keeps texts that merely share a common line apart.
 
 Shingles are compared by 64-bit hashes.  Defined results: NULL or empty text has the empty set and links
 with nothing; a text with fewer words than a shingle has one shingle; repeated rows and equal texts are in
@@ -28,6 +30,7 @@ name unless it has no other; other columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,7 +43,7 @@ from wardgrid.llm.columns import null_safe, shielded
 from wardgrid.llm.components import components
 from wardgrid.session import staged
 
-LEAF_SHINGLES = 200_000  # shingles of a family that one side of a task holds, about
+LEAF_SHINGLES = 1_000_000  # shingles of a family that one side of a task holds, about
 NODE = 16  # points in a box
 RATIO = 1.5  # between the upper sizes of neighbouring size classes
 
@@ -54,7 +57,7 @@ def shingle_sets(texts: pa.Array, size: int) -> Iterator[np.ndarray]:
         grams = textbytes.gram_hash(words, size)
         for a, b in zip(before[:-1].tolist(), before[1:].tolist(), strict=True):
             if b - a >= size:
-                yield np.unique(grams[a : b - size + 1])
+                yield textbytes.distinct(grams[a : b - size + 1])
             else:
                 yield textbytes.gram_hash(words[a:b], b - a) if b > a else np.zeros(0, np.uint64)
 
@@ -74,6 +77,16 @@ def size_class(n: int) -> tuple[int, int]:
     return number, upper
 
 
+def least_size(sizes: np.ndarray, empty: int, spare: int) -> int:
+    """The size up to which a set's blocks may be left out, being no more than ``spare``; -1 if none may."""
+    if empty > spare:
+        return -1
+    size = 0
+    while empty + int((sizes <= size + 1).sum()) <= spare:
+        size += 1
+    return size
+
+
 def block_keys(members: np.ndarray, percent: int) -> np.ndarray:
     """The keys a set publishes: names of its blocks' contents, for each size class a partner may fall into."""
     n = len(members)
@@ -83,14 +96,15 @@ def block_keys(members: np.ndarray, percent: int) -> np.ndarray:
         number, upper = size_class(at)
         differ = 2 * upper * (100 - percent) // (100 + percent)
         if differ:  # else only equal sets link
-            spare = 2 + differ // 5
+            spare = 2 + differ // 4
             blocks = differ + 1 + spare
             place = ((members >> np.uint64(32)) * np.uint64(blocks)) >> np.uint64(32)
             first = np.flatnonzero(np.concatenate(([True], place[1:] != place[:-1])))
+            sizes = np.diff(np.append(first, n))
+            small = least_size(sizes, blocks - len(first), spare)
             with np.errstate(over="ignore"):
-                content = np.add.reduceat(textbytes.mix(members), first)
-                full = place[first]
-                if blocks - len(full) > spare:
+                content, full = np.add.reduceat(textbytes.mix(members), first)[sizes > small], place[first][sizes > small]
+                if small < 0:
                     empty = np.setdiff1d(np.arange(blocks, dtype=np.uint64), full)
                     full, content = np.concatenate([full, empty]), np.concatenate([content, np.zeros(len(empty), np.uint64)])
                 keys.append(textbytes.mix(content + full * textbytes.GRAM[13] + np.uint64(number) * textbytes.GRAM[14]))
@@ -98,51 +112,124 @@ def block_keys(members: np.ndarray, percent: int) -> np.ndarray:
     return np.concatenate(keys) if keys else np.zeros(0, np.uint64)
 
 
-SETS = "doc_id bigint, tkey bigint, n bigint, cls bigint, keys array<bigint>"
+SETS = "doc_id bigint, tkey bigint, n bigint, cls bigint"
 
 
-def sets_and_keys(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """(doc_id, tkey, n, cls, keys) of every row; of rows with equal sets in a task only the first lists its keys."""
+def named_sets(docs: DataFrame, size: int) -> DataFrame:
+    """(doc_id, tkey, n, cls) of every row: a hash of the text, the size of the set and its name."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
         for batch in batches:
-            sizes, names, lists = [], [], []
-            for members in shingle_sets(batch.column(2), size):
-                name = set_name(members)
-                lists.append(np.zeros(0, np.uint64) if name in seen else block_keys(members, percent))
-                seen.add(name)
-                sizes.append(len(members))
-                names.append(name)
-            flat = np.concatenate(lists).view(np.int64) if lists else np.zeros(0, np.int64)
-            offsets = np.concatenate(([0], np.cumsum([len(x) for x in lists]))).astype(np.int32)
-            keys = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(sizes, pa.int64()), pa.array(names, pa.int64()), keys], ["doc_id", "tkey", "n", "cls", "keys"])
+            found = [(len(members), set_name(members)) for members in shingle_sets(batch.column(2), size)]
+            columns = [pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *columns], ["doc_id", "tkey", "n", "cls"])
 
     return docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("tkey"), "text").mapInArrow(run, SETS)
 
 
-def families(sets: DataFrame) -> DataFrame:
-    """(cls, family) of the classes that share a key with another."""
-    keys = sets.select("cls", F.explode("keys").alias("key"))
-    shared = keys.groupBy("key").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).where("lo <> hi").select("key", "lo")
-    edges = keys.join(shared, "key").where("cls <> lo").select(F.col("cls").alias("a"), F.col("lo").alias("b")).distinct()
-    return components(edges).select(F.col("node").alias("cls"), F.col("root").alias("family"))
+TASK_KEYS = 4_000_000  # keys that a task holds before it sends them on
+SENT = "shard int, keys binary, names binary, places binary"
+
 
+def stars(keys: np.ndarray, names: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct sorted keys, the least name that has each, and (name, least name) of the others, distinct."""
+    order = np.argsort(keys)
+    keys, names = keys[order], names[order]
+    first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.zeros(0, int)
+    least = np.minimum.reduceat(names, first) if len(first) else names
+    centre = np.repeat(least, np.diff(np.append(first, len(keys))))
+    pairs = np.stack([names, centre], 1)[names != centre]
+    pairs = pairs[np.lexsort((pairs[:, 1], pairs[:, 0]))]
+    new = np.concatenate(([True], (pairs[1:] != pairs[:-1]).any(1))) if len(pairs) else np.zeros(0, bool)
+    return keys[first], least, pairs[new]
 
-PARTS = "family bigint, left int, right int, leaf int, cls bigint, members binary"
 
+def edges(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """(a, b): links of classes to the least class that shares one of their keys.
 
-def leaf_pairs(docs: DataFrame, classes: DataFrame, family: DataFrame, size: int) -> DataFrame:
-    """Each class with its exact set, once for every pair of leaves of its family that it belongs to."""
+    A task joins the classes it has seen itself and sends on one class per key, so a key that a third of
+    all documents publish costs one entry per task.  Keys travel as sorted arrays per hash range.
+    """
+    shards = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def send(keys: list[np.ndarray], names: list[int]) -> pa.RecordBatch:
+        of = np.repeat(np.array(names, np.int64), [len(k) for k in keys])
+        found, least, pairs = stars(np.concatenate(keys), of)
+        cuts = np.searchsorted(((found >> np.uint64(48)) * np.uint64(shards)) >> np.uint64(16), np.arange(shards + 1))
+        rows = []
+        for shard, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+            if b > a:
+                known, place = np.unique(least[a:b], return_inverse=True)
+                rows.append((shard, found[a:b].tobytes(), known.tobytes(), place.astype(np.uint32).tobytes()))
+        for at in range(0, len(pairs), 100_000):
+            part = pairs[at : at + 100_000]
+            rows.append((int(part[0, 0]) % shards, None, part[:, 0].tobytes(), part[:, 1].tobytes()))
+        types = (pa.int32(), pa.binary(), pa.binary(), pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(types)], ["shard", "keys", "names", "places"])
+
+    def publish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()  # equal sets publish once in a task
+        keys, names, held = [], [], 0
+        for batch in batches:
+            for members in shingle_sets(batch.column(0), size):
+                name = set_name(members)
+                if name not in seen:
+                    seen.add(name)
+                    keys.append(block_keys(members, percent))
+                    names.append(name)
+                    held += len(keys[-1])
+            if held > TASK_KEYS:
+                yield send(keys, names)
+                keys, names, held, seen = [], [], 0, set()
+        if held:
+            yield send(keys, names)
+
+    def pairs_of(pairs: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(pairs[:, k]) for k in (0, 1)], ["a", "b"])
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard, parts = None, []
+        for batch in batches:  # sorted by shard
+            for number, keys, names, places in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                known = np.frombuffer(names, np.int64)
+                if keys is None:
+                    yield pairs_of(np.stack([known, np.frombuffer(places, np.int64)], 1))
+                    continue
+                if number != shard and parts:
+                    yield pairs_of(stars(*map(np.concatenate, zip(*parts, strict=True)))[2])
+                    parts = []
+                shard = number
+                parts.append((np.frombuffer(keys, np.uint64), known[np.frombuffer(places, np.uint32)]))
+        if parts:
+            yield pairs_of(stars(*map(np.concatenate, zip(*parts, strict=True)))[2])
+
+    sent = docs.select("text").mapInArrow(publish, SENT).repartition(shards, "shard").sortWithinPartitions("shard")
+    return sent.mapInArrow(meet, "a bigint, b bigint")
+
+
+def families(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """(cls, family) of the classes that share a key with another."""
+    return components(edges(docs, size, percent)).select(F.col("node").alias("cls"), F.col("root").alias("family"))
+
+
+def leaf_pairs(docs: DataFrame, classes: DataFrame, family: DataFrame, size: int, percent: int) -> DataFrame:
+    """Each class with its exact set, once for every pair of leaves that it belongs to.
+
+    A family of more than ``LEAF_SHINGLES`` is cut into bands of set size in which linked sets are at
+    most one band apart; a class goes to its own and to the next band.  A band that is still larger is
+    cut into leaves, and every pair of its leaves is a task of bounded size.
+    """
     located = classes.join(family, "cls")
-    leaves = located.groupBy("family").agg(F.ceil(F.sum("n") / LEAF_SHINGLES).cast("int").alias("leaves"))
+    whole = located.groupBy("family").agg(F.sum("n").alias("total"))
+    own = F.floor(F.log(F.col("n").cast("double")) / (math.log(100 / percent) * (1 + 1e-9))).cast("int")
+    bands = F.when(F.col("total") <= LEAF_SHINGLES, F.array(F.lit(-1))).otherwise(F.array(own, own + 1))
+    banded = located.join(whole, "family").select("cls", "family", "first_doc", "n", F.explode(bands).alias("band"))
+    leaves = banded.groupBy("family", "band").agg(F.ceil(F.sum("n") / LEAF_SHINGLES).cast("int").alias("leaves"), F.count("*").alias("k"))
+    place = F.struct("band", "leaves", F.pmod(F.xxhash64("cls"), F.col("leaves")).cast("int").alias("leaf"))
     wanted = staged(
-        located.join(leaves, "family").select(
-            "cls", "family", "first_doc", "leaves", F.pmod(F.xxhash64("cls"), F.col("leaves")).cast("int").alias("leaf")
-        ),
+        banded.join(leaves.where("k > 1"), ["family", "band"]).groupBy("cls", "family", "first_doc").agg(F.collect_list(place).alias("places")),
         "wanted",
-    )
+    ).hint("merge")  # grows with the documents: one plan at every size
     # Only rows that name a class carry their text on; rows of the same id with another set drop out below.
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("first_doc")))
 
@@ -155,11 +242,15 @@ def leaf_pairs(docs: DataFrame, classes: DataFrame, family: DataFrame, size: int
                     keep.append(k)
                     members.append(found.tobytes())
             at = pa.array(keep, pa.int64())
-            yield pa.RecordBatch.from_arrays([name.take(at), *[c.take(at) for c in rest], pa.array(members, pa.binary())], ["cls", "family", "leaves", "leaf", "members"])
-
-    found = texts.select("text", "cls", "family", "leaves", "leaf").mapInArrow(run, "cls bigint, family bigint, leaves int, leaf int, members binary")
-    other = found.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("leaves") - 1)))
-    return other.select("family", F.least("leaf", "other").alias("left"), F.greatest("leaf", "other").alias("right"), "leaf", "cls", "members")
+            yield pa.RecordBatch.from_arrays([name.take(at), *[c.take(at) for c in rest], pa.array(members, pa.binary())], ["cls", "family", "places", "members"])
+
+    places = "array<struct<band: int, leaves: int, leaf: int>>"
+    found = texts.select("text", "cls", "family", "places").mapInArrow(run, f"cls bigint, family bigint, places {places}, members binary")
+    placed = found.select("cls", "family", "members", F.inline("places"))
+    other = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("leaves") - 1)))
+    return other.select(
+        "family", "band", F.least("leaf", "other").alias("left"), F.greatest("leaf", "other").alias("right"), "leaf", "cls", "members"
+    )
 
 
 class Points:
@@ -243,39 +334,39 @@ def links(parts: DataFrame, percent: int, spanning: bool = True) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def result() -> pa.RecordBatch:
             names, leaves, sets = zip(*sorted(held.values(), key=lambda h: h[0]), strict=True)
-            found = links_between(names, leaves, sets, at[1], at[2], percent, spanning)
+            found = links_between(names, leaves, sets, at[2], at[3], percent, spanning)
             return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], ["a", "b"])
 
         at, held = None, {}
         for batch in batches:  # sorted by family and leaves
-            for family, left, right, leaf, name, members in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                if (family, left, right) != at:
+            for family, band, left, right, leaf, name, members in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                if (family, band, left, right) != at:
                     if held:
                         yield result()
-                    at, held = (family, left, right), {}
+                    at, held = (family, band, left, right), {}
                 held[name] = (name, leaf, np.frombuffer(members, np.uint64))
         if held:
             yield result()
 
-    keys = ["family", "left", "right"]
+    keys = ["family", "band", "left", "right"]
     return parts.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "a bigint, b bigint")
 
 
 def join_documents(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFrame:
-    """(doc_id, text_key, n_shingles, class_id, component_id) of every row; component_id is the least doc_id reachable by links."""
-    sets = staged(sets_and_keys(docs, size, percent), "sets")
+    """(doc_id, text_key, n_shingles, class_id, root, component_id) of every row; component_id is the least doc_id reachable by links."""
+    sets = staged(named_sets(docs, size), "sets")
     classes = sets.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("first_doc"), F.first("n").alias("n"))
-    family = staged(families(sets), "families")
-    found = staged(links(leaf_pairs(docs, classes, family, size), percent), "links")
+    family = staged(families(docs, size, percent), "families")
+    found = staged(links(leaf_pairs(docs, classes, family, size, percent), percent), "links")
     roots = staged(components(found), "roots").withColumnRenamed("node", "cls")
     named = classes.join(roots, "cls").select("root", "cls", "first_doc")
     least = named.groupBy("root").agg(F.min("first_doc").alias("least"))
-    of_class = classes.select("cls", "first_doc").join(named.join(least, "root").select("cls", "least"), "cls", "left")
-    names = staged(of_class.select(F.col("cls").alias("_cls"), F.coalesce("least", "first_doc").alias("component_id")), "names")
+    of_class = classes.select("cls", "first_doc").join(named.join(least, "root").select("cls", "root", "least"), "cls", "left")
+    names = staged(of_class.select(F.col("cls").alias("_cls"), F.coalesce("root", "cls").alias("root"), F.coalesce("least", "first_doc").alias("component_id")), "names")
     return (
         sets.select("doc_id", F.col("tkey").alias("text_key"), F.col("n").alias("n_shingles"), F.col("cls").alias("class_id"))
         .join(names, (F.col("class_id") == F.col("_cls")) & (F.col("n_shingles") > 0), "left")
-        .select("doc_id", "text_key", "n_shingles", "class_id", F.coalesce("component_id", "doc_id").alias("component_id"))
+        .select("doc_id", "text_key", "n_shingles", "class_id", "root", F.coalesce("component_id", "doc_id").alias("component_id"))
     )
 
 
@@ -285,14 +376,16 @@ def keep_one(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     Rows without shingles all stay.  Of rows with that id the one with the least text hash stays, once.
     """
     joined = staged(join_documents(docs, size, percent).where("n_shingles > 0"), "joined")
-    first = joined.where("doc_id <=> component_id").groupBy("component_id").agg(F.min("text_key").alias("_first"))
-    marked = joined.join(first.withColumnRenamed("component_id", "_c"), F.col("component_id").eqNullSafe(F.col("_c")))
+    first = joined.where("doc_id <=> component_id").groupBy("root").agg(F.min("text_key").alias("_first"))
     stays = F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("text_key") == F.col("_first"))
-    each = marked.groupBy(F.col("doc_id").alias("_d"), F.col("text_key").alias("_t")).agg(F.max(stays).alias("_stays"), F.count("*").alias("_rows"))
+    each = joined.join(first, "root").groupBy(F.col("doc_id").alias("_d"), F.col("text_key").alias("_t")).agg(F.max(stays).alias("_stays"), F.count("*").alias("_rows"))
     drop = staged(each.where("not _stays or _rows > 1"), "dropped")
     plain, restored = shielded(docs, ("doc_id", "text"))
     key = [F.col("doc_id").cast("long"), F.xxhash64("text")]
-    kept = plain.join(drop.select("_d", "_t"), null_safe(key, [F.col("_d"), F.col("_t")]), "left_anti")
+    kept = plain.join(drop.select("_d", "_t").hint("merge"), null_safe(key, [F.col("_d"), F.col("_t")]), "left_anti")
+    stay = drop.where("_stays").select("_d", "_t")
+    if stay.isEmpty():
+        return restored(kept)
     # Rows that occur several times and stay: one of each.
-    again = plain.join(drop.where("_stays").select("_d", "_t"), null_safe(key, [F.col("_d"), F.col("_t")]), "left_semi")
+    again = plain.join(stay.hint("merge"), null_safe(key, [F.col("_d"), F.col("_t")]), "left_semi")
     return restored(kept.unionByName(again.dropDuplicates(["doc_id", "text"])))
