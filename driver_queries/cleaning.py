@@ -96,6 +96,22 @@ def _(spark, sf):
     return wide.select("hadm_id", *[f"type_{p}" for p in PRIORITIES])
 
 
+UNITS = ("MAIL", "SHIP", "AIR", "RAIL")
+
+
+@query(
+    "unit_one_hot",
+    "select hadm_id, " + ", ".join(f"case when unit = '{u}' then 1 else 0 end as \"unit_{u}\"" for u in UNITS)
+    + " from (select l_orderkey as hadm_id, case when l_linenumber = 1 then 'MAIL' when l_linenumber = 2 then 'SHIP' "
+    "when l_linenumber = 3 then 'AIR' when l_linenumber = 4 then 'RAIL' end as unit from lineitem) u",
+)
+def _(spark, sf):
+    number = F.col("l_linenumber")
+    unit = F.when(number == 1, "MAIL").when(number == 2, "SHIP").when(number == 3, "AIR").when(number == 4, "RAIL")
+    rows = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("hadm_id"), unit.alias("unit"))
+    return C.one_hot_fixed(rows, "unit", UNITS).drop("unit")
+
+
 CLIPPED = "greatest(25.0, least(45.0, {v}))"
 
 

@@ -146,6 +146,15 @@ def _(spark, sf):
     return rounded(E.roc_points(_scored(spark, sf), "score", "label"))
 
 
+@query(
+    "pr_curve",
+    f"with {_descending(SCORED, 'label')} select score as threshold, round(tp::double / (tp + fp), 6) as precision, "
+    "round(tp::double / n_pos, 6) as recall from d",
+)
+def _(spark, sf):
+    return rounded(E.pr_curve(_scored(spark, sf), "score", "label"))
+
+
 @query(
     "confusion_matrix",
     f"""select g.actual, g.predicted, count(s.doc_id) as n from (values (0, 0), (0, 1), (1, 0), (1, 1))

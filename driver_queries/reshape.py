@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from driver_queries.registry import (
+    ENCOUNTERS,
     LAB_NAMES,
     LAB_WIDE,
     VITALS,
@@ -18,9 +19,11 @@ from driver_queries.registry import (
     table,
     vitals,
 )
+from wardgrid.functions.columns import measured_flags
 from wardgrid.operators import impute as I
 from wardgrid.operators import reshape as R
 from wardgrid.operators.joins import anchored_window_join
+from wardgrid.operators.statistics import segmented_correlation
 from wardgrid.session import staged
 
 
@@ -38,6 +41,26 @@ def _(spark, sf):
     return rounded(lab_wide(spark, sf), 4)
 
 
+@query(
+    "measured_flags",
+    "select hadm_id, " + ", ".join(f"(lab{i}_mean is not null)::int as lab{i}_mean_measured" for i in range(1, 8))
+    + f" from {WIDE} w",
+)
+def _(spark, sf):
+    cols = [f"lab{i}_mean" for i in range(1, 8)]
+    return measured_flags(lab_wide(spark, sf), cols).select("hadm_id", *[f"{c}_measured" for c in cols])
+
+
+@query(
+    "segmented_correlation",
+    f"""select admission_type, count(lab1_mean + lab2_mean) as n, round(corr(lab1_mean, lab2_mean), 6) as r
+    from {WIDE} w join {ENCOUNTERS} e on w.hadm_id = e.hadm_id group by admission_type""",
+)
+def _(spark, sf):
+    typed = lab_wide(spark, sf).join(encounters(spark, sf).select("hadm_id", "admission_type"), "hadm_id")
+    return rounded(segmented_correlation(typed, "admission_type", "lab1_mean", "lab2_mean"))
+
+
 @query(
     "min_non_null",
     "select hadm_id, lab1_max, lab2_max, lab3_max, lab4_max "

@@ -85,6 +85,11 @@ def one_hot_fixed(df: DataFrame, col: str, values: Iterable[str], prefix: str |
     return df.withColumns({f"{stem}_{v}": F.col(col).eqNullSafe(F.lit(v)).cast("int") for v in values})
 
 
+def measured_flags(df: DataFrame, cols: Iterable[str], suffix: str = "_measured") -> DataFrame:
+    """One 0/1 column per listed column: was it measured at all.  Take these before any filling."""
+    return df.withColumns({f"{c}{suffix}": F.col(c).isNotNull().cast("int") for c in cols})
+
+
 def convert_unit_for_code(
     df: DataFrame,
     item: str,

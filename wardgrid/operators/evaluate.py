@@ -104,6 +104,18 @@ def roc_points(scored: DataFrame, score: str, label: str, per_octave: int | None
     return points.unionByName(origin)
 
 
+def pr_curve(scored: DataFrame, score: str, label: str, per_octave: int | None = None) -> DataFrame:
+    """Precision and recall at every distinct score."""
+    totals = running_score_totals(scored, score, label, per_octave)
+    tp = (F.col("n_pos") - F.col("pos_below")).cast("double")
+    fp = F.col("n_neg") - F.col("neg_below")
+    return totals.select(
+        F.col("score").alias("threshold"),
+        (tp / (tp + fp)).alias("precision"),
+        F.try_divide(tp, F.col("n_pos")).alias("recall"),
+    )
+
+
 def _cells(preds: DataFrame, label: str, pred: str) -> DataFrame:
     y, p = F.col(label), F.col(pred)
     return preds.agg(

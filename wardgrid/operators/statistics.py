@@ -36,6 +36,14 @@ def correlation_matrix(wide: DataFrame, cols: Iterable[str]) -> DataFrame:
     return stats.selectExpr(f"inline(array({', '.join(cells)}))")
 
 
+def segmented_correlation(wide: DataFrame, segment: str, a: str, b: str) -> DataFrame:
+    """Pearson correlation of two columns inside every segment, with the number of complete pairs."""
+    return wide.where(F.col(segment).isNotNull()).groupBy(segment).agg(
+        F.count_if(F.col(a).isNotNull() & F.col(b).isNotNull()).alias("n"),
+        F.expr(f"{_pair_correlation(ident(a), ident(b))} as r"),
+    )
+
+
 def strongest_pair(corr: DataFrame) -> DataFrame:
     """The off-diagonal pair with the largest absolute correlation."""
     return (
