@@ -31,7 +31,7 @@ MAX_REPEAT_PERCENT = 50
 MEASURES = (
     ("word_length", 400, True),
     ("symbol_share", 8_000, False),
-    ("dup_line_share", 60_000, False),
+    ("dup_line_share", 100_000, False),
     ("repeat_share", 60_000, False),
     ("upper_share", 30_000, False),
 )
@@ -78,7 +78,8 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
         bind(lines, F.size).cast("long").alias("n_lines"),
         (F.length(known) - F.length(F.translate(known, UPPER, ""))).cast("long").alias("n_upper"),
     )
-    out = docs.withColumn("_c", counts)
+    # One element exploded: a filter on the counts then stays above, and they are computed once per row.
+    out = docs.select("*", F.explode(F.array(counts)).alias("_c"))
     out = out.select(*docs.columns, *[F.col(f"_c.{c}").alias(f"_{c}") for c in COUNTS])
     failed = (F.col("_n_words") < MIN_WORDS) | (100 * F.col("_n_repeat_words") > MAX_REPEAT_PERCENT * F.col("_n_words"))
 

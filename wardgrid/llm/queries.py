@@ -87,7 +87,9 @@ s as (select *, sum(n) over (partition by lv, lang, source, m order by v) cum, s
 q as (select lv, lang, source, m, max(size) size, min(case when 4 * cum >= size then v end) q1, min(case when 4 * cum >= 3 * size then v end) q3
     from s group by all),
 f as (select lv, lang, source, m, size, case when m = 0 then q1 - 4 * greatest(q3 - q1, fl) else -1 end low, q3 + 4 * greatest(q3 - q1, fl) high
-    from (select *, [400, 8000, 60000, 60000, 30000][m + 1] fl from q)),
+    from (select *, """
+    + str([f for _, f, _ in quality_rules.MEASURES])
+    + """[m + 1] fl from q)),
 e as (select f0.lang, f0.source, f0.m,
     case when f0.size >= 100 then f0.low when f1.size >= 100 then f1.low else f2.low end low,
     case when f0.size >= 100 then f0.high when f1.size >= 100 then f1.high else f2.high end high
@@ -128,7 +130,7 @@ def op3_line_dedup(spark, sf_dir):
 
 @register("op4_ngram_join")
 def op4_ngram_join(spark, sf_dir):
-    return ngram_join.join_documents(table(spark, sf_dir, "documents")).drop("class_id", "text_key")
+    return ngram_join.join_documents(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
 # --- 5: URL filters ---------------------------------------------------------------------------------
