@@ -25,6 +25,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wardgrid.session import staged
+
 OPEN, MIDDLE, CLOSE = "<s>[INST]", "[/INST]", "</s>"
 RANGE = 1024
 FRAME_TOKENS = 4  # what the marks and the role of a turn cost
@@ -92,7 +94,8 @@ def format_conversations(
     ``loss_spans`` are (start, end) code points in ``formatted``; the first ``n_repeated`` turns of a
     window are repeated context.  ``budget`` counts the new turns, the history and the system turn.
     """
-    turns = _turns(conversations, tokens)
+    # Written once: windows, history and system turns all read the numbered turns.
+    turns = staged(_turns(conversations, tokens), "turns")
     head = turns.where((F.col("_no") == 0) & (F.col("_role") == system_role)).select(
         F.col("_conv").alias("_c"), F.col("_text").alias("_head"), F.col("_tokens").alias("_head_tokens")
     )
