@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -68,6 +69,12 @@ def staging(spark: SparkSession) -> Iterator[str]:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def forget_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished steps now, not when the driver next collects garbage."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def staging_path(spark: SparkSession, name: str = "stage") -> str:
     """A fresh path below the shared folder, inside the innermost ``staging`` block if there is one."""
     base = _scopes[-1] if _scopes else f"{shared_folder(spark)}/wardgrid"
