@@ -30,7 +30,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from wardgrid.llm import textbytes
 from wardgrid.llm.columns import null_safe, shielded
-from wardgrid.session import staged
+from wardgrid.session import forget_shuffles, staged, staging, staging_path
 
 MIN_WORDS = 50
 BASES = (np.uint64(0x9E3779B97F4A7C55), np.uint64(0xD1342543DE82EF95))
@@ -152,9 +152,16 @@ def _without(text: pd.Series, firsts: pd.Series, lasts: pd.Series) -> pd.DataFra
 
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, removed: str | None = None) -> DataFrame:
     """``docs`` with the repeats cut out of ``text``; ``removed`` names a column for the lines cut per row."""
-    runs = repeats(docs, min_words).groupBy("doc_id", "tkey").agg(F.collect_list("first").alias("_firsts"), F.collect_list("last").alias("_lasts"))
+    spark = docs.sparkSession
+    path = staging_path(spark, "cuts")
+    with staging(spark):  # the windows go once the cuts are written
+        runs = repeats(docs, min_words).groupBy("doc_id", "tkey").agg(F.collect_list("first").alias("_firsts"), F.collect_list("last").alias("_lasts"))
+        runs.write.parquet(path)
+        schema = runs.schema
+        del runs
+    forget_shuffles(spark)
     # The cuts grow with the documents, so both sides are shuffled whatever their size: one plan at every size.
-    cut = staged(runs, "cuts").withColumnsRenamed({"doc_id": "_d", "tkey": "_t"}).hint("merge")
+    cut = spark.read.schema(schema).parquet(path).withColumnsRenamed({"doc_id": "_d", "tkey": "_t"}).hint("merge")
     plain, restored = shielded(docs, ("doc_id", "text"))
     keyed = plain.withColumn("_key", F.xxhash64("text"))
     joined = keyed.join(cut, null_safe([F.col("doc_id").cast("long"), F.col("_key")], [F.col("_d"), F.col("_t")]), "left")

@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from wardgrid.llm import textbytes
 from wardgrid.llm.columns import null_safe, shielded
 from wardgrid.llm.components import components
-from wardgrid.session import staged
+from wardgrid.session import forget_shuffles, staged, staging, staging_path
 
 LEAF_SHINGLES = 1_000_000  # shingles of a family that one side of a task holds, about
 NODE = 16  # points in a box
@@ -352,17 +352,32 @@ def links(parts: DataFrame, percent: int, spanning: bool = True) -> DataFrame:
     return parts.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "a bigint, b bigint")
 
 
-def join_documents(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFrame:
-    """(doc_id, text_key, n_shingles, class_id, root, component_id) of every row; component_id is the least doc_id reachable by links."""
-    sets = staged(named_sets(docs, size), "sets")
+def _write_names(docs: DataFrame, sets: DataFrame, size: int, percent: int, path: str):
+    """Write each class with its root and the name of its component; the schema."""
+    spark = docs.sparkSession
     classes = sets.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("first_doc"), F.first("n").alias("n"))
     family = staged(families(docs, size, percent), "families")
+    forget_shuffles(spark)
     found = staged(links(leaf_pairs(docs, classes, family, size, percent), percent), "links")
+    forget_shuffles(spark)
     roots = staged(components(found), "roots").withColumnRenamed("node", "cls")
     named = classes.join(roots, "cls").select("root", "cls", "first_doc")
     least = named.groupBy("root").agg(F.min("first_doc").alias("least"))
     of_class = classes.select("cls", "first_doc").join(named.join(least, "root").select("cls", "root", "least"), "cls", "left")
-    names = staged(of_class.select(F.col("cls").alias("_cls"), F.coalesce("root", "cls").alias("root"), F.coalesce("least", "first_doc").alias("component_id")), "names")
+    names = of_class.select(F.col("cls").alias("_cls"), F.coalesce("root", "cls").alias("root"), F.coalesce("least", "first_doc").alias("component_id"))
+    names.write.parquet(path)
+    return names.schema
+
+
+def join_documents(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFrame:
+    """(doc_id, text_key, n_shingles, class_id, root, component_id) of every row; component_id is the least doc_id reachable by links."""
+    spark = docs.sparkSession
+    sets = staged(named_sets(docs, size), "sets")
+    path = staging_path(spark, "names")
+    with staging(spark):  # what the steps write goes once the names are written
+        schema = _write_names(docs, sets, size, percent, path)
+    forget_shuffles(spark)
+    names = spark.read.schema(schema).parquet(path)
     return (
         sets.select("doc_id", F.col("tkey").alias("text_key"), F.col("n").alias("n_shingles"), F.col("cls").alias("class_id"))
         .join(names, (F.col("class_id") == F.col("_cls")) & (F.col("n_shingles") > 0), "left")
