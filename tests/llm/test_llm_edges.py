@@ -179,6 +179,22 @@ def test_packing(docs, none):
     assert packing.pack(none, VOCABULARY).count() == 0
 
 
+def test_packing_ids_are_those_of_the_tokenizer():
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    texts = ["end<|endoftext|>next", "A<|startoftext|>b <|endoftext|>", "x<|<|endoftext|>|>Y", "end<|ENDOFTEXT|>next", "<|EndOfText|>!", "<|endoftext", "|>",
+             "H\u0331 t\u0308 W\u030a, y\u030aJ\u030c", "I\u0307A=\u0338b", "IT'S it's'd!", "a<|endoftext|><|STARTOFTEXT|>.B"]
+    parts = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|", "|>", "endoftext", "H", "\u0331", "t", "\u0308", "W", "J\u030c", "'s", "'", "!", " ", "7", "\u00e9", "\n", "=\u0338"]
+    draw = random.Random(3)
+    texts += ["".join(draw.choice(parts) for _ in range(draw.randint(1, 12))) for _ in range(3000)]
+    whole = Tokenizer.from_file(VOCABULARY)
+    encode, added = packing.word_tokenizer(VOCABULARY)
+    got = [x.tolist() for x in packing.token_ids(pa.array(texts), encode, added, {})]
+    for text, ids in zip(texts, got, strict=True):
+        assert ids == whole.encode(text, add_special_tokens=False).ids, text
+
+
 def test_packing_plan_is_sound():
     r = random.Random(2)
     for _ in range(40):

@@ -37,31 +37,57 @@ PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigin
 
 
 def word_tokenizer(path: str):
-    """Word bytes -> token ids, for a vocabulary whose tokens never span white space."""
+    """Word bytes -> token ids, for a vocabulary whose tokens never span white space; and its added tokens, lower case."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
     encode = getattr(tokenizer, "encode_batch_fast", tokenizer.encode_batch)
-    return lambda words: [np.array(e.ids, np.uint32) for e in encode(words, add_special_tokens=False)]
+    added = sorted({t.content.lower().encode() for t in tokenizer.get_added_tokens_decoder().values()})
+    if any(set(t) & set(textbytes.SPACE_BYTES) for t in added):
+        raise ValueError("an added token of the vocabulary holds white space")
+    return (lambda words: [np.array(e.ids, np.uint32) for e in encode(words, add_special_tokens=False)]), added
 
 
-def units(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Words, cut where an ASCII letter meets a sign: no token spans that border, and far fewer units are distinct."""
+def lowered(data: np.ndarray, bounds: np.ndarray, added: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """``data`` in lower case where that leaves the ids as they are, and the borders inside what reads like an added token.
+
+    The tokenizer finds added tokens in the raw text, and composes a letter with the marks after it before it
+    lowers it.  So letters of an added token, in whatever case, and letters before a byte beyond ASCII stay as they are.
+    """
+    lower = textbytes.LOWER[data]
+    keep, inside = np.zeros(len(data), bool), np.zeros(len(data) + 1, bool)
+    keep[:-1] = data[1:] > 127
+    raw = lower.tobytes()
+    for token in added:
+        at = raw.find(token)
+        while at >= 0:
+            keep[at : at + len(token)] = True
+            inside[at + 1 : at + len(token)] = True
+            at = raw.find(token, at + 1)
+    inside[bounds] = False
+    return np.where(keep, data, lower), inside
+
+
+def units(data: np.ndarray, bounds: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words, cut where an ASCII letter meets a sign: no token spans that border, and far fewer units are distinct.
+
+    ``inside`` marks borders that stay whole.
+    """
     starts, ends, before = textbytes.spans(data, bounds)
     cuts = np.flatnonzero(LETTER[data[:-1]] & SIGN[data[1:]]) + 1
-    border = np.zeros(len(data) + 1, bool)
+    border = inside.copy()
     border[bounds] = True
     cuts = cuts[~border[cuts]]
     starts, ends = (np.sort(np.concatenate([x, cuts]), kind="stable") for x in (starts, ends))
     return starts, ends, np.searchsorted(starts, bounds)
 
 
-def token_ids(texts: pa.Array, encode, cache: dict[bytes, np.ndarray]) -> Iterator[np.ndarray]:
+def token_ids(texts: pa.Array, encode, added: list[bytes], cache: dict[bytes, np.ndarray]) -> Iterator[np.ndarray]:
     """Ids of each text.  Every distinct word of a block is looked up once and encoded once per task."""
     for _, _, data, bounds in textbytes.blocks(texts):
-        data = textbytes.LOWER[data]  # the vocabulary is lower case
-        starts, ends, words_before = units(data, bounds)
+        data, inside = lowered(data, bounds, added)  # the vocabulary is lower case
+        starts, ends, words_before = units(data, bounds, inside)
         _, example, which = np.unique(textbytes.hash_spans(data, starts, ends), return_index=True, return_inverse=True)
         raw = data.tobytes()
         distinct = [raw[s:e] for s, e in zip(starts[example].tolist(), ends[example].tolist(), strict=True)]
@@ -86,10 +112,10 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
     """One row per piece: doc_id, piece, start, length, ids_crc32 (and ids)."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, cache = word_tokenizer(tokenizer), {}
+        (encode, added), cache = word_tokenizer(tokenizer), {}
         for batch in batches:
             rows: tuple[list, ...] = ([], [], [], [], [], [])
-            for doc, ids in zip(batch.column(0).to_pylist(), token_ids(batch.column(1), encode, cache), strict=True):
+            for doc, ids in zip(batch.column(0).to_pylist(), token_ids(batch.column(1), encode, added, cache), strict=True):
                 ids = np.append(ids, np.uint32(end_id)).astype("<u4")
                 for piece, start in enumerate(range(0, len(ids), capacity)):
                     part = ids[start : start + capacity]
