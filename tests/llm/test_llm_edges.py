@@ -241,6 +241,31 @@ def test_license_scan(docs, none, spark):
     assert license_scan.scan(df, {}).count() == 0
 
 
+def test_license_scan_over_wide_edits(spark):
+    words = [f"w{k}" for k in range(100)]
+    templates = {"notice": " ".join(words), "one": "copyleft", "two": "public domain"}
+    other = [f"x{k}" for k in range(2000)]
+    rows = [
+        ["y", *words[:50], *other[:9], *words[50:], "z"],  # a sentence added
+        [*words[:15], *other[:16], *words[31:]],  # 84 % in two pieces
+        [*words[:50], *other, *words[50:]],
+        [*words[:90], *words[10:]],  # two copies, each with a part missing
+        [*words[:40], *other[:500], *words[70:]],  # 70 % only
+        [*words[:30], *other[:20], "copyleft", *other[20:40], "public", "domain", *words[30:]],
+        [*[w for k, w in enumerate(words) if k % 7], "Public-Domain", "copyleft", "public"],  # single words missing
+        [*words[:5], *other[:9], *words[14:60], "v", *words[61:62], "v", *words[63:]],
+    ]
+    df = spark.createDataFrame([(k, " ".join(r)) for k, r in enumerate(rows)], "doc_id bigint, text string")
+    found = {}
+    for r in license_scan.scan(df, templates).collect():
+        found.setdefault(r.doc_id, []).append((r.license, r.matched_words, " ".join(rows[r.doc_id])[r.start : r.end].split(" ")[0]))
+    want = {
+        0: [("notice", 100, "w0")], 1: [("notice", 84, "w0")], 2: [("notice", 100, "w0")], 3: [("notice", 90, "w0"), ("notice", 90, "w10")],
+        5: [("notice", 100, "w0"), ("one", 1, "copyleft"), ("two", 2, "public")], 6: [("notice", 85, "w1"), ("one", 1, "copyleft"), ("two", 2, "Public-Domain")], 7: [("notice", 89, "w0")],
+    }
+    assert {k: sorted(v) for k, v in found.items()} == want
+
+
 def test_classifier(docs, none, spark):
     labels = spark.createDataFrame([(1, 1), (9, 0), (4, 0), (None, 1), (3, None), (1, 1)], "doc_id bigint, quality int")
     net = quality_cnn.train(docs, labels, steps=3)

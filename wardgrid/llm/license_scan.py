@@ -1,14 +1,15 @@
-"""License scans: winnowed template fingerprints pick candidates, banded alignment reports what matched.
+"""License scans: winnowed template fingerprints pick candidates, chains of equal runs report what matched.
 
 Templates are cut into words (lower case, letters and digits); of each ``WINDOW`` neighbouring runs of
 ``GRAM`` words the one with the least hash becomes a fingerprint in an inverted index.  Any run of
 ``WINDOW + GRAM - 1`` template words that a document repeats therefore hits the index (shorter templates
-keep all runs).  Hits of one template on neighbouring diagonals form a candidate region, and a local
-alignment in a band around them counts the matched words and gives their span.
+keep all runs, those of one or two words are looked up whole).  The runs of ``GRAM`` or more words that a
+document shares with a template found so are chained in the order of both, over edits of any width; one
+alignment in each gap and at both ends counts the shorter runs, and coverage is judged on the whole chain.
 
 The template table is a parameter of bounded size that travels with the task; documents are read once,
 whole, without a shuffle.  Defined results: NULL or empty text has no match; repeated rows are reported
-each; of overlapping matches the one with the greatest coverage (then most words, then name) stays;
+each; a span runs from the first to the last matched word; of matches that share words the one with the greatest coverage (then most words, then name) stays;
 an empty template table finds nothing; other columns are ignored.
 """
 
@@ -26,7 +27,9 @@ from wardgrid.llm import textbytes
 
 GRAM = 3
 WINDOW = 2
-BAND = 8  # words that may be missing or added between a template and a document
+BAND = 8  # words added to a template that an alignment beside a run of equal words follows
+REACH = 512  # words beside a run in which runs shorter than GRAM are looked for
+UNIT = 1 << 20
 MIN_PERCENT = 80
 
 WORD_BYTES = np.zeros(256, bool)
@@ -82,13 +85,19 @@ class Index:
 
     def __init__(self, templates: dict[str, str]):
         self.names = sorted(templates)
-        self.words, places = [], defaultdict(list)
+        self.words, self.grams, places = [], [], defaultdict(list)
+        self.short: dict[int, dict[int, list[int]]] = defaultdict(lambda: defaultdict(list))  # by words, then by hash
         for k, name in enumerate(self.names):
             data = np.frombuffer(templates[name].encode(), np.uint8)
             words = words_of(data, np.array([0, len(data)]))[0]
             self.words.append(words)
             grams = textbytes.gram_hash(words, min(GRAM, max(len(words), 1)))
-            for at in winnow(grams, WINDOW) if len(words) >= WINDOW + GRAM - 1 else range(len(grams) if len(words) >= GRAM else 0):
+            order = np.argsort(grams, kind="stable")
+            self.grams.append((grams[order], order))
+            if 0 < len(words) < GRAM:
+                self.short[len(words)][int(grams[0])].append(k)
+                continue
+            for at in winnow(grams, WINDOW) if len(words) >= WINDOW + GRAM - 1 else range(len(grams)):
                 places[int(grams[at])].append((k, int(at)))
         self.hashes = np.array(sorted(places), np.uint64)
         self.places = [places[int(h)] for h in self.hashes]
@@ -103,79 +112,153 @@ def winnow(hashes: np.ndarray, window: int) -> list[int]:
     return sorted(chosen)
 
 
-def align(template: np.ndarray, words: np.ndarray, shift: int, band: int) -> tuple[int, int, int]:
-    """Local alignment of a template with document words at diagonals ``shift - band .. shift + band``.
+def runs_of(grams: np.ndarray, given: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first document word, first template word, words) of the longest equal runs; ``given`` are the template's sorted grams."""
+    low, high = np.searchsorted(given, grams), np.searchsorted(given, grams, side="right")
+    n = high - low
+    at = np.repeat(np.arange(len(grams)), n)
+    place = places[np.arange(len(at)) + np.repeat(low - (np.cumsum(n) - n), n)]
+    order = np.lexsort((at, at - place))
+    at, place = at[order], place[order]
+    first = np.flatnonzero(np.concatenate(([True], (np.diff(at) != 1) | (np.diff(place) != 1)))) if len(at) else np.zeros(0, int)
+    length = np.diff(np.append(first, len(at))) + GRAM - 1
+    order = np.lexsort((place[first], at[first]))
+    return at[first][order], place[first][order], length[order]
 
-    A match gains 1, a mismatch, missing or added word costs 1.  Returns (matched words, first, last word).
+
+def chains(at: np.ndarray, place: np.ndarray, length: np.ndarray, size: int, gap: float) -> Iterator[list[tuple[int, int, int, int]]]:
+    """Runs in order of both texts, best chain first: lists of (run, document word, template word, words).
+
+    A step costs the logarithm of the words it skips, so that no edit is too wide and no far chance run joins;
+    a step over more than ``gap`` words is not taken.  Overlaps are cut from the later run.  For each end in the
+    template the latest and the best run so far are open, so a run costs the same in any document.
     """
-    width = 2 * band + 1
-    rows, columns = len(template), np.arange(width)
-    best = np.zeros((rows + 1, width + 1), np.int32)  # column j of row i: document word i - 1 + shift - band + j
-    equal = np.zeros((rows, width), bool)
-    for i in range(rows):
-        at = i + shift - band + columns
-        inside = (at >= 0) & (at < len(words))
-        equal[i, inside] = words[at[inside]] == template[i]
-        step = np.maximum(best[i, :width] + np.where(equal[i], 1, -1), best[i, 1:] - 1)  # both words, template word alone
-        step = np.where(inside, np.maximum(step, 0), 0)
-        best[i + 1, :width] = np.maximum.accumulate(step + columns) - columns  # added document words
-    i, j = np.unravel_index(int(np.argmax(best)), best.shape)
-    matched, first, last = 0, -1, -1
-    while i > 0 and best[i, j] > 0:
-        score = best[i, j]
-        if equal[i - 1, j] and score == best[i - 1, j] + 1:
-            first = i - 1 + shift - band + int(j)
-            last = first if last < 0 else last
-            matched += 1
-            i -= 1
-        elif not equal[i - 1, j] and score == best[i - 1, j] - 1:
-            i -= 1
-        elif score == best[i - 1, j + 1] - 1:
-            i, j = i - 1, j + 1
-        elif j > 0 and score == best[i, j - 1] - 1:
-            j -= 1
+    score, back, cut = length.astype(float), np.full(len(at), -1), np.zeros(len(at), int)
+    ends, open_score, open_at, open_run = np.arange(size + 1), np.full((2, size + 1), -np.inf), np.zeros((2, size + 1), int), np.full((2, size + 1), -1)
+    for k, (a, b, n) in enumerate(zip(at.tolist(), place.tolist(), length.tolist(), strict=True)):
+        over = np.maximum(np.maximum(ends - b, open_at - a), 0)
+        skipped = np.maximum(np.maximum(a + over - open_at, b + over - ends), 0)
+        step = np.where((over < n) & (skipped <= gap), open_score + (n - over) - np.log2(1 + skipped), -np.inf)
+        best = int(np.argmax(step))
+        if step.flat[best] > n:
+            score[k], back[k], cut[k] = step.flat[best], open_run.flat[best], over.flat[best]
+        for t in (0, 1):
+            if t == 0 or score[k] >= open_score[1, b + n]:
+                open_score[t, b + n], open_at[t, b + n], open_run[t, b + n] = score[k], a + n, k
+    done = np.zeros(len(at), bool)
+    for k in np.argsort(-score, kind="stable").tolist():
+        chain = []
+        while k >= 0 and not done[k]:
+            chain.append((k, int(at[k] + cut[k]), int(place[k] + cut[k]), int(length[k] - cut[k])))
+            k = int(back[k])
+        if k < 0 and chain:
+            yield chain[::-1]
+        done[[c[0] for c in chain]] = True
+
+
+def extend(template: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """Best ``score * UNIT + matched words`` from the start of both to each pair of places: a match gains 1, an edit costs 1."""
+    steps = UNIT * np.arange(len(words) + 1)
+    out = np.empty((len(template) + 1, len(words) + 1), np.int64)
+    out[0] = -steps
+    for i in range(len(template)):
+        out[i + 1, 0] = -UNIT * (i + 1)
+        out[i + 1, 1:] = np.maximum(out[i, :-1] + np.where(words == template[i], UNIT + 1, -UNIT), out[i, 1:] - UNIT)
+        out[i + 1] = np.maximum.accumulate(out[i + 1] + steps) - steps
+    return out
+
+
+def ends_of(words: np.ndarray, most: int, mark: int) -> np.ndarray:
+    """``words``, or both their ends around a word that nothing equals."""
+    return words if len(words) <= 2 * most + 1 else np.concatenate((words[:most], [np.uint64(mark)], words[-most:]))
+
+
+def between(template: np.ndarray, words: np.ndarray) -> int:
+    """Matched words between two runs: along edits from either side, with one wide edit in the middle free."""
+    template, words = ends_of(template, REACH, 1), ends_of(words, min(len(template) + BAND, REACH), 0)
+    if not len(template) or not len(words):
+        return 0
+    ahead = np.maximum.accumulate(np.maximum.accumulate(extend(template, words), 0), 1)
+    return int((ahead + extend(template[::-1], words[::-1])[::-1, ::-1]).max()) % UNIT
+
+
+def beyond(template: np.ndarray, words: np.ndarray) -> tuple[int, int]:
+    """(matched words, document words) after the last run."""
+    template = template[:REACH]
+    value = extend(template, words[: len(template) + BAND])
+    return int(value.max()) % UNIT, int(np.argmax(value)) % value.shape[1]
+
+
+def measured(template: np.ndarray, words: np.ndarray, chain: list[tuple[int, int, int, int]]) -> tuple[int, list[tuple[int, int]]]:
+    """Matched words of a chain, and the stretches of the document (first, last word) that hold them."""
+    (_, a, b, n), (_, a2, b2, n2) = chain[0], chain[-1]
+    before, lead = beyond(template[:b][::-1], words[max(0, a - b - BAND) : a][::-1])
+    after, trail = beyond(template[b2 + n2 :], words[a2 + n2 :])
+    matched, parts = before + after + n, [[a - lead, a + n - 1]]
+    for (_, a, b, n), (_, a2, b2, n2) in zip(chain, chain[1:], strict=False):
+        matched += n2 + between(template[b + n : b2], words[a + n : a2])
+        if a2 - (a + n) <= BAND:
+            parts[-1][1] = a2 + n2 - 1
         else:
-            break
-    return matched, first, last
+            parts.append([a2, a2 + n2 - 1])
+    parts[-1][1] += trail
+    return matched, [(f, e) for f, e in parts]
+
+
+Match = tuple[int, int, int, int, list[tuple[int, int]]]
+
+
+def find(index: Index, template: int, words: np.ndarray, percent: int) -> list[Match]:
+    """All matches of one template in the words of a document: near ones first, then those with wide edits."""
+    own, found = index.words[template], []
+    for gap in (max(BAND, len(own) // 4), np.inf):
+        took = True
+        while took:  # a document may hold the template several times
+            took, free = False, words.copy()
+            for chain in chains(*runs_of(textbytes.gram_hash(words, GRAM), *index.grams[template]), len(own), gap):
+                sure = sum(n for *_, n in chain)
+                # Runs of GRAM words are in chains, so at most GRAM - 1 of GRAM other words match.
+                if 100 * (sure + (GRAM - 1) * (len(own) - sure) / GRAM + (GRAM - 1) * (len(chain) + 1)) < percent * len(own):
+                    continue
+                if any((words[a : a + n] != free[a : a + n]).any() for _, a, _, n in chain):
+                    continue
+                matched, parts = measured(own, free, chain)
+                if 100 * matched >= percent * len(own):
+                    found.append((template, matched, parts[0][0], parts[-1][1], parts))
+                    for first, last in parts:
+                        free[first : last + 1] = 0
+                    took = True
+            words = free
+    return found
 
 
 def scan_text(index: Index, words: np.ndarray, percent: int = MIN_PERCENT) -> list[tuple[int, int, int, int]]:
     """(template, matched words, first word, last word) of the matches in one document's words."""
-    grams = textbytes.gram_hash(words, GRAM)
-    if not len(index.hashes) or not len(grams):
-        return []
-    at = np.minimum(np.searchsorted(index.hashes, grams), len(index.hashes) - 1)
-    hits = np.flatnonzero(index.hashes[at] == grams)
-    diagonals = defaultdict(set)
-    for position in hits.tolist():
-        for template, place in index.places[at[position]]:
-            diagonals[template].add(position - place)
-    found = []
-    for template, shifts in diagonals.items():
-        ordered = sorted(shifts)
-        start = 0
-        for k in range(1, len(ordered) + 1):  # neighbouring diagonals are one region, of bounded width
-            if k == len(ordered) or ordered[k] - ordered[k - 1] > BAND or ordered[k] - ordered[start] > 8 * BAND:
-                middle, reach = (ordered[start] + ordered[k - 1]) // 2, (ordered[k - 1] - ordered[start] + 1) // 2 + BAND
-                rest = words
-                while True:  # a region may hold the template several times
-                    matched, first, last = align(index.words[template], rest, middle, reach)
-                    if not matched or 100 * matched < percent * len(index.words[template]):
-                        break
-                    found.append((template, matched, first, last))
-                    rest = rest.copy() if rest is words else rest
-                    rest[first : last + 1] = 0
-                start = k
-    return best_apart(index, found)
-
-
-def best_apart(index: Index, found: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int, int]]:
-    """Matches that overlap no better one, in the order of the text."""
+    grams, templates, found = textbytes.gram_hash(words, GRAM), set(), []
+    for hit in np.flatnonzero(np.isin(index.hashes, grams)).tolist():
+        templates.update(t for t, _ in index.places[hit])
+    for template in sorted(templates):
+        found += find(index, template, words, percent)
+    for n, short in index.short.items():
+        for at, key in zip(*hits_of(textbytes.gram_hash(words, n), np.array(sorted(short), np.uint64)), strict=True):
+            found += [(t, n, at, at + n - 1, [(at, at + n - 1)]) for t in short[key]]
+    return best_apart(index, found, len(words))
+
+
+def hits_of(grams: np.ndarray, hashes: np.ndarray) -> tuple[list[int], list[int]]:
+    at = np.flatnonzero(np.isin(grams, hashes))
+    return at.tolist(), grams[at].tolist()
+
+
+def best_apart(index: Index, found: list[Match], size: int) -> list[tuple[int, int, int, int]]:
+    """Matches that share no stretch with a better one, in the order of the text."""
     order = sorted(found, key=lambda m: (-m[1] / len(index.words[m[0]]), -m[1], m[0], m[2]))
-    kept: list[tuple[int, int, int, int]] = []
+    taken, kept = np.zeros(size, bool), []
     for match in order:
-        if all(match[3] < other[2] or match[2] > other[3] for other in kept):
-            kept.append(match)
+        if not any(taken[first : last + 1].any() for first, last in match[4]):
+            kept.append(match[:4])
+            for first, last in match[4]:
+                taken[first : last + 1] = True
     return sorted(kept, key=lambda m: m[2])
 
 
@@ -191,6 +274,8 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, percent: int
                 words, starts, ends, before = words_of(data, bounds)
                 grams = textbytes.gram_hash(words, GRAM)
                 near = np.flatnonzero(np.isin(grams, index.hashes))
+                for n, short in index.short.items():
+                    near = np.append(near, hits_of(textbytes.gram_hash(words, n), np.array(sorted(short), np.uint64))[0]).astype(int)
                 for k in np.unique(np.searchsorted(before, near, side="right") - 1).tolist():
                     a, b = before[k], before[k + 1]
                     for template, matched, first, last in scan_text(index, words[a:b], percent):
