@@ -99,6 +99,17 @@ def test_line_dedup_random_runs(spark):
     assert got == dict(brute.without_repeats(rows))
 
 
+def test_line_dedup_cuts_are_bounded_by_the_text(spark):
+    lines = [" ".join(f"{w}{k}" for w in VOCAB[:12]) for k in range(8)]
+    rows = [(1, "\n".join(lines)), *[(None, "\n".join(["own line", *lines]))] * 200, *[(7, "\n".join(lines[:7]))] * 50]
+    df = spark.createDataFrame(rows[1:], "doc_id bigint, text string").unionByName(spark.createDataFrame(rows[:1], "doc_id bigint, text string"))
+    found = line_dedup.cuts(df).collect()
+    assert found and all(0 < len(r._firsts) == len(r._lasts) <= 18 for r in found)
+    got = sorted((x.doc_id or 0, x.text) for x in line_dedup.dedup_lines(df).collect())
+    # A missing id comes first, so its text is the original.
+    assert got == sorted([(0, rows[1][1])] * 200 + [(1, "")] + [(7, "")] * 50)
+
+
 def test_ngram_join(docs, none):
     got = ngram_join.join_documents(docs)
     named = {(r.doc_id, r.n_shingles): r.component_id for r in got.collect()}

@@ -132,6 +132,12 @@ def repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     )
 
 
+def cuts(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """(doc_id, tkey, _firsts, _lasts): the distinct windows to cut, so that a group is bounded by its text however often it is repeated."""
+    runs = repeats(docs, min_words).groupBy("doc_id", "tkey").agg(F.collect_set(F.struct("first", "last")).alias("_runs"))
+    return runs.select("doc_id", "tkey", F.col("_runs.first").alias("_firsts"), F.col("_runs.last").alias("_lasts"))
+
+
 @F.pandas_udf(StructType([StructField("text", StringType()), StructField("removed", LongType())]))
 def _without(text: pd.Series, firsts: pd.Series, lasts: pd.Series) -> pd.DataFrame:
     out, removed = [], []
@@ -155,7 +161,7 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, removed: str | None
     spark = docs.sparkSession
     path = staging_path(spark, "cuts")
     with staging(spark):  # the windows go once the cuts are written
-        runs = repeats(docs, min_words).groupBy("doc_id", "tkey").agg(F.collect_list("first").alias("_firsts"), F.collect_list("last").alias("_lasts"))
+        runs = cuts(docs, min_words)
         runs.write.parquet(path)
         schema = runs.schema
         del runs
