@@ -138,6 +138,26 @@ def test_ngram_join_finds_every_link(spark, monkeypatch, size, percent):
     assert got == brute.components(texts, size, percent)
 
 
+@pytest.mark.parametrize("size,percent", [(4, 85), (2, 60)])
+def test_ngram_links_are_all_given(spark, monkeypatch, size, percent):
+    monkeypatch.setattr(ngram_join, "LEAF_SHINGLES", 900)
+    r, texts = random.Random(percent), {}
+    for length in (25, 60, 150, 200, 300, 400):
+        base = [r.choice(VOCAB) for _ in range(length)]
+        for k in range(12):
+            w = list(base)
+            w[r.randrange(len(w))] = w[0] if k < 3 else r.choice(VOCAB)
+            texts[len(texts)] = " ".join(w)
+    texts |= {100: texts[0], 101: ""}
+    pairs, rows = ngram_join.link_classes(spark.createDataFrame(list(texts.items()), "doc_id bigint, text string"), size, percent)
+    of = {x.doc_id: x.class_id for x in rows.collect()}
+    sets = {i: brute.shingles(t, size) for i, t in texts.items()}
+    linked = {(a, b) for a in sets for b in sets if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])}
+    want = {tuple(sorted((of[a], of[b]))) for a, b in linked if of[a] != of[b]}
+    got = [(x.class_a, x.class_b) for x in pairs.collect()]
+    assert set(got) == want and len(got) == len(want) > len(set(of.values()))
+
+
 def test_block_keys_meet_for_every_linked_pair():
     import numpy as np
 

@@ -385,6 +385,20 @@ def join_documents(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFra
     )
 
 
+def link_classes(docs: DataFrame, size: int = 4, percent: int = 85) -> tuple[DataFrame, DataFrame]:
+    """Every link, not only those that connect: (class_a, class_b) with a < b, and the (doc_id, text_key, n_shingles, class_id) of every row.
+
+    Rows of one class have equal sets, so they are linked among themselves and with all rows of a linked class.
+    """
+    sets = staged(named_sets(docs, size), "sets")
+    classes = sets.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("first_doc"), F.first("n").alias("n"))
+    family = staged(families(docs, size, percent), "families")
+    found = links(leaf_pairs(docs, classes, family, size, percent), percent, spanning=False)
+    # A pair may meet in several bands.
+    pairs = staged(found.select(F.least("a", "b").alias("class_a"), F.greatest("a", "b").alias("class_b")).distinct(), "links")
+    return pairs, sets.select("doc_id", F.col("tkey").alias("text_key"), F.col("n").alias("n_shingles"), F.col("cls").alias("class_id"))
+
+
 def keep_one(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` without near duplicates: of each component the row with the least id stays.
 
