@@ -22,7 +22,7 @@ def con(sf_dir):
 
 
 def test_each_operator_has_one_query():
-    assert sorted(n.split("_")[0] for n in LLM) == sorted(["pipeline", *[f"op{k}" for k in range(1, 11)]])
+    assert sorted(n.split("_")[0] for n in LLM) == sorted(["pipeline", *[f"op{k}" for k in range(1, 14)]])
 
 
 @pytest.mark.parametrize("name", [n for n in LLM if n in oracle_sql()])
@@ -101,6 +101,27 @@ def test_license_query(spark, sf_dir, texts):
             assert notices[r.license] in by_id[r.doc_id][r.start : r.end]
 
 
+def test_periodic_runs_query(spark, sf_dir, texts):
+    got = {r.doc_id: tuple(r)[1:] for r in queries()["op11_periodic_runs"](spark, sf_dir).collect()}
+    assert got == {d: brute.run_digests(d, t) for d, t in texts}
+    assert sum(r[0] > 0 for r in got.values()) > len(texts) / 20
+
+
+def test_sentencepiece_query(spark, sf_dir, texts):
+    import hashlib
+
+    import public_tokenizers
+    import sentencepiece
+
+    library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    got = {r.doc_id: tuple(r)[1:] for r in queries()["op12_sentencepiece"](spark, sf_dir).collect()}
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    for doc, text in texts:
+        ids = library.encode(text or "")
+        assert got[doc] == (len(ids), sha(",".join(map(str, ids))), sha(library.decode(ids)))
+    assert len(got) == len(texts)
+
+
 def test_classifier_query(spark):
     folder = os.environ.get("CLASSIFIER_SF_DIR", "/root/testdata/sf0.01")
     if not os.path.isdir(folder):

@@ -4,9 +4,11 @@ A text's bytes are embedded; learned filters run over all of them.  Chunks of ``
 bytes each) overlap by one cell and cover the document from end to end.  Every filter is max-pooled inside
 each chunk; the strongest chunk and the mean over chunks of each filter are combined into one probability.
 
-The network is fitted on the driver from at most ``max_rows`` labelled texts (those with the smallest hash
-of their id), reading at most ``max_cells`` evenly spaced cells of each; both are parameters.  Scoring
-reads every byte of every text, in blocks of bounded size, and needs no shuffle: the model is a few kB.
+The network is fitted on the driver from at most ``max_rows`` labelled texts of at most ``max_bytes`` together
+(in order of a hash of their id, leaving out what doesn't fit); both are parameters, and every chosen text is
+read whole.  Scoring reads every byte of every text, in blocks of bounded size, and needs no shuffle: the
+model is a few kB.  A window that would reach into the next text is never looked at, so a score depends on
+the text alone.
 
 Defined results: NULL or empty text gets the score of a text without bytes; a NULL label is not learnt
 from; several labels of one document count by majority (ties count as 1); without labels of both kinds
@@ -68,8 +70,12 @@ def cells_of(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return out, before
 
 
-def cell_maxima(net: Network, values: np.ndarray, where: bool = False) -> tuple[np.ndarray, np.ndarray | None]:
-    """Each filter's maximum in every cell (cells x FILTERS), and the position of it in the cell."""
+def cell_maxima(net: Network, values: np.ndarray, last: np.ndarray, where: bool = False) -> tuple[np.ndarray, np.ndarray | None]:
+    """Each filter's maximum in every cell (cells x FILTERS), and the position of it in the cell.
+
+    Windows that start at the end of a ``last`` cell of a text would read the next text.  They hold no byte of
+    their own text beyond its padding, which an earlier window has seen, and are left out.
+    """
     pairs = np.take(net.embedding, values, axis=0).reshape(-1, STRIDE * EMBED)
     taps = WIDTH // STRIDE
     kernel = net.filters.reshape(taps, STRIDE * EMBED, FILTERS).transpose(1, 0, 2).reshape(STRIDE * EMBED, -1)
@@ -78,12 +84,28 @@ def cell_maxima(net: Network, values: np.ndarray, where: bool = False) -> tuple[
     for k in range(1, taps):
         response[:-k] += partial[k:, k]
     response = response.reshape(-1, CELL // STRIDE, FILTERS)
+    response[last, 1 - taps :] = -np.inf
     if not where:
         return response.max(1) + net.bias, None
     at = response.argmax(1)
     return np.take_along_axis(response, at[:, None], 1)[:, 0] + net.bias, at
 
 
+def maxima_of(net: Network, values: np.ndarray, before: np.ndarray, where: bool = False) -> tuple[np.ndarray, np.ndarray | None]:
+    """``cell_maxima`` of whole texts, in slices of bounded size."""
+    cells, ends = len(values) // CELL, np.zeros(len(values) // CELL + 1, bool)
+    ends[before[1:] - 1] = True
+    maxima, places = [], []
+    for at in range(0, cells, BLOCK_CELLS):
+        stop = min(at + BLOCK_CELLS, cells)
+        part = values[at * CELL : (stop + 1) * CELL]  # filters reach over the border of the slice
+        most, place = cell_maxima(net, part, np.flatnonzero(ends[at : at + len(part) // CELL]), where)
+        maxima.append(most[: stop - at])
+        if place is not None:
+            places.append(place[: stop - at])
+    return np.concatenate(maxima), np.concatenate(places) if places else None
+
+
 def chunk_borders(before: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """First and end cell of every chunk, and the chunks before each text."""
     cells = np.diff(before)
@@ -118,19 +140,13 @@ def score_texts(net: Network, texts: pa.Array) -> np.ndarray:
 
 def _score_block(net: Network, data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     values, before = cells_of(data, bounds)
-    step = BLOCK_CELLS * CELL
-    maxima = []
-    for at in range(0, len(values), step):
-        part = values[at : at + step + WIDTH]  # filters reach over the border of the slice
-        extra = (-len(part)) % CELL
-        padded = np.append(part, np.full(extra, PAD, np.int16)) if extra else part
-        maxima.append(cell_maxima(net, padded)[0][: min(step, len(values) - at) // CELL])
-    chunks, first = pooled(np.concatenate(maxima), before)
+    maxima, _ = maxima_of(net, values, before)
+    chunks, first = pooled(maxima, before)
     logits = combine(net, chunks, first)[1]
     return 1 / (1 + np.exp(-np.clip(logits.astype(np.float64), -30, 30)))
 
 
-def fit(texts: list[bytes], labels: list[int], steps: int = 900, batch: int = 32, rate: float = 0.004, max_cells: int = 64, seed: int = 0) -> Network:
+def fit(texts: list[bytes], labels: list[int], steps: int = 900, batch: int = 32, rate: float = 0.004, seed: int = 0) -> Network:
     """Train by Adam on the log loss, in about ``steps`` batches.  Only the winning position of a filter in a chunk has a gradient."""
     net = start_network(seed)
     share = float(np.mean(labels)) if labels else 0.5
@@ -140,7 +156,7 @@ def fit(texts: list[bytes], labels: list[int], steps: int = 900, batch: int = 32
         return net
     net.offset = float(np.log(share / (1 - share)))
     rng = np.random.default_rng(seed)
-    layouts = [_spaced(text, max_cells) for text in texts]
+    layouts = [cells_of(np.frombuffer(text, np.uint8), np.array([0, len(text)]))[0] for text in texts]
     target = np.array(labels, np.float32)
     moments = [(np.zeros_like(p), np.zeros_like(p)) for p in [*net.parameters(), np.zeros(1, np.float32)]]
     epochs = -(-steps // -(-len(texts) // batch))
@@ -164,21 +180,10 @@ def fit(texts: list[bytes], labels: list[int], steps: int = 900, batch: int = 32
     return net
 
 
-def _spaced(text: bytes, max_cells: int) -> np.ndarray:
-    """The text in cells; of a longer text, evenly spaced runs of cells."""
-    values, before = cells_of(np.frombuffer(text, np.uint8), np.array([0, len(text)]))
-    cells = values.reshape(-1, CELL)
-    if len(cells) <= max_cells:
-        return values
-    runs = max_cells // CHUNK_CELLS
-    starts = np.linspace(0, len(cells) - CHUNK_CELLS, runs).astype(int)
-    return np.concatenate([cells[s : s + CHUNK_CELLS].ravel() for s in starts])
-
-
 def _gradients(net: Network, layouts: list[np.ndarray], target: np.ndarray) -> list[np.ndarray]:
     values = np.concatenate(layouts)
     before = np.concatenate(([0], np.cumsum([len(x) // CELL for x in layouts])))
-    maxima, at = cell_maxima(net, values, where=True)
+    maxima, at = maxima_of(net, values, before, where=True)
     start, end, first = chunk_borders(before)
     # The winning cell of each chunk and filter: compare the cells of a chunk one by one.
     best = maxima[start]
@@ -196,7 +201,9 @@ def _gradients(net: Network, layouts: list[np.ndarray], target: np.ndarray) -> l
     sizes = np.diff(first)
     text = np.repeat(np.arange(len(sizes)), sizes)
     d_chunks = (d_features[:, FILTERS:] / sizes[:, None])[text]
-    winner = chunks == features[:, :FILTERS][text]
+    # Of equally strong chunks (repeated passages) the first counts.
+    number = np.arange(len(text))[:, None]
+    winner = np.minimum.reduceat(np.where(chunks == features[:, :FILTERS][text], number, len(text)), first[:-1], axis=0)[text] == number
     d_chunks = d_chunks + np.where(winner, d_features[:, :FILTERS][text], 0)
     d_chunks *= 1 - chunks**2
     position = cell * CELL + np.take_along_axis(at, cell, 0) * STRIDE  # (chunks, FILTERS): first byte of the window
@@ -210,36 +217,30 @@ def _gradients(net: Network, layouts: list[np.ndarray], target: np.ndarray) -> l
     return [d_embedding, d_filters, d_chunks.sum(0), d_weights, np.array([error.sum()])]
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, max_rows: int, label: str = "quality") -> DataFrame:
-    """(text, label) of at most ``max_rows`` labelled documents, those with the smallest hash of their id."""
+def labelled_sample(docs: DataFrame, labels: DataFrame, max_rows: int, max_bytes: int, label: str = "quality") -> list[tuple[bytes, int]]:
+    """(text, label) of the labelled documents in order of a hash of their id, as far as the bounds allow."""
     voted = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg((F.avg(label) >= 0.5).cast("int").alias("_label"))
-    chosen = voted.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
-    return docs.select(F.col("doc_id").alias("_id"), "text").join(F.broadcast(chosen), F.col("_id") == F.col("doc_id")).select("_id", F.coalesce("text", F.lit("")).alias("text"), "_label")
-
-
-def train(docs: DataFrame, labels: DataFrame, max_rows: int = 4000, max_cells: int = 64, steps: int = 900, label: str = "quality") -> Network:
-    """Fit on the bounded sample; ids that occur in several rows count with each of their texts, up to ``max_rows``."""
-    # Only the bytes that the fit can use travel to the driver: the head and evenly spaced parts of longer texts.
-    rows = labelled_sample(docs, labels, max_rows, label).mapInArrow(_cutter(max_cells), "_id bigint, text binary, _label int").limit(max_rows).collect()
-    rows.sort(key=lambda r: (r["_id"], bytes(r["text"])))
-    return fit([bytes(r["text"]) for r in rows], [r["_label"] for r in rows], steps=steps, max_cells=max_cells)
-
-
-def _cutter(max_cells: int):
-    most = max_cells * CELL
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = []
-            for text in batch.column(1).cast(pa.large_binary()).to_pylist():
-                if len(text) > most:
-                    part = CHUNK_CELLS * CELL
-                    starts = np.linspace(0, len(text) - part, max_cells // CHUNK_CELLS).astype(int)
-                    text = b"".join(text[s : s + part] for s in starts)
-                texts.append(text)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.binary()), batch.column(2)], ["_id", "text", "_label"])
-
-    return cut
+    first = voted.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
+    own = docs.select(F.col("doc_id").alias("_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("_key", F.xxhash64("text"))
+    sizes = own.join(F.broadcast(first.select("doc_id")), F.col("_id") == F.col("doc_id")).select("_id", "_key", F.octet_length("text").alias("_size"))
+    # Only ids, hashes and sizes travel until it is known which texts fit.
+    known = sizes.distinct().orderBy(F.xxhash64("_id"), "_id", "_key", "_size").limit(max_rows).collect()
+    chosen, room = [], max_bytes
+    for r in known:
+        if r["_size"] <= room:
+            chosen.append((r["_id"], r["_key"]))
+            room -= r["_size"]
+    if not chosen:
+        return []
+    wanted = docs.sparkSession.createDataFrame(chosen, "_id long, _key long")
+    rows = own.join(F.broadcast(wanted), ["_id", "_key"]).dropDuplicates(["_id", "_key"]).join(F.broadcast(first), F.col("_id") == F.col("doc_id"))
+    return [(r["text"].encode(), r["_label"]) for r in sorted(rows.select("_id", "_key", "text", "_label").collect())]
+
+
+def train(docs: DataFrame, labels: DataFrame, max_rows: int = 4000, max_bytes: int = 64_000_000, steps: int = 900, label: str = "quality") -> Network:
+    """Fit on the bounded sample; an id that occurs with several texts counts with each of them, equal rows count once."""
+    rows = labelled_sample(docs, labels, max_rows, max_bytes, label)
+    return fit([text for text, _ in rows], [value for _, value in rows], steps=steps)
 
 
 def score(docs: DataFrame, net: Network) -> DataFrame:

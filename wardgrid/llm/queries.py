@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardgrid.llm import chat, decontaminate, kneser_ney, license_scan, line_dedup, ngram_join, packing, quality_cnn, quality_rules, url_filters
+from wardgrid.llm import chat, decontaminate, kneser_ney, license_scan, line_dedup, merkle, ngram_join, packing, periodic_runs, piece_encoding, quality_cnn, quality_rules, url_filters
+from wardgrid.llm.columns import ascii_lower, bind, words_of
 from wardgrid.session import prepare, staged
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -252,3 +253,97 @@ def op10_chat_formatting(spark, sf_dir):
     planted = spark.sql(f"select * from values (-7L, 0L, 'user', '{PLANTED}'), (-7L, 1L, 'assistant', '{PLANTED}') as c(conv_id, turn, role, text)")
     windows = chat.format_conversations(given.unionByName(planted), BUDGET, HISTORY)
     return chat.digests(windows)
+
+
+# --- 11: periodic run detection ---------------------------------------------------------------------
+
+
+def planted_periods(docs: DataFrame) -> DataFrame:
+    """``docs`` in which every tenth text, by hash of its id, repeats a stretch of its own words to the end."""
+    g = F.floor(F.crc32(F.col("doc_id").cast("string").cast("binary")) / 10)
+
+    def repeated(words):
+        n = F.size(words)
+        a = (g % n).cast("int")
+        p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+        tail = F.transform(F.sequence(F.lit(0), n - a - 1), lambda k: F.element_at(words, a + k % p + 1))
+        return F.when(n > 0, F.array_join(F.concat(F.slice(words, 1, a), tail), " ")).otherwise("")
+
+    return docs.withColumn("text", F.when(doc_hash(10) == 0, bind(words_of(F.col("text")), repeated)).otherwise(F.col("text")))
+
+
+@register("op11_periodic_runs")
+def op11_periodic_runs(spark, sf_dir):
+    docs = planted_periods(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = periodic_runs.find_runs(docs)
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"])))
+    listed = F.transform("runs", lambda r: F.format_string("%d,%d,%d\n", r["start"], r["length"], r["period"]))
+    length, start, period = (longest[f"col{k}"].cast("long") for k in (1, 2, 3))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-start).alias("start"), length.alias("length"), (-period).alias("period"),
+        F.floor(1000 * length / -period).alias("exponent_milli"), F.sha2(F.array_join(listed, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+# --- 12: SentencePiece encoding and decoding --------------------------------------------------------
+
+PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
+
+
+@register("op12_sentencepiece")
+def op12_sentencepiece(spark, sf_dir):
+    return piece_encoding.digests(table(spark, sf_dir, "documents").select("doc_id", "text"), PIECE_MODEL)
+
+
+# --- 13: Merkle dataset manifest --------------------------------------------------------------------
+
+_FRAME = "coalesce(strlen(cast({c} as varchar)) || ':' || cast({c} as varchar), '-')"
+_LEAF = "sha256(" + " || ".join(_FRAME.format(c=c) for c in merkle.FIELDS[:-1]) + " || " + _FRAME + ")"
+_CRC32 = """xor(list_reduce(list_prepend(4294967295, list_transform(string_split(cast(doc_id as varchar), ''), lambda ch: cast(ascii(ch) as bigint))),
+    lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295)"""
+
+
+@register(
+    "op13_merkle_manifest",
+    f"""with recursive
+crc as (select list_transform(range(256), lambda x: list_reduce(list_prepend(x, range(8)),
+    lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)) tab),
+d as (select row_number() over () rid, doc_id, lang, {_LEAF.format(c="text")} leaf,
+    case when text is not null and {_CRC32} % 3 = 0
+        then {_LEAF.format(c="translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} end tampered
+    from documents, crc),
+r as (select *, row_number() over (partition by lang order by doc_id nulls first, leaf) - 1 i, count(*) over (partition by lang) n from d),
+t(lang, l, i, h, n) as (
+    select lang, 0, i, leaf, n from r
+    union all
+    select lang, l + 1, i >> 3, sha256(string_agg(h, '' order by i)), (n + 7) >> 3 from t where n > 1 group by lang, l, n, i >> 3),
+s as (select lang, h subroot, row_number() over (order by lang nulls first) - 1 j, count(*) over () m from t where n = 1),
+u(l, i, h, n) as (
+    select 0, j, subroot, m from s
+    union all
+    select l + 1, i >> 3, sha256(string_agg(h, '' order by i)), (n + 7) >> 3 from u where n > 1 group by l, n, i >> 3),
+p as (
+    select rid, l, string_agg(h, '' order by t.i) filter (t.i < r.i >> (3 * l)) lft, string_agg(h, '' order by t.i) filter (t.i > r.i >> (3 * l)) rgt
+    from r join t on r.lang is not distinct from t.lang and t.n > 1 and t.i >> 3 = r.i >> (3 * l + 3) group by all
+    union all
+    select rid, 100 + l, string_agg(h, '' order by u.i) filter (u.i < s.j >> (3 * l)), string_agg(h, '' order by u.i) filter (u.i > s.j >> (3 * l))
+    from r join s on r.lang is not distinct from s.lang join u on u.n > 1 and u.i >> 3 = s.j >> (3 * l + 3) group by all),
+q as (select rid, coalesce(lft, '') lft, coalesce(rgt, '') rgt, row_number() over (partition by rid order by l) k from p),
+f(rid, k, h) as (
+    select rid, 0, coalesce(tampered, leaf) from r
+    union all
+    select f.rid, q.k, sha256(lft || h || rgt) from f join q on f.rid = q.rid and q.k = f.k + 1),
+e as (select rid, arg_max(h, k) folded_root from f group by rid),
+x as (select rid, string_agg(lft || rgt, '' order by k) proof from q group by rid)
+select doc_id, leaf, subroot, root, sha256(coalesce(proof, '')) proof_sha256, folded_root, folded_root = root verified
+from r join s on r.lang is not distinct from s.lang join e using (rid) left join x using (rid), (select h root from u where n = 1)""",
+)
+def op13_merkle_manifest(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select(*merkle.FIELDS)
+    lowered = merkle.leaf_digest(*[F.col(c) for c in merkle.FIELDS[:-1]], ascii_lower(F.col("text")))
+    tampered = F.when(doc_hash(3) == 0, F.when(F.col("text").isNotNull(), lowered))
+    proofs = merkle.manifest(docs, carry={"tampered": tampered})
+    folded = proofs.withColumn("folded_root", merkle.fold(F.coalesce("tampered", "leaf"), F.col("proof")))
+    return folded.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2(merkle.siblings(F.col("proof")), 256).alias("proof_sha256"), "folded_root", (F.col("folded_root") == F.col("root")).alias("verified")
+    )
