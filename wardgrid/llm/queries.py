@@ -276,9 +276,9 @@ def planted_periods(docs: DataFrame) -> DataFrame:
 def op11_periodic_runs(spark, sf_dir):
     docs = planted_periods(table(spark, sf_dir, "documents").select("doc_id", "text"))
     found = periodic_runs.find_runs(docs)
-    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"])))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("a"), (-r["start"]).alias("b"), (-r["period"]).alias("c"))))
     listed = F.transform("runs", lambda r: F.format_string("%d,%d,%d\n", r["start"], r["length"], r["period"]))
-    length, start, period = (longest[f"col{k}"].cast("long") for k in (1, 2, 3))
+    length, start, period = (longest[k].cast("long") for k in "abc")
     return found.select(
         "doc_id", F.size("runs").cast("long").alias("n_runs"), (-start).alias("start"), length.alias("length"), (-period).alias("period"),
         F.floor(1000 * length / -period).alias("exponent_milli"), F.sha2(F.array_join(listed, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
