@@ -10,6 +10,7 @@ from driver_queries import (  # noqa: F401  (importing registers the queries)
     ranking,
     reshape,
     safety,
+    sequences,
     sources,
     statistics,
 )
