@@ -12,7 +12,9 @@ from driver_queries.statistics import PREDICTIONS, _predictions
 from wardgrid.operators import evaluate as E
 from wardgrid.operators import models as M
 from wardgrid.operators import splits as S
+from wardgrid.operators import prediction_intervals as P
 from wardgrid.operators.impute import residual_impute
+from wardgrid.operators.penalised import refit_leaves, score_penalised
 from wardgrid.operators.ranking import feature_top_n
 from wardgrid.session import staged, staging_path
 from wardgrid.sources.scan import feature_columns
@@ -146,6 +148,19 @@ def _(spark, sf):
     return rounded(E.roc_points(_scored(spark, sf), "score", "label"))
 
 
+_STEPS = f"with {_descending(LINES_SCORED, 'label')}, s as (select *, lead(pos) over (order by score desc) as next_pos, "
+_STEPS += "lead(neg) over (order by score desc) as next_neg, row_number() over (order by score desc) as k from d)"
+
+
+@query(
+    "roc_points_reduced",
+    f"{_STEPS} select score as threshold, round(fp::double / n_neg, 6) as fpr, round(tp::double / n_pos, 6) as tpr from s "
+    "where k = 1 or next_pos is null or next_pos <> pos or next_neg <> neg union all select null, 0.0, 0.0",
+)
+def _(spark, sf):
+    return rounded(E.roc_points_reduced(lines_scored(spark, sf), "score", "label"))
+
+
 @query(
     "pr_curve",
     f"with {_descending(SCORED, 'label')} select score as threshold, round(tp::double / (tp + fp), 6) as precision, "
@@ -242,10 +257,49 @@ def _(spark, sf):
     return rounded(out)
 
 
+# -- prediction intervals -------------------------------------------------------------------------
+
+_TOTALS = """(select o_orderkey as hadm_id, o_totalprice as actual, round(sum(l_extendedprice), 2) as predicted
+    from orders join lineitem on o_orderkey = l_orderkey group by all)"""
+_INTERVALS = f"""with k as (select *, row_number() over (order by md5('42:' || hadm_id) || ':' || hadm_id) as rk, count(*) over () as n from {_TOTALS} t),
+    f as (select hadm_id, actual, predicted, {_FOLD} as fold from k),
+    c as (select g.fold, actual, predicted from f join (select unnest(range(5))::int as fold) g on f.fold <> g.fold),
+    e as (select fold, quantile_cont(predicted, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]) as edges from c group by fold),
+    b as (select fold, len(list_filter(edges, lambda x: x < predicted)) as bin, actual - predicted as r from c join e using (fold)),
+    q as (select fold, bin, quantile_cont(r, [0.1, 0.5, 0.9]) as q from b group by all),
+    i as (select hadm_id, actual, predicted, f.fold, len(list_filter(edges, lambda x: x < predicted))::int as bin,
+      predicted + q[1] as p10, predicted + q[2] as p50, predicted + q[3] as p90
+      from f join e using (fold) left join q on q.fold = f.fold and q.bin = len(list_filter(edges, lambda x: x < predicted)))"""
+
+
+def _intervals(spark, sf):
+    orders = table(spark, sf, "orders").select(F.col("o_orderkey").alias("hadm_id"), F.col("o_totalprice").alias("actual"))
+    lines = table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("hadm_id")).agg(F.round(F.sum("l_extendedprice"), 2).alias("predicted"))
+    return P.quantile_intervals(staged(orders.join(lines, "hadm_id"), "totals"), "hadm_id", "actual", "predicted")
+
+
+@query(
+    "quantile_intervals",
+    f"{_INTERVALS} select hadm_id, actual, predicted, fold, bin, round(p10, 4) as p10, round(p50, 4) as p50, round(p90, 4) as p90 from i",
+)
+def _(spark, sf):
+    return rounded(_intervals(spark, sf), 4)
+
+
+@query(
+    "interval_coverage",
+    f"{_INTERVALS} select bin, count(*) as n, round(avg((actual between p10 and p90)::int), 6) as coverage, "
+    "round(avg(p90 - p10), 3) as mean_width from i group by bin",
+)
+def _(spark, sf):
+    out = P.interval_coverage(_intervals(spark, sf), "actual")
+    return out.select("bin", "n", F.round("coverage", 6).alias("coverage"), F.round("mean_width", 3).alias("mean_width"))
+
+
 # -- models -----------------------------------------------------------------------------------
 #
-# SQL can't repeat a fit, so it states what holds for any sound one: which rows are tested, that
-# classes follow from scores, what a weighted fit must average to, and exact errors of a mean model.
+# SQL can't repeat a fit.  Queries named after an operator return its scores, errors and importances, and tests check them
+# on small tables; those named ``*_invariants``, ``*_constant`` and ``*_mean`` return what SQL can say of any sound fit.
 
 TESTED = f"(select hadm_id, flag from {_KEYED} k where rk <= floor(n * 0.2::double + 0.5))"
 
@@ -262,6 +316,13 @@ def _parts(data):
     return data.where(F.col("is_test") == 0), data.where(F.col("is_test") == 1)
 
 
+def _scores(spark, sf, fit):
+    """Score and predicted class of the tested rows."""
+    data, features = _study(spark, sf)
+    train, test = _parts(data)
+    return M.score_classifier(fit(train, features, "flag"), test).select("hadm_id", "flag", "score", "predicted")
+
+
 def _classify(spark, sf, fit):
     """The tested rows, whether scores are probabilities, and whether classes follow from them."""
     data, features = _study(spark, sf)
@@ -296,7 +357,12 @@ def _(spark, sf):
     return rounded(scaled.select("hadm_id", *[F.col("_z")[k].alias(n) for k, n in enumerate(names)]).unpivot("hadm_id", names, "feature", "z"))
 
 
-@query("fit_logistic", _CLASSIFIED)
+@query("fit_logistic")
+def _(spark, sf):
+    return _scores(spark, sf, M.fit_logistic)
+
+
+@query("fit_logistic_invariants", _CLASSIFIED)
 def _(spark, sf):
     return _classify(spark, sf, M.fit_logistic)
 
@@ -315,12 +381,22 @@ def _(spark, sf):
     return per_class.agg(F.sum("n").alias("n_train"), F.round(F.avg("mean"), 3).alias("weighted_score"))
 
 
-@query("fit_random_forest", _CLASSIFIED)
+@query("fit_random_forest")
+def _(spark, sf):
+    return _scores(spark, sf, M.fit_random_forest)
+
+
+@query("fit_random_forest_invariants", _CLASSIFIED)
 def _(spark, sf):
     return _classify(spark, sf, M.fit_random_forest)
 
 
-@query("fit_gbt_classifier", _CLASSIFIED)
+@query("fit_gbt_classifier")
+def _(spark, sf):
+    return _scores(spark, sf, M.fit_gbt_classifier)
+
+
+@query("fit_gbt_classifier_invariants", _CLASSIFIED)
 def _(spark, sf):
     return _classify(spark, sf, M.fit_gbt_classifier)
 
@@ -337,6 +413,13 @@ def _regression_study(spark, sf):
     return staged(data.join(_target(spark, sf), "hadm_id"), "regression"), features
 
 
+def _predictions_of(spark, sf, fit):
+    """Predictions of the tested rows on both scales."""
+    data, features = _regression_study(spark, sf)
+    train, test = _parts(data)
+    return M.score_regressor(fit(train, features, "los"), test).select("hadm_id", "los", "predicted_log", "predicted")
+
+
 def _regress(spark, sf, fit):
     """The tested rows, whether predictions are above -1 and fit the log scale."""
     data, features = _regression_study(spark, sf)
@@ -353,18 +436,57 @@ _REGRESSED = f"""select hadm_id, round(o_totalprice / 10000.0, 6) as los, true a
     from {TESTED} t join orders on hadm_id = o_orderkey where o_totalprice > 0"""
 
 
-@query("fit_gbt_regressor", _REGRESSED)
+@query("fit_gbt_regressor")
+def _(spark, sf):
+    return _predictions_of(spark, sf, M.fit_gbt_regressor)
+
+
+@query("fit_gbt_regressor_invariants", _REGRESSED)
 def _(spark, sf):
     return _regress(spark, sf, M.fit_gbt_regressor)
 
 
-@query("fit_gbt_regressor_alt", _REGRESSED)
+@query("fit_gbt_regressor_alt")
+def _(spark, sf):
+    return _predictions_of(spark, sf, M.fit_gbt_regressor_alt)
+
+
+@query("fit_gbt_regressor_alt_invariants", _REGRESSED)
 def _(spark, sf):
     return _regress(spark, sf, M.fit_gbt_regressor_alt)
 
 
+# Boosting rounds run one after another, so cross-validation takes fewer of them here; rounds are a parameter of the operators.
+CV_ROUNDS = 60
+
+
+def _rounds(fit, rounds=CV_ROUNDS):
+    return lambda train, features, label: fit(train, features, label, rounds=rounds)
+
+
+@query("fit_gbt_penalised")
+def _(spark, sf):
+    """Boosted trees with L1 and L2 penalties on their leaves."""
+    data, features = _regression_study(spark, sf)
+    train, test = _parts(data)
+    trees = refit_leaves(_rounds(M.fit_gbt_regressor)(train, features, "los"), train, "los")
+    return score_penalised(trees, test).select("hadm_id", "los", "predicted_log", "predicted")
+
+
+@query("cv_classification")
+def _(spark, sf):
+    data, features = _study(spark, sf)
+    return M.cv_classification(data, M.fit_logistic, features, "flag", "hadm_id")
+
+
+@query("cv_regression")
+def _(spark, sf):
+    data, features = _regression_study(spark, sf)
+    return M.cv_regression(data, _rounds(M.fit_gbt_regressor), features, "los", "hadm_id")
+
+
 @query(
-    "cv_classification",
+    "cv_classification_constant",
     "select fold, 0.5::double as auroc from (select distinct fold from "
     f"(select {_FOLD} as fold from {_KEYED} k) f) g",
 )
@@ -374,7 +496,7 @@ def _(spark, sf):
 
 
 @query(
-    "cv_regression",
+    "cv_regression_mean",
     f"""with f as (select hadm_id, {_FOLD} as fold, los from {_ALL} k
       join (select o_orderkey, o_totalprice / 10000.0 as los from orders where o_totalprice > 0) o on hadm_id = o_orderkey),
     m as (select g.fold, avg(ln(1 + f.los)) as mean from f join (select distinct fold from f) g on f.fold <> g.fold group by g.fold)
@@ -402,40 +524,35 @@ CLASSIFIERS = {"logistic": M.fit_logistic, "random_forest": M.fit_random_forest,
 REGRESSORS = {"gbt": M.fit_gbt_regressor, "gbt_alt": M.fit_gbt_regressor_alt}
 
 
-def _five_folds(names) -> str:
-    rows = ", ".join(f"('{n}')" for n in names)
-    return f"select model, cast(fold as integer) as fold, true as is_sound from (values {rows}) m(model), range(5) f(fold)"
-
-
-@query("cv_classification_models", _five_folds(CLASSIFIERS))
+@query("cv_classification_models")
 def _(spark, sf):
     data, features = _study(spark, sf)
-    scores = [
-        M.cv_classification(data, fit, features, "flag", "hadm_id").select(
-            F.lit(name).alias("model"), "fold", F.col("auroc").between(0, 1).alias("is_sound")
-        )
-        for name, fit in CLASSIFIERS.items()
-    ]
-    return E.model_comparison(scores)
+    return M.cv_classifiers(data, CLASSIFIERS, features, "flag", "hadm_id")
 
 
-@query("cv_regression_models", _five_folds(REGRESSORS))
+@query("cv_regression_models")
 def _(spark, sf):
     data, features = _regression_study(spark, sf)
-    errors = [
-        M.cv_regression(data, fit, features, "los", "hadm_id").select(
-            F.lit(name).alias("model"), "fold", ((F.col("mae") > 0) & (F.col("mae_log") > 0)).alias("is_sound")
-        )
-        for name, fit in REGRESSORS.items()
-    ]
-    return E.model_comparison(errors)
+    return M.cv_regressors(data, {name: _rounds(fit) for name, fit in REGRESSORS.items()}, features, "los", "hadm_id")
 
 
 MATRIX_FEATURES = ["age", "age_imputed", *[f"type_{t}" for t in TYPES], "balance", "comorbidity", *LAB_WIDE]
 
 
+@query("feature_importance")
+def _(spark, sf):
+    data, features = _study(spark, sf)
+    return M.feature_importance(M.fit_random_forest(_parts(data)[0], features, "flag"), features)
+
+
+@query("feature_top_n")
+def _(spark, sf):
+    data, features = _study(spark, sf)
+    return feature_top_n(M.feature_importance(M.fit_random_forest(_parts(data)[0], features, "flag"), features), 15)
+
+
 @query(
-    "feature_importance",
+    "feature_importance_invariants",
     "select unnest([" + ", ".join(f"'{f}'" for f in MATRIX_FEATURES) + "]) as feature, "
     "true as not_negative, 1.0::double as total",
 )
@@ -451,7 +568,7 @@ _CORRELATED = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
 @query(
-    "feature_top_n",
+    "feature_top_n_correlations",
     "select feature, round(abs(r), 6) as importance from (" + " union all ".join(
         f"select '{c}' as feature, corr({c}, case when l_returnflag = 'R' then 1.0 else 0.0 end) as r from lineitem"
         for c in _CORRELATED
@@ -463,20 +580,29 @@ def _(spark, sf):
     return rounded(feature_top_n(row.unpivot([], _CORRELATED, "feature", "importance"), 3))
 
 
+def _write_results(spark, sf):
+    data, features = _study(spark, sf)
+    train, test = _parts(data)
+    model = M.fit_logistic(train, features, "flag")
+    scored = M.score_classifier(model, test).select("hadm_id", "flag", "score", "predicted")
+    results = {"model": model, "predictions": scored, "metrics": E.auroc(scored, "score", "flag")}
+    return write_model_results(results, staging_path(spark, "results")), test
+
+
+@query("write_model_results")
+def _(spark, sf):
+    """The written predictions with the written metric."""
+    path, _ = _write_results(spark, sf)
+    return spark.read.parquet(f"{path}/predictions").withColumn("auroc", spark.read.parquet(f"{path}/metrics").select("auroc").scalar())
+
+
 @query(
-    "write_model_results",
+    "write_model_results_invariants",
     f"select hadm_id, flag, true as same_score, true as same_auroc from {TESTED} t",
 )
 def _(spark, sf):
     """Written predictions next to those of the reloaded model, and the written metric computed anew."""
-    data, features = _study(spark, sf)
-    train, test = _parts(data)
-    model = M.fit_logistic(train, features, "flag")
-    scored = M.score_classifier(model, test).select("hadm_id", "flag", "score", "predicted")
-    path = write_model_results(
-        {"model": model, "predictions": scored, "metrics": E.auroc(scored, "score", "flag")},
-        staging_path(spark, "results"),
-    )
+    path, test = _write_results(spark, sf)
     written = spark.read.parquet(f"{path}/predictions")
     again = M.score_classifier(PipelineModel.load(f"{path}/model"), test).select("hadm_id", F.col("score").alias("_again"))
     metric = spark.read.parquet(f"{path}/metrics").select("auroc").scalar()

@@ -69,6 +69,21 @@ def _(spark, sf):
     return rounded(quadrants(spark, sf))
 
 
+_THIRD = f"(select subject_id, max(valuenum) as peak_c from {VITALS} v where itemid = 'view' group by subject_id)"
+
+
+@query(
+    "cholestasis_exclusion",
+    f"""select q.subject_id, peak_a, peak_b, round(ratio_a, 6) as ratio_a, round(ratio_b, 6) as ratio_b, quadrant, hys_law, peak_c,
+    round(peak_c / 60.0, 6) as ratio_c, coalesce(peak_c >= 120.0, false) as cholestatic,
+    hys_law and not coalesce(peak_c >= 120.0, false) as hys_law_confirmed
+    from {QUADRANTS_SQL} q left join {_THIRD} t on q.subject_id = t.subject_id""",
+)
+def _(spark, sf):
+    third = A.peak_by_subject(vitals(spark, sf), "subject_id", "itemid", "valuenum", "view")
+    return rounded(S.cholestasis_exclusion(quadrants(spark, sf), third, "subject_id", "peak", uln=60.0))
+
+
 # -- kidney stage -----------------------------------------------------------------------------
 
 _STAGE = """case when peak / baseline >= 3 or peak >= {p} then 3 when peak / baseline >= 2 then 2

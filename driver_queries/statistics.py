@@ -7,6 +7,7 @@ from itertools import product
 from pyspark.sql import functions as F
 
 from driver_queries.registry import VITAL_ITEMS, VITALS, query, rounded, table, vitals
+from wardgrid.operators import clusters as C
 from wardgrid.operators import statistics as X
 from wardgrid.operators.aggregates import peak_by_subject_item
 from wardgrid.operators.ranking import top_outliers
@@ -88,6 +89,55 @@ def _(spark, sf):
     return rounded(X.strongest_pair(X.correlation_matrix(_matrix(spark, sf), CORR_COLS)))
 
 
+_SEGMENT = "case when h >= 72 then '72+' when h >= 24 then '24-72' when h >= 0 then '0-24' end"
+_SEGMENTS = f"""with z as (select subject_id, min(charttime) as t0 from {VITALS} v group by subject_id),
+    h as (select v.subject_id, itemid, valuenum, epoch_us(charttime - t0) / 3600000000.0 as h from {VITALS} v join z using (subject_id)),
+    p as (select subject_id, {_SEGMENT} as segment, max(valuenum) filter (where itemid = 'click') as a,
+      max(valuenum) filter (where itemid = 'error') as b from h where itemid in ('click', 'error') group by all),
+    c as (select * from p where segment is not null and a is not null and b is not null)"""
+
+
+@query(
+    "correlation_by_hours",
+    f"{_SEGMENTS} select segment, count(*) as n, round(corr(a, b), 6) as r from c group by segment "
+    "union all select 'all', count(*), round(corr(a, b), 6) from c",
+)
+def _(spark, sf):
+    events = vitals(spark, sf)
+    anchors = events.groupBy("subject_id").agg(F.min("charttime").alias("intime"))
+    return rounded(X.correlation_by_hours(events, anchors, "subject_id", "charttime", "intime", "itemid", "valuenum", "click", "error"))
+
+
+# k-means unrolled: the start by hash, then a fixed number of steps.
+CLUSTERS, STEPS = 4, 6
+_POINTS = f"""(select subject_id, max(valuenum) filter (where itemid = 'click') as a, max(valuenum) filter (where itemid = 'error') as b,
+    max(valuenum) filter (where itemid = 'view') as c from {VITALS} v group by subject_id)"""
+_KMEANS = f"""with p as materialized (select * from {_POINTS} x where a is not null and b is not null and c is not null),
+    c0 as materialized (select row_number() over (order by k) - 1 as j, a, b, c from (select a, b, c, min(md5('42:' || subject_id) || ':' || subject_id) as k
+      from p group by a, b, c) s order by k limit {CLUSTERS})"""
+for _step in range(STEPS + 1):
+    _KMEANS += f""",
+    a{_step} as materialized (select p.*, near.d, near.j from (select subject_id, min(struct_pack(
+      d := (p.a - k.a) * (p.a - k.a) + (p.b - k.b) * (p.b - k.b) + (p.c - k.c) * (p.c - k.c), j := j)) as near
+      from p cross join c{_step} k group by subject_id) n join p using (subject_id))"""
+    if _step < STEPS:
+        _KMEANS += f""",
+    c{_step + 1} as materialized (select j, avg(a) as a, avg(b) as b, avg(c) as c from a{_step} group by j)"""
+
+
+@query(
+    "cluster_representatives",
+    f"""{_KMEANS} select cast(j as integer) as cluster, count(*) as n, round(avg(sqrt(d)), 6) as mean_distance,
+    min(struct_pack(d := d, s := subject_id)).s as subject_id, round(sqrt(min(d)), 6) as distance from a{STEPS} group by j""",
+)
+def _(spark, sf):
+    names = {"click": "a", "error": "b", "view": "c"}
+    wide = pivot_peak_matrix(vitals(spark, sf), "subject_id", "itemid", "valuenum", names)
+    cols = list(names.values())
+    centres = C.kmeans(wide, "subject_id", cols, CLUSTERS, STEPS)
+    return rounded(C.cluster_representatives(C.assign_clusters(wide, "subject_id", cols, centres), "subject_id"))
+
+
 @query(
     "aligned_trajectories",
     f"""with sel as (select subject_id from {OUTLIERS_SQL} o order by max_abs_z desc nulls last,

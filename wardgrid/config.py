@@ -79,10 +79,14 @@ HISTOGRAM_SPEC = {
 ITEM_ALT = 50861
 ITEM_BILIRUBIN = 50885
 ITEM_CREATININE = 50912
+ITEM_ALP = 50863
 ULN_ALT = 40.0
 ULN_BILIRUBIN = 1.2
 ALT_MULTIPLE = 3.0
 BILIRUBIN_MULTIPLE = 2.0
+# A case at this multiple of alkaline phosphatase or more is cholestatic; the limit itself is the usual one for adults.
+ULN_ALP = 120.0
+ALP_MULTIPLE = 2.0
 
 # Blood toxicity ladders (grade, threshold): the value grades when it lies below the threshold.
 BLOOD_MARKERS = {51301: "wbc", 51222: "hgb", 51265: "plt"}

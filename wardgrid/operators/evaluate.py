@@ -92,16 +92,44 @@ def average_precision(scored: DataFrame, score: str, label: str, per_octave: int
 
 def roc_points(scored: DataFrame, score: str, label: str, per_octave: int | None = None) -> DataFrame:
     """False and true positive rate at every distinct score, plus the origin (threshold NULL)."""
+    return _rates(running_score_totals(scored, score, label, per_octave)).unionByName(_origin(scored))
+
+
+def roc_points_reduced(scored: DataFrame, score: str, label: str, per_octave: int | None = None) -> DataFrame:
+    """ROC points without those inside a straight piece: a point stays if the step to it differs from the next step.
+
+    The highest and lowest threshold and the origin (threshold NULL) always stay, so the area is the same.  The next lower
+    score may lie in an earlier cell or block; the last counts of a cell and of a block are compared over those borders.
+    """
     totals = running_score_totals(scored, score, label, per_octave)
-    points = totals.select(
+    cell = order_cell("score", per_octave or CELLS_PER_OCTAVE)
+    cut = totals.selectExpr("*", f"{cell} as _cell").selectExpr("*", f"floor(_cell / {BLOCK}) as _block", "named_struct('p', pos, 'n', neg) as _step")
+    tops = cut.groupBy("_block", "_cell").agg(F.max_by("_step", "score").alias("_top"))
+    by_cell, by_block = W.partitionBy("_block").orderBy("_cell"), W.orderBy("_block")
+    inner = tops.select(F.col("_block").alias("_b"), F.col("_cell").alias("_c"), F.lag("_top").over(by_cell).alias("_below_cell"))
+    # One row per block; their number follows from the range of doubles, not from the rows.
+    blocks = tops.groupBy("_block").agg(F.max_by("_top", "_cell").alias("_top")).select("_block", F.lag("_top").over(by_block).alias("_below_block"))
+    borders = inner.join(blocks, F.col("_b") == F.col("_block")).select("_c", F.coalesce("_below_cell", "_below_block").alias("_below"))
+    inside = W.partitionBy("_cell").orderBy("score")
+    next_step = F.coalesce(F.col("_inside"), F.col("_below"))
+    joined = cut.withColumn("_inside", F.lag("_step").over(inside)).join(borders, F.col("_cell") == F.col("_c"))
+    highest = (F.col("pos_below") + F.col("pos") == F.col("n_pos")) & (F.col("neg_below") + F.col("neg") == F.col("n_neg"))
+    kept = joined.where(highest | next_step.isNull() | (next_step != F.col("_step")))
+    return _rates(kept).unionByName(_origin(scored))
+
+
+def _rates(totals: DataFrame) -> DataFrame:
+    return totals.select(
         F.col("score").alias("threshold"),
         F.try_divide((F.col("n_neg") - F.col("neg_below")).cast("double"), F.col("n_neg")).alias("fpr"),
         F.try_divide((F.col("n_pos") - F.col("pos_below")).cast("double"), F.col("n_pos")).alias("tpr"),
     )
-    origin = scored.sparkSession.range(1).select(
+
+
+def _origin(scored: DataFrame) -> DataFrame:
+    return scored.sparkSession.range(1).select(
         F.lit(None).cast("double").alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr")
     )
-    return points.unionByName(origin)
 
 
 def pr_curve(scored: DataFrame, score: str, label: str, per_octave: int | None = None) -> DataFrame:

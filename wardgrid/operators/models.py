@@ -187,46 +187,59 @@ def feature_importance(model: PipelineModel, features: list[str]) -> DataFrame:
     )
 
 
-def _over_folds(k: int, parallelism: int, work: Callable[[int], tuple]) -> list[tuple]:
-    """``work`` of every fold, ``parallelism`` of them at a time; boosting rounds alone leave cores idle."""
-    with ThreadPool(min(k, parallelism)) as pool:
-        return pool.map(inheritable_thread_target(work), range(k))
+def _at_once(work: Callable[..., tuple], jobs: list[tuple], parallelism: int) -> list[tuple]:
+    """``work`` of every job, ``parallelism`` of them at a time; boosting rounds alone leave cores idle."""
+    with ThreadPool(max(1, min(len(jobs), parallelism))) as pool:
+        return pool.starmap(inheritable_thread_target(work), jobs)
 
 
-def cv_classification(
-    df: DataFrame, fit: Fit, features: list[str], label: str, id_col: str, k: int = 5, seed: int = 42,
-    parallelism: int = 5,
+def cv_classifiers(
+    df: DataFrame, fits: dict[str, Fit], features: list[str], label: str, id_col: str, k: int = 5, seed: int = 42,
+    parallelism: int = 10,
 ) -> DataFrame:
-    """AUROC per stratified fold, refitting on the other folds.  The marked rows are written once."""
+    """AUROC per model and stratified fold, refitting on the other folds.
+
+    The marked rows are written once, and all models and folds run side by side.
+    """
     marked = staged(folds(df, id_col, label, k, seed, classes=(0, 1)), "folds")
 
-    def work(fold: int) -> tuple:
-        model = fit(marked.where(F.col("fold") != fold), features, label)
+    def work(name: str, fold: int) -> tuple:
+        model = fits[name](marked.where(F.col("fold") != fold), features, label)
         scored = score_classifier(model, marked.where(F.col("fold") == fold))
-        return fold, auroc(scored, "score", label).first()["auroc"]
+        return name, fold, auroc(scored, "score", label).first()["auroc"]
 
-    rows = _over_folds(k, parallelism, work)
-    return df.sparkSession.createDataFrame(rows, "fold int, auroc double")
+    rows = _at_once(work, [(name, fold) for name in fits for fold in range(k)], parallelism)
+    return df.sparkSession.createDataFrame(rows, "model string, fold int, auroc double")
 
 
-def cv_regression(
-    df: DataFrame, fit: Fit, features: list[str], label: str, id_col: str, k: int = 5, seed: int = 42,
-    parallelism: int = 5,
+def cv_regressors(
+    df: DataFrame, fits: dict[str, Fit], features: list[str], label: str, id_col: str, k: int = 5, seed: int = 42,
+    parallelism: int = 10,
 ) -> DataFrame:
-    """Mean absolute error per fold on the log scale and in the target's own unit."""
+    """Mean absolute error per model and fold, on the log scale and in the target's own unit."""
     marked = staged(folds(df, id_col, None, k, seed), "folds")
 
-    def work(fold: int) -> tuple:
-        model = fit(marked.where(F.col("fold") != fold), features, label)
+    def work(name: str, fold: int) -> tuple:
+        model = fits[name](marked.where(F.col("fold") != fold), features, label)
         scored = score_regressor(model, marked.where(F.col("fold") == fold))
         errors = scored.agg(
             F.avg(F.abs(F.col("predicted_log") - F.log1p(label))).alias("mae_log"),
             F.avg(F.abs(F.col("predicted") - F.col(label))).alias("mae"),
         ).first()
-        return fold, errors["mae_log"], errors["mae"]
+        return name, fold, errors["mae_log"], errors["mae"]
+
+    rows = _at_once(work, [(name, fold) for name in fits for fold in range(k)], parallelism)
+    return df.sparkSession.createDataFrame(rows, "model string, fold int, mae_log double, mae double")
+
+
+def cv_classification(df: DataFrame, fit: Fit, features: list[str], label: str, id_col: str, **settings) -> DataFrame:
+    """AUROC per fold of one model."""
+    return cv_classifiers(df, {"model": fit}, features, label, id_col, **settings).drop("model")
+
 
-    rows = _over_folds(k, parallelism, work)
-    return df.sparkSession.createDataFrame(rows, "fold int, mae_log double, mae double")
+def cv_regression(df: DataFrame, fit: Fit, features: list[str], label: str, id_col: str, **settings) -> DataFrame:
+    """Mean absolute error per fold of one model."""
+    return cv_regressors(df, {"model": fit}, features, label, id_col, **settings).drop("model")
 
 
 def cv_summary(scores: DataFrame, metric: str) -> DataFrame:

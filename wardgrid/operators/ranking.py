@@ -1,13 +1,12 @@
 """First rows, top-k and ordering.
 
-De-duplication takes minima per key, which combine on the map side, and joins them back; a subject
-holding a third of the rows is a skewed key of an equi-join with a unique side, which AQE splits.
+De-duplication is one ``min_by`` per key, which combines on the map side: a task passes on one row per key,
+so a subject that holds a third of the rows is no hot key.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -21,16 +20,13 @@ def first_row_per_key(df: DataFrame, key: str | list[str], order: Iterable[str])
     with a missing key are dropped.
     """
     keys, order = [key] if isinstance(key, str) else list(key), list(order)
-    present = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     rest = [c for c in df.columns if c not in keys and c not in order]
-    # Rows that tie in every ordering column are told apart by a hash of the other columns.
-    first = df.where(present).withColumn("_tie", F.xxhash64(*rest) if rest else F.lit(0).cast("long"))
-    for column in [*order, "_tie"]:
-        # One plain minimum per ordering column combines by hashing; a minimum of structs would sort.
-        least = first.groupBy(*keys).agg(F.min(column).alias("_least"))
-        same = F.col(column).eqNullSafe(F.col("_least"))
-        first = first.join(least, keys).where(same).drop("_least")
-    return first.select(*df.columns).distinct()
+    # Missing values order last; rows that tie in every ordering column are told apart by a hash of the other columns.
+    place = [F.struct(F.col(c).isNull().alias("missing"), F.col(c).alias("value")) for c in order]
+    tie = F.xxhash64(*[f"`{c}`" for c in rest]) if rest else F.lit(0).cast("long")
+    first = F.min_by(F.struct(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(df.columns)]), F.struct(*place, tie))
+    kept = df.na.drop(subset=keys).groupBy(*keys).agg(first.alias("_first"))
+    return kept.select(*[F.col(f"_first.c{k}").alias(c) for k, c in enumerate(df.columns)])
 
 
 def sort_rows(df: DataFrame, keys: Iterable) -> DataFrame:

@@ -8,11 +8,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardgrid.config import (
+    ALP_MULTIPLE,
     ALT_MULTIPLE,
     BILIRUBIN_MULTIPLE,
     BLOOD_LADDERS,
     BLOOD_MARKERS,
     COMORBIDITY_TABLE,
+    ULN_ALP,
     ULN_ALT,
     ULN_BILIRUBIN,
 )
@@ -87,6 +89,23 @@ def edish_quadrant(
     )
 
 
+def cholestasis_exclusion(
+    quadrants: DataFrame, peaks: DataFrame, subject: str, peak: str, uln: float = ULN_ALP, multiple: float = ALP_MULTIPLE
+) -> DataFrame:
+    """Quadrant rows with the third peak: a case at ``multiple`` x its limit or more is cholestatic and no Hy's Law case.
+
+    ``peaks`` has one row per subject; subjects without the third marker keep their quadrant.
+    """
+    third = peaks.select(subject, F.col(peak).alias("peak_c"))
+    cholestatic = F.coalesce(F.col("peak_c") >= F.lit(float(uln * multiple)), F.lit(False))
+    return (
+        quadrants.join(third, subject, "left")
+        .withColumn("ratio_c", F.col("peak_c") / F.lit(float(uln)))
+        .withColumn("cholestatic", cholestatic)
+        .withColumn("hys_law_confirmed", F.col("hys_law") & ~F.col("cholestatic"))
+    )
+
+
 def kdigo_stage(
     stats: DataFrame, peak_limit: float = 4.0, delta_limit: float = 0.3, alias: str = "stage"
 ) -> DataFrame:

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardgrid.functions.columns import hours_between
 from wardgrid.functions.sqltext import ident, literal
 from wardgrid.operators.sizing import sized
+from wardgrid.session import staged
 
 
 def _pair_correlation(a: str, b: str) -> str:
@@ -44,6 +45,71 @@ def segmented_correlation(wide: DataFrame, segment: str, a: str, b: str) -> Data
     )
 
 
+def hours_segment(hours: Column, cuts: Iterable[float] = (24.0, 72.0)) -> Column:
+    """The segment a number of hours after the anchor falls into, as ``0-24``, ``24-72``, ``72+``; NULL before the anchor."""
+    edges = [0.0, *map(float, cuts)]
+    out = F.when(hours >= edges[-1], f"{edges[-1]:g}+")
+    for low, high in zip(edges, edges[1:]):
+        out = out.when((hours >= low) & (hours < high), f"{low:g}-{high:g}")
+    return out
+
+
+def comoments(rows: DataFrame, by: str | list[str], a: str, b: str) -> DataFrame:
+    """Per group the complete pairs of two columns as counts, means and centred sums, which ``merge_comoments`` can add up."""
+    pairs = rows.where(F.col(a).isNotNull() & F.col(b).isNotNull())
+    n = F.count(F.lit(1))
+    return pairs.groupBy(*([by] if isinstance(by, str) else by)).agg(
+        n.alias("n"), F.avg(a).alias("mean_a"), F.avg(b).alias("mean_b"),
+        (F.var_pop(a) * n).alias("ss_a"), (F.var_pop(b) * n).alias("ss_b"), (F.covar_pop(a, b) * n).alias("ss_ab"),
+    )
+
+
+def merge_comoments(moments: DataFrame, by: str | list[str] = ()) -> DataFrame:
+    """Co-moments of wider groups from those of the groups they consist of; the rows themselves are not read again."""
+    keys = [by] if isinstance(by, str) else list(by)
+    wide = moments.groupBy(*keys).agg(
+        F.sum("n").alias("n"),
+        (F.sum(F.col("n") * F.col("mean_a")) / F.sum("n")).alias("mean_a"),
+        (F.sum(F.col("n") * F.col("mean_b")) / F.sum("n")).alias("mean_b"),
+        F.collect_list(F.struct("n", "mean_a", "mean_b", "ss_a", "ss_b", "ss_ab")).alias("_parts"),
+    )
+
+    def total(own: str, left: str, right: str) -> Column:
+        # Centred on the common means, so that nothing large cancels.
+        def add(acc: Column, p: Column) -> Column:
+            return acc + p[own] + p["n"] * (p[left] - F.col(left)) * (p[right] - F.col(right))
+
+        return F.aggregate("_parts", F.lit(0.0), add).alias(own)
+
+    return wide.select(
+        *keys, "n", "mean_a", "mean_b", total("ss_a", "mean_a", "mean_a"), total("ss_b", "mean_b", "mean_b"), total("ss_ab", "mean_a", "mean_b")
+    )
+
+
+def comoment_correlation(moments: DataFrame) -> DataFrame:
+    """The groups of ``moments`` with ``n`` and Pearson's ``r``; NULL where a column is constant."""
+    keys = [c for c in moments.columns if c not in ("n", "mean_a", "mean_b", "ss_a", "ss_b", "ss_ab")]
+    return moments.select(*keys, "n", F.try_divide(F.col("ss_ab"), F.sqrt("ss_a") * F.sqrt("ss_b")).alias("r"))
+
+
+def correlation_by_hours(
+    events: DataFrame, anchors: DataFrame, on: str, event_ts: str, anchor_ts: str, item: str, value: str, item_a, item_b,
+    cuts: Iterable[float] = (24.0, 72.0),
+) -> DataFrame:
+    """Correlation of two items' peaks per entity, in each segment of hours after the anchor, and over all segments' pairs (``all``).
+
+    ``anchors`` has one row per entity.  The last row is added up from the others.
+    """
+    marked = events.where(F.col(item).isin(item_a, item_b)).join(anchors.select(on, anchor_ts), on)
+    placed = marked.select(on, item, value, hours_segment(hours_between(anchor_ts, event_ts), cuts).alias("segment")).where("segment is not null")
+    peaks = placed.groupBy(on, "segment").agg(
+        F.max(F.when(F.col(item) == item_a, F.col(value))).cast("double").alias("a"), F.max(F.when(F.col(item) == item_b, F.col(value))).cast("double").alias("b")
+    )
+    parts = staged(comoments(peaks, "segment", "a", "b"), "comoments")  # one row per segment
+    whole = merge_comoments(parts).select(F.lit("all").alias("segment"), "*").where("n is not null")
+    return comoment_correlation(parts.unionByName(whole))
+
+
 def strongest_pair(corr: DataFrame) -> DataFrame:
     """The off-diagonal pair with the largest absolute correlation."""
     return (
@@ -69,10 +135,10 @@ def zscore_outliers(
     stats = sized(stats, len(items) if items is not None else None, "item-stats")
     z = F.abs(F.try_divide(F.col(value) - F.col("_mean"), F.col("_sd")))
     scored = rows.join(stats, item).select(subject, item, z.alias("_z"))
-    most = scored.groupBy(subject).agg(F.max("_z").alias("max_abs_z"))
-    at_most = scored.join(most.withColumnRenamed(subject, "_s"), F.col(subject).eqNullSafe(F.col("_s")))
-    extreme = at_most.where(F.col("_z") == F.col("max_abs_z")).groupBy("_s").agg(F.min(item).alias("extreme_item"))
-    return most.join(extreme, F.col(subject).eqNullSafe(F.col("_s")), "left").select(subject, "max_abs_z", "extreme_item")
+    # The largest z-score, of those the lowest item: one grouping with map-side combine.
+    best = F.min(F.when(F.col("_z").isNotNull(), F.struct((-F.col("_z")).alias("z"), F.col(item).alias("item"))))
+    found = scored.groupBy(subject).agg(best.alias("_best"))
+    return found.select(subject, (-F.col("_best.z")).alias("max_abs_z"), F.col("_best.item").alias("extreme_item"))
 
 
 def extreme_item(peaks: DataFrame, subject: str, item: str, value: str, items=None) -> DataFrame:
