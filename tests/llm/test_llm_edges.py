@@ -382,3 +382,40 @@ def test_chat_escape_is_reversible(spark):
     df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", chat.escape(F.col("t")).alias("e"))
     for x in df.select("t", "e", chat.unescape(F.col("e")).alias("u")).collect():
         assert x.t == x.u and not any(m in x.e for m in ("<s>", "</s>", "[INST]", "[/INST]"))
+
+
+@pytest.mark.parametrize("percent", [50, 70, 80, 85, 90, 95])
+def test_linked_sets_share_a_key(percent):
+    """Random pairs at the threshold and beyond, of all sizes."""
+    import numpy as np
+
+    r = np.random.default_rng(percent)
+    for _ in range(1500):
+        n = int(r.choice([1, 2, 3, 5, 8, 13, 30, 60, 150, 700]))
+        pool = r.integers(0, 2**64, 3 * n + 4, dtype=np.uint64)
+        a = set(pool[:n].tolist())
+        most = 2 * n * (100 - percent) // (100 + percent)
+        gone, new = int(r.integers(0, most + 1)), int(r.integers(0, most + 1))
+        b = set(sorted(a)[gone:]) | set(pool[n : n + new].tolist())
+        if not b or 100 * len(a & b) < percent * len(a | b):
+            continue
+        one, two = (np.sort(np.array(list(x), np.uint64)) for x in (a, b))
+        if a != b:
+            assert len(np.intersect1d(ngram_join.block_keys(one, percent), ngram_join.block_keys(two, percent)))
+
+
+def test_ngram_join_packs_and_unpacks():
+    import numpy as np
+
+    for numbers in ([], [0], [5, 5, 2**64 - 1], [1, 300, 70_000]):
+        x = np.array(numbers, np.uint64)
+        assert ngram_join.unpacked(ngram_join.packed(x)).tolist() == numbers and ngram_join.unpacked_sorted(ngram_join.packed_sorted(x)).tolist() == numbers
+
+
+def test_ngram_join_of_missing_ids_reads_each_text_once(spark):
+    rows = [(None, f"{prose(60, k // 2)}{' more' * (k % 2)}") for k in range(80)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    classes = ngram_join.classes_of(ngram_join.named_sets(df, 4))
+    parts = ngram_join.leaf_pairs(df, classes, ngram_join.families(df, classes, 4, 85), 4, 85)
+    assert parts.count() == 80
+    assert len({r.root for r in ngram_join.join_documents(df).collect()}) == 40

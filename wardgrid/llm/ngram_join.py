@@ -6,8 +6,8 @@ their Jaccard similarity is at least ``percent``.
 Search space.  One R-tree over all documents can't be distributed: every coordinate of a count vector is
 nearly the same for unrelated texts of one length, so a query box touches most leaves.  The space is
 therefore first cut by exact sub-points: the hash range is divided into blocks, more of them than two
-linked sets can differ in, so linked sets agree in the content of at least one block that isn't empty.
-Blocks' contents are join keys (one per six shingles or so); the classes that share keys, directly or
+linked sets can differ in, so linked sets agree in the content of some blocks.
+Their are join keys (one per three shingles or so); the classes that share keys, directly or
 over others, form a family.  No link leaves a family.
 
 Inside a family (split into pairs of leaves of bounded size, so that a family of any size is spread over
@@ -17,10 +17,12 @@ corners, then that of two points likewise, and pairs that survive are verified o
 
 Set sizes fall into classes with upper size u; a set publishes the keys of its own size class and of
 those in which a larger partner may lie.  Two sets of at most u shingles differ in at most
-d = 2u(100 - percent) / (100 + percent) shingles; with d + 1 + s blocks they agree in s + 1 of them.
-A set leaves out its smallest blocks (all those up to some size, empty ones first) as long as they are no
-more than s: of the s + 1 blocks that agree, one is then larger than what either set leaves out.  Small
-blocks say little, so this keeps texts that merely share a common line apart.
+d = 2u(100 - percent) / (100 + percent) shingles.  Blocks are taken in groups of three, and a key is the
+content of two blocks of a group: to spoil a group two of its blocks must differ, so with d / 2 + 1 + s groups
+linked sets agree in a key of s + 1 groups.  A set leaves out its smallest keys (all those up to some
+size, empty ones first) as long as they lie in no more than s groups: of the s + 1 keys that agree, one is
+then larger than what either set leaves out.  A key of two blocks holds about six shingles at 80 percent, where
+single blocks as exact would hold fewer than four, so texts that merely share a common line stay apart.
 
 Shingles are compared by 64-bit hashes.  Defined results: NULL or empty text has the empty set and links
 with nothing; a text with fewer words than a shingle has one shingle; repeated rows and equal texts are in
@@ -77,37 +79,31 @@ def size_class(n: int) -> tuple[int, int]:
     return number, upper
 
 
-def least_size(sizes: np.ndarray, empty: int, spare: int) -> int:
-    """The size up to which a set's blocks may be left out, being no more than ``spare``; -1 if none may."""
-    if empty > spare:
-        return -1
-    size = 0
-    while empty + int((sizes <= size + 1).sum()) <= spare:
-        size += 1
-    return size
-
-
 def block_keys(members: np.ndarray, percent: int) -> np.ndarray:
-    """The keys a set publishes: names of its blocks' contents, for each size class a partner may fall into."""
+    """The keys a set publishes: names of what its blocks hold, for each size class a partner may fall into."""
     n = len(members)
     keys, at = [], n
     largest = n * 100 // percent
+    mixed = textbytes.mix(members)
     while n and at <= largest:
         number, upper = size_class(at)
         differ = 2 * upper * (100 - percent) // (100 + percent)
         if differ:  # else only equal sets link
-            spare = 2 + differ // 4
-            blocks = differ + 1 + spare
-            place = ((members >> np.uint64(32)) * np.uint64(blocks)) >> np.uint64(32)
+            spare = 1 + differ // 12
+            groups = differ // 2 + 1 + spare
+            place = (((members >> np.uint64(32)) * np.uint64(3 * groups)) >> np.uint64(32)).astype(np.int64)
             first = np.flatnonzero(np.concatenate(([True], place[1:] != place[:-1])))
-            sizes = np.diff(np.append(first, n))
-            small = least_size(sizes, blocks - len(first), spare)
+            content, sizes = np.zeros(3 * groups, np.uint64), np.zeros(3 * groups, np.int64)
             with np.errstate(over="ignore"):
-                content, full = np.add.reduceat(textbytes.mix(members), first)[sizes > small], place[first][sizes > small]
-                if small < 0:
-                    empty = np.setdiff1d(np.arange(blocks, dtype=np.uint64), full)
-                    full, content = np.concatenate([full, empty]), np.concatenate([content, np.zeros(len(empty), np.uint64)])
-                keys.append(textbytes.mix(content + full * textbytes.GRAM[13] + np.uint64(number) * textbytes.GRAM[14]))
+                content[place[first]] = np.add.reduceat(mixed, first)
+                sizes[place[first]] = np.diff(np.append(first, n))
+                one, two = content.reshape(-1, 3)[:, [0, 0, 1]], content.reshape(-1, 3)[:, [1, 2, 2]]
+                held = sizes.reshape(-1, 3)[:, [0, 0, 1]] + sizes.reshape(-1, 3)[:, [1, 2, 2]]
+                # All keys up to this size lie in ``spare`` groups at most.
+                small = int(np.sort(held.min(1))[spare]) - 1
+                which = np.arange(3 * groups, dtype=np.uint64).reshape(-1, 3)
+                names = one * textbytes.GRAM[15] + two * textbytes.GRAM[16] + which * textbytes.GRAM[13] + np.uint64(number) * textbytes.GRAM[14]
+                keys.append(textbytes.mix(names[held > small]))
         at = upper + 1
     return np.concatenate(keys) if keys else np.zeros(0, np.uint64)
 
@@ -127,7 +123,40 @@ def named_sets(docs: DataFrame, size: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("tkey"), "text").mapInArrow(run, SETS)
 
 
+def classes_of(sets: DataFrame) -> DataFrame:
+    """(cls, n, _first, first_doc): the classes, each with the row that names it, which has an id if any of its rows has one."""
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "tkey"))
+    found = sets.where("n > 0").groupBy("cls").agg(first.alias("_first"), F.first("n").alias("n"))
+    return found.select("cls", "n", "_first", F.col("_first.doc_id").alias("first_doc"))
+
+
 TASK_KEYS = 4_000_000  # keys that a task holds before it sends them on
+SHARD_SHINGLES = 16_000_000  # shingles whose keys meet in one task, about
+
+
+def packed(numbers: np.ndarray) -> bytes:
+    """Numbers as bytes, each no wider than the largest needs; the first byte is the width."""
+    numbers = np.ascontiguousarray(numbers, "<u8")
+    width = max(1, (int(numbers.max()).bit_length() + 7) // 8) if len(numbers) else 1
+    return bytes([width]) + numbers.view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    width = data[0]
+    whole = np.zeros(((len(data) - 1) // width, 8), np.uint8)
+    whole[:, :width] = np.frombuffer(data, np.uint8, offset=1).reshape(-1, width)
+    return whole.view("<u8").ravel()
+
+
+def packed_sorted(numbers: np.ndarray) -> bytes:
+    """Ascending numbers as the steps between them."""
+    return packed(np.diff(numbers, prepend=np.uint64(0)))
+
+
+def unpacked_sorted(data: bytes) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return np.cumsum(unpacked(data), dtype=np.uint64)
+
 SENT = "shard int, keys binary, names binary, places binary"
 
 
@@ -144,23 +173,24 @@ def stars(keys: np.ndarray, names: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return keys[first], least, pairs[new]
 
 
-def edges(docs: DataFrame, size: int, percent: int) -> DataFrame:
+def edges(docs: DataFrame, size: int, percent: int, shingles: int) -> DataFrame:
     """(a, b): links of classes to the least class that shares one of their keys.
 
     A task joins the classes it has seen itself and sends on one class per key, so a key that a third of
-    all documents publish costs one entry per task.  Keys travel as sorted arrays per hash range.
+    all documents publish costs one entry per task.  Keys travel as sorted arrays per hash range; the number of
+    ranges follows from the ``shingles`` of all classes, so what meets in one task stays the same.
     """
-    shards = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    shards = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-shingles // SHARD_SHINGLES))
 
     def send(keys: list[np.ndarray], names: list[int]) -> pa.RecordBatch:
         of = np.repeat(np.array(names, np.int64), [len(k) for k in keys])
         found, least, pairs = stars(np.concatenate(keys), of)
-        cuts = np.searchsorted(((found >> np.uint64(48)) * np.uint64(shards)) >> np.uint64(16), np.arange(shards + 1))
+        cuts = np.searchsorted(((found >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32), np.arange(shards + 1))
         rows = []
         for shard, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
             if b > a:
                 known, place = np.unique(least[a:b], return_inverse=True)
-                rows.append((shard, found[a:b].tobytes(), known.tobytes(), place.astype(np.uint32).tobytes()))
+                rows.append((shard, packed_sorted(found[a:b]), known.tobytes(), packed(place)))
         for at in range(0, len(pairs), 100_000):
             part = pairs[at : at + 100_000]
             rows.append((int(part[0, 0]) % shards, None, part[:, 0].tobytes(), part[:, 1].tobytes()))
@@ -199,7 +229,7 @@ def edges(docs: DataFrame, size: int, percent: int) -> DataFrame:
                     yield pairs_of(stars(*map(np.concatenate, zip(*parts, strict=True)))[2])
                     parts = []
                 shard = number
-                parts.append((np.frombuffer(keys, np.uint64), known[np.frombuffer(places, np.uint32)]))
+                parts.append((unpacked_sorted(keys), known[unpacked(places).astype(np.int64)]))
         if parts:
             yield pairs_of(stars(*map(np.concatenate, zip(*parts, strict=True)))[2])
 
@@ -207,9 +237,10 @@ def edges(docs: DataFrame, size: int, percent: int) -> DataFrame:
     return sent.mapInArrow(meet, "a bigint, b bigint")
 
 
-def families(docs: DataFrame, size: int, percent: int) -> DataFrame:
+def families(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
     """(cls, family) of the classes that share a key with another."""
-    return components(edges(docs, size, percent)).select(F.col("node").alias("cls"), F.col("root").alias("family"))
+    shingles = classes.agg(F.sum("n")).first()[0] or 0
+    return components(edges(docs, size, percent, shingles)).select(F.col("node").alias("cls"), F.col("root").alias("family"))
 
 
 def leaf_pairs(docs: DataFrame, classes: DataFrame, family: DataFrame, size: int, percent: int) -> DataFrame:
@@ -223,15 +254,16 @@ def leaf_pairs(docs: DataFrame, classes: DataFrame, family: DataFrame, size: int
     whole = located.groupBy("family").agg(F.sum("n").alias("total"))
     own = F.floor(F.log(F.col("n").cast("double")) / (math.log(100 / percent) * (1 + 1e-9))).cast("int")
     bands = F.when(F.col("total") <= LEAF_SHINGLES, F.array(F.lit(-1))).otherwise(F.array(own, own + 1))
-    banded = located.join(whole, "family").select("cls", "family", "first_doc", "n", F.explode(bands).alias("band"))
+    banded = located.join(whole, "family").select("cls", "family", "_first", "n", F.explode(bands).alias("band"))
     leaves = banded.groupBy("family", "band").agg(F.ceil(F.sum("n") / LEAF_SHINGLES).cast("int").alias("leaves"), F.count("*").alias("k"))
     place = F.struct("band", "leaves", F.pmod(F.xxhash64("cls"), F.col("leaves")).cast("int").alias("leaf"))
     wanted = staged(
-        banded.join(leaves.where("k > 1"), ["family", "band"]).groupBy("cls", "family", "first_doc").agg(F.collect_list(place).alias("places")),
+        banded.join(leaves.where("k > 1"), ["family", "band"]).groupBy("cls", "family", "_first").agg(F.collect_list(place).alias("places")),
         "wanted",
     ).hint("merge")  # grows with the documents: one plan at every size
-    # Only rows that name a class carry their text on; rows of the same id with another set drop out below.
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("first_doc")))
+    # Only the row that names a class carries its text on: by id and text, so that rows with a missing or repeated id don't multiply.
+    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("tkey"), "text")
+    texts = keyed.join(wanted, null_safe([F.col("doc_id"), F.col("tkey")], [F.col("_first.doc_id"), F.col("_first.tkey")]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -355,8 +387,8 @@ def links(parts: DataFrame, percent: int, spanning: bool = True) -> DataFrame:
 def _write_names(docs: DataFrame, sets: DataFrame, size: int, percent: int, path: str):
     """Write each class with its root and the name of its component; the schema."""
     spark = docs.sparkSession
-    classes = sets.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("first_doc"), F.first("n").alias("n"))
-    family = staged(families(docs, size, percent), "families")
+    classes = classes_of(sets)
+    family = staged(families(docs, classes, size, percent), "families")
     forget_shuffles(spark)
     found = staged(links(leaf_pairs(docs, classes, family, size, percent), percent), "links")
     forget_shuffles(spark)
@@ -391,8 +423,8 @@ def link_classes(docs: DataFrame, size: int = 4, percent: int = 85) -> tuple[Dat
     Rows of one class have equal sets, so they are linked among themselves and with all rows of a linked class.
     """
     sets = staged(named_sets(docs, size), "sets")
-    classes = sets.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("first_doc"), F.first("n").alias("n"))
-    family = staged(families(docs, size, percent), "families")
+    classes = classes_of(sets)
+    family = staged(families(docs, classes, size, percent), "families")
     found = links(leaf_pairs(docs, classes, family, size, percent), percent, spanning=False)
     # A pair may meet in several bands.
     pairs = staged(found.select(F.least("a", "b").alias("class_a"), F.greatest("a", "b").alias("class_b")).distinct(), "links")
