@@ -2,7 +2,8 @@
 
 import brute
 import corpus_pipeline
-from test_llm_edges import CLASH, make, prose
+from pyspark.sql import functions as F
+from test_llm_edges import make, prose
 
 from wardgrid.llm import quality_rules
 from wardgrid.session import staged
@@ -43,7 +44,10 @@ def test_pipeline_survives_odd_rows(spark, sf_dir, tmp_path):
     rows = [(1, prose(200, 1), ["en", "s"]), (1, prose(200, 1), ["en", "s"]), (2, None, [None, None]), (3, "", ["en", None]), (None, prose(90, 2), ["en", "s"]), (4, prose(90, 2), ["en", "s"])]
     for folder, given in (("odd", rows), ("none", [])):
         path = f"{tmp_path}/{folder}"
-        make(spark, given).drop(*[c for c in CLASH if "." in c]).write.parquet(f"{path}/documents.parquet")
+        make(spark, given).withColumn("removed lines", F.lit("own")).write.parquet(f"{path}/documents.parquet")
         spark.read.parquet(f"{sf_dir}/benchmark.parquet").write.parquet(f"{path}/benchmark.parquet")
+        docs = spark.read.parquet(f"{path}/documents.parquet")
+        cut = corpus_pipeline.lines(spark, docs, path)
+        assert cut.columns == docs.columns and {r["removed lines"] for r in cut.collect()} <= {"own"}
         got = {r.doc_id for r in corpus_pipeline.run(spark, path).collect()}
         assert got == ({1, None} if given else set()), got

@@ -8,7 +8,7 @@ Equal runs choose equal fingerprints, so a run that repeats shares one with its
 
 Fingerprints that occur at two places or more are joined with the positions of their windows; matches
 extend both ways over all windows around a fingerprint, compared by 128-bit hashes of their lines.
-The first occurrence by (doc_id, text) and position keeps its lines; a repeat in the same text counts
+The first occurrence by (doc_id, hash of the text) and position keeps its lines; a repeat in the same text counts
 only where it doesn't overlap the first.  Everything is a grouping by hash, so a passage that a third of
 all documents share is added up before the shuffle and never expanded into pairs.
 
@@ -157,7 +157,7 @@ def _without(text: pd.Series, firsts: pd.Series, lasts: pd.Series) -> pd.DataFra
 
 
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, removed: str | None = None) -> DataFrame:
-    """``docs`` with the repeats cut out of ``text``; ``removed`` names a column for the lines cut per row."""
+    """``docs`` with the repeats cut out of ``text``; ``removed`` names a column for the lines cut per row, in place of an own column of that name."""
     spark = docs.sparkSession
     path = staging_path(spark, "cuts")
     with staging(spark):  # the windows go once the cuts are written

@@ -22,7 +22,7 @@ content of two blocks of a group: to spoil a group two of its blocks must differ
 linked sets agree in a key of s + 1 groups.  A set leaves out its smallest keys (all those up to some
 size, empty ones first) as long as they lie in no more than s groups: of the s + 1 keys that agree, one is
 then larger than what either set leaves out.  A key of two blocks holds about six shingles at 80 percent, where
-single blocks as exact would hold fewer than four, so texts that merely share a common line stay apart.
+single blocks as exact would hold fewer than four.
 
 Shingles are compared by 64-bit hashes.  Defined results: NULL or empty text has the empty set and links
 with nothing; a text with fewer words than a shingle has one shingle; repeated rows and equal texts are in
