@@ -124,6 +124,8 @@ def test_ngram_join(docs, none):
 @pytest.mark.parametrize("size,percent", [(4, 85), (5, 80), (2, 60)])
 def test_ngram_join_finds_every_link(spark, monkeypatch, size, percent):
     monkeypatch.setattr(ngram_join, "LEAF_SHINGLES", 900)  # families are split into several leaves
+    monkeypatch.setattr(ngram_join, "LEAF_POINTS", 900)
+    monkeypatch.setattr(ngram_join, "BOX", 3)
     r = random.Random(percent)
     texts = {}
     for family in range(14):
@@ -141,6 +143,7 @@ def test_ngram_join_finds_every_link(spark, monkeypatch, size, percent):
 @pytest.mark.parametrize("size,percent", [(4, 85), (2, 60)])
 def test_ngram_links_are_all_given(spark, monkeypatch, size, percent):
     monkeypatch.setattr(ngram_join, "LEAF_SHINGLES", 900)
+    monkeypatch.setattr(ngram_join, "LEAF_POINTS", 900)
     r, texts = random.Random(percent), {}
     for length in (25, 60, 150, 200, 300, 400):
         base = [r.choice(VOCAB) for _ in range(length)]
@@ -412,6 +415,34 @@ def test_ngram_join_packs_and_unpacks():
         assert ngram_join.unpacked(ngram_join.packed(x)).tolist() == numbers and ngram_join.unpacked_sorted(ngram_join.packed_sorted(x)).tolist() == numbers
 
 
+def test_close_points_miss_no_link_and_tell_other_texts_apart(monkeypatch):
+    import numpy as np
+
+    monkeypatch.setattr(ngram_join, "BOX", 4)
+    rng = np.random.default_rng(11)
+    sets = []
+    for _ in range(60):
+        base = rng.integers(0, 2**63, int(rng.integers(40, 90)), dtype=np.uint64)
+        for _ in range(3):  # three near copies of each
+            other = base.copy()
+            other[: int(rng.integers(0, 8))] = rng.integers(0, 2**63, 1, dtype=np.uint64)
+            sets.append(np.unique(other))
+    points = [ngram_join.packed(ngram_join.point_of(s)) for s in sets]
+    sizes = np.array([len(s) for s in sets])
+    for leaves in (np.zeros(len(sets), int), np.arange(len(sets)) % 2):
+        found = ngram_join.close_points(list(range(len(sets))), leaves, sizes, points, 80)
+        group = list(range(len(sets)))
+        for a, b in found:
+            group = [group[b] if g == group[a] else g for g in group]
+        for a in range(len(sets)):
+            for b in range(a):
+                apart = leaves.any() and leaves[a] == leaves[b]
+                if not apart and ngram_join.linked(sets[a], sets[b], 80):
+                    assert group[a] == group[b]
+        assert len(found) < len(sets)  # a forest
+        assert max(group.count(g) for g in group) < 30  # unrelated texts of one length stay apart
+
+
 def test_ngram_join_of_missing_ids_reads_each_text_once(spark):
     rows = [(None, f"{prose(60, k // 2)}{' more' * (k % 2)}") for k in range(80)]
     df = spark.createDataFrame(rows, "doc_id bigint, text string")

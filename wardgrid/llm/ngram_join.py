@@ -7,22 +7,24 @@ Search space.  One R-tree over all documents can't be distributed: every coordin
 nearly the same for unrelated texts of one length, so a query box touches most leaves.  The space is
 therefore first cut by exact sub-points: the hash range is divided into blocks, more of them than two
 linked sets can differ in, so linked sets agree in the content of some blocks.
-Their are join keys (one per three shingles or so); the classes that share keys, directly or
+Their contents are join keys (one per three shingles or so); the classes that share keys, directly or
 over others, form a family.  No link leaves a family.
 
-Inside a family (split into pairs of leaves of bounded size, so that a family of any size is spread over
-many tasks) the shingles of a class are hashed into groups and the group counts are a point.  Points are
-packed into boxes; the overlap of two boxes is bounded by the summed coordinate minima of their upper
-corners, then that of two points likewise, and pairs that survive are verified on the exact sets.
+Families are then cut by their count vectors: the shingles of a class are hashed into groups, about one for every
+four, and the group counts are a point.  Points of a family meet by bands of set size in which linked sets
+are at most one band apart, and bands in pairs of leaves of bounded size, so that a family of any size is
+spread over many tasks.  The points of a leaf are packed into boxes; the overlap of two boxes is bounded by the
+summed coordinate minima of their upper corners, then that of two points likewise.  Pairs that survive
+make smaller families, and only for these are exact sets sent and verified.  A point takes about a 30th of
+its set's bytes.
 
 Set sizes fall into classes with upper size u; a set publishes the keys of its own size class and of
-those in which a larger partner may lie.  Two sets of at most u shingles differ in at most
-d = 2u(100 - percent) / (100 + percent) shingles.  Blocks are taken in groups of three, and a key is the
-content of two blocks of a group: to spoil a group two of its blocks must differ, so with d / 2 + 1 + s groups
-linked sets agree in a key of s + 1 groups.  A set leaves out its smallest keys (all those up to some
-size, empty ones first) as long as they lie in no more than s groups: of the s + 1 keys that agree, one is
-then larger than what either set leaves out.  A key of two blocks holds about six shingles at 80 percent, where
-single blocks as exact would hold fewer than four.
+those in which a larger partner may lie.  A set of n shingles and one of at most u differ in at most
+d(n) = (n + u)(100 - percent) / (100 + percent) shingles.  Blocks are taken in groups of three, and a key is the
+content of two blocks of a group: to spoil a group two of its blocks must differ, so of d(u) / 2 + 1 + d(u) / 12 groups
+linked sets agree in a key of more than s = d(u) / 2 + d(u) / 12 - d(n) / 2 groups.  A set leaves out its smallest keys
+(all those up to some size, empty ones first) as long as they lie in no more than s groups: of the s + 1 keys or more
+that agree, one is then larger than what the set leaves out, and the largest is larger than what either leaves out.
 
 Shingles are compared by 64-bit hashes.  Defined results: NULL or empty text has the empty set and links
 with nothing; a text with fewer words than a shingle has one shingle; repeated rows and equal texts are in
@@ -46,8 +48,10 @@ from wardgrid.llm.components import components
 from wardgrid.session import forget_shuffles, staged, staging, staging_path
 
 LEAF_SHINGLES = 1_000_000  # shingles of a family that one side of a task holds, about
+LEAF_POINTS = 2_000_000  # the same where only points are held
 NODE = 16  # points in a box
-RATIO = 1.5  # between the upper sizes of neighbouring size classes
+BOX = 64  # points in a box of a leaf of points alone
+RATIO = 1.25  # between the upper sizes of neighbouring size classes
 
 
 def shingle_sets(texts: pa.Array, size: int) -> Iterator[np.ndarray]:
@@ -89,8 +93,8 @@ def block_keys(members: np.ndarray, percent: int) -> np.ndarray:
         number, upper = size_class(at)
         differ = 2 * upper * (100 - percent) // (100 + percent)
         if differ:  # else only equal sets link
-            spare = 1 + differ // 12
-            groups = differ // 2 + 1 + spare
+            groups = differ // 2 + 2 + differ // 12
+            spare = groups - 1 - (n + upper) * (100 - percent) // (100 + percent) // 2
             place = (((members >> np.uint64(32)) * np.uint64(3 * groups)) >> np.uint64(32)).astype(np.int64)
             first = np.flatnonzero(np.concatenate(([True], place[1:] != place[:-1])))
             content, sizes = np.zeros(3 * groups, np.uint64), np.zeros(3 * groups, np.int64)
@@ -99,7 +103,7 @@ def block_keys(members: np.ndarray, percent: int) -> np.ndarray:
                 sizes[place[first]] = np.diff(np.append(first, n))
                 one, two = content.reshape(-1, 3)[:, [0, 0, 1]], content.reshape(-1, 3)[:, [1, 2, 2]]
                 held = sizes.reshape(-1, 3)[:, [0, 0, 1]] + sizes.reshape(-1, 3)[:, [1, 2, 2]]
-                # All keys up to this size lie in ``spare`` groups at most.
+                # All keys up to this size lie in ``spare`` groups at most, and linked sets agree in a key of more.
                 small = int(np.sort(held.min(1))[spare]) - 1
                 which = np.arange(3 * groups, dtype=np.uint64).reshape(-1, 3)
                 names = one * textbytes.GRAM[15] + two * textbytes.GRAM[16] + which * textbytes.GRAM[13] + np.uint64(number) * textbytes.GRAM[14]
@@ -108,17 +112,25 @@ def block_keys(members: np.ndarray, percent: int) -> np.ndarray:
     return np.concatenate(keys) if keys else np.zeros(0, np.uint64)
 
 
-SETS = "doc_id bigint, tkey bigint, n bigint, cls bigint"
+SETS = "doc_id bigint, tkey bigint, n bigint, cls bigint, point binary"
+
+
+def point_of(members: np.ndarray) -> np.ndarray:
+    """The count vector of a set: a power of two of groups, at least one for every four members."""
+    groups = 16
+    while groups * 4 < len(members):
+        groups *= 2
+    return np.bincount((members & np.uint64(groups - 1)).astype(np.int64), minlength=groups)
 
 
 def named_sets(docs: DataFrame, size: int) -> DataFrame:
-    """(doc_id, tkey, n, cls) of every row: a hash of the text, the size of the set and its name."""
+    """(doc_id, tkey, n, cls, point) of every row: a hash of the text, the size of the set, its name and its count vector."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [(len(members), set_name(members)) for members in shingle_sets(batch.column(2), size)]
-            columns = [pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *columns], ["doc_id", "tkey", "n", "cls"])
+            found = [(len(members), set_name(members), packed(point_of(members))) for members in shingle_sets(batch.column(2), size)]
+            columns = [pa.array([f[k] for f in found], kind) for k, kind in enumerate((pa.int64(), pa.int64(), pa.binary()))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *columns], ["doc_id", "tkey", "n", "cls", "point"])
 
     return docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("tkey"), "text").mapInArrow(run, SETS)
 
@@ -157,6 +169,7 @@ def unpacked_sorted(data: bytes) -> np.ndarray:
     with np.errstate(over="ignore"):
         return np.cumsum(unpacked(data), dtype=np.uint64)
 
+
 SENT = "shard int, keys binary, names binary, places binary"
 
 
@@ -243,22 +256,128 @@ def families(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> Da
     return components(edges(docs, size, percent, shingles)).select(F.col("node").alias("cls"), F.col("root").alias("family"))
 
 
-def leaf_pairs(docs: DataFrame, classes: DataFrame, family: DataFrame, size: int, percent: int) -> DataFrame:
-    """Each class with its exact set, once for every pair of leaves that it belongs to.
+def banded_leaves(located: DataFrame, bound: int, always: bool) -> DataFrame:
+    """``located`` (cls, family, n and others) once for each size band it belongs to, with the leaves of the band and its own leaf.
+
+    A family of more than ``bound`` shingles (every family if ``always``) is cut into bands of set size in which
+    linked sets are at most one band apart; a class goes to its own and to the next band.  A band that is still
+    larger is cut into leaves.  Bands of one class are left out.
+    """
+    own = F.floor(F.log(F.col("n").cast("double")) / F.col("_step")).cast("int")
+    if always:
+        bands, whole = F.array(own, own + 1), located
+    else:
+        whole = located.join(located.groupBy("family").agg(F.sum("n").alias("_total")), "family")
+        bands = F.when(F.col("_total") <= bound, F.array(F.lit(-1))).otherwise(F.array(own, own + 1))
+    banded = whole.withColumn("band", F.explode(bands)).drop("_total", "_step")
+    leaves = banded.groupBy("family", "band").agg(F.ceil(F.sum("n") / bound).cast("int").alias("leaves"), F.count("*").alias("_classes"))
+    leaf = F.pmod(F.xxhash64("cls"), F.col("leaves")).cast("int")
+    return banded.join(leaves.where("_classes > 1").drop("_classes"), ["family", "band"]).withColumn("leaf", leaf)
+
+
+def with_partners(placed: DataFrame, *carried: str) -> DataFrame:
+    """Each class once for every pair of leaves that it belongs to; every such pair is a task of bounded size."""
+    other = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("leaves") - 1)))
+    return other.select("family", "band", F.least("leaf", "other").alias("left"), F.greatest("leaf", "other").alias("right"), "leaf", "cls", *carried)
+
+
+def step_of(percent: int) -> float:
+    """The width of a band of set size, as a logarithm."""
+    return math.log(100 / percent) * (1 + 1e-9)
+
+
+PAIR_KEYS = ["family", "band", "left", "right"]
+
+
+def finer(sets: DataFrame, family: DataFrame, percent: int) -> DataFrame:
+    """(cls, family) of the classes whose count vectors let them link with another class of their family."""
+    one = sets.where("n > 0").groupBy("cls").agg(F.first("n").alias("n"), F.first("point").alias("point"))
+    located = one.join(family, "cls").withColumn("_step", F.lit(step_of(percent)))
+    placed = with_partners(banded_leaves(located, LEAF_POINTS, True), "n", "point")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def result() -> pa.RecordBatch:
+            rows = sorted(held.values(), key=lambda h: h[0])
+            found = close_points([r[0] for r in rows], np.array([r[1] for r in rows]), np.array([r[2] for r in rows], np.int64), [r[3] for r in rows], percent)
+            return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], ["a", "b"])
 
-    A family of more than ``LEAF_SHINGLES`` is cut into bands of set size in which linked sets are at
-    most one band apart; a class goes to its own and to the next band.  A band that is still larger is
-    cut into leaves, and every pair of its leaves is a task of bounded size.
+        at, held = None, {}
+        for batch in batches:  # sorted by family and leaves
+            for *key, leaf, name, n, point in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                if key != at:
+                    if len(held) > 1:
+                        yield result()
+                    at, held = key, {}
+                held[name] = (name, leaf, n, point)
+        if len(held) > 1:
+            yield result()
+
+    found = placed.repartition(*PAIR_KEYS).sortWithinPartitions(*PAIR_KEYS).mapInArrow(run, "a bigint, b bigint")
+    return components(found).select(F.col("node").alias("cls"), F.col("root").alias("family"))
+
+
+class Leaf:
+    """Points of a leaf, packed into boxes.
+
+    A point is held as marks, one for each unit that a coordinate counts (count > 0, count > 1, ...).  The summed minima
+    of two points are then the marks they share: one matrix product for many pairs, exact in single precision.
     """
-    located = classes.join(family, "cls")
-    whole = located.groupBy("family").agg(F.sum("n").alias("total"))
-    own = F.floor(F.log(F.col("n").cast("double")) / (math.log(100 / percent) * (1 + 1e-9))).cast("int")
-    bands = F.when(F.col("total") <= LEAF_SHINGLES, F.array(F.lit(-1))).otherwise(F.array(own, own + 1))
-    banded = located.join(whole, "family").select("cls", "family", "_first", "n", F.explode(bands).alias("band"))
-    leaves = banded.groupBy("family", "band").agg(F.ceil(F.sum("n") / LEAF_SHINGLES).cast("int").alias("leaves"), F.count("*").alias("k"))
-    place = F.struct("band", "leaves", F.pmod(F.xxhash64("cls"), F.col("leaves")).cast("int").alias("leaf"))
+
+    def __init__(self, names: np.ndarray, sizes: np.ndarray, counts: np.ndarray, levels: int):
+        spread = np.argsort(-counts.var(0))[:3]
+        order = np.lexsort((*[counts[:, c] for c in spread[::-1]], sizes // 8))
+        self.names, self.sizes = names[order], sizes[order]
+        self.marks = (counts[order][:, :, None] > np.arange(levels)).reshape(len(order), -1).astype(np.float32)
+        self.first = np.arange(0, len(order), BOX)
+        self.upper = np.maximum.reduceat(self.marks, self.first, axis=0)
+        self.least = np.minimum.reduceat(self.sizes, self.first)
+
+    def near(self, other: Leaf, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Places (own, other) of pairs whose bounded overlap may suffice, box by box."""
+        bound = self.upper @ other.upper.T
+        fits = (100 + percent) * bound >= percent * (self.least[:, None] + other.least[None])
+        for box, start in enumerate(self.first.tolist()):
+            there = np.flatnonzero(fits[box])
+            if len(there):
+                # Boxes lie in order of size, so those that fit are near one another.
+                own, near = slice(start, start + BOX), slice(int(other.first[there[0]]), int(other.first[there[-1]]) + BOX)
+                overlap = self.marks[own] @ other.marks[near].T
+                i, j = np.nonzero((100 + percent) * overlap >= percent * (self.sizes[own, None] + other.sizes[None, near]))
+                yield i + start, j + near.start
+
+
+def close_points(names: list[int], leaves: np.ndarray, sizes: np.ndarray, points: list[bytes], percent: int) -> list[tuple[int, int]]:
+    """Pairs of classes whose points may link, as far as they connect classes that the pairs before don't; of two leaves, pairs between them."""
+    counts = [unpacked(p).astype(np.int64) for p in points]
+    groups = min(map(len, counts))
+    counts = np.stack([c.reshape(-1, groups).sum(0) for c in counts])
+    levels = int(counts.max())
+    sides = [np.flatnonzero(leaves == side) for side in np.unique(leaves)]
+    if len(sides) == 1:
+        sides = sides * 2
+    held = [Leaf(side, sizes[side], counts[side], levels) for side in sides]
+    group, out = np.arange(len(names)), []
+    for i, j in held[0].near(held[1], percent):
+        a, b = held[0].names[i], held[1].names[j]
+        while len(a):
+            new = group[a] != group[b]
+            a, b = a[new], b[new]
+            # One pair for every class on the left at a time; those that joined others fall out.
+            _, take = np.unique(group[a], return_index=True)
+            for k in take.tolist():
+                if group[a[k]] != group[b[k]]:
+                    out.append((names[a[k]], names[b[k]]))
+                    group[group == group[a[k]]] = group[b[k]]
+    return out
+
+
+def leaf_pairs(docs: DataFrame, classes: DataFrame, family: DataFrame, size: int, percent: int) -> DataFrame:
+    """Each class with its exact set, once for every pair of leaves that it belongs to."""
+    located = classes.join(family, "cls").select("cls", "family", "_first", "n").withColumn("_step", F.lit(step_of(percent)))
+    banded = banded_leaves(located, LEAF_SHINGLES, False)
+    place = F.struct("band", "leaves", "leaf")
     wanted = staged(
-        banded.join(leaves.where("k > 1"), ["family", "band"]).groupBy("cls", "family", "_first").agg(F.collect_list(place).alias("places")),
+        banded.groupBy("cls", "family", "_first").agg(F.collect_list(place).alias("places")),
         "wanted",
     ).hint("merge")  # grows with the documents: one plan at every size
     # Only the row that names a class carries its text on: by id and text, so that rows with a missing or repeated id don't multiply.
@@ -278,11 +397,7 @@ def leaf_pairs(docs: DataFrame, classes: DataFrame, family: DataFrame, size: int
 
     places = "array<struct<band: int, leaves: int, leaf: int>>"
     found = texts.select("text", "cls", "family", "places").mapInArrow(run, f"cls bigint, family bigint, places {places}, members binary")
-    placed = found.select("cls", "family", "members", F.inline("places"))
-    other = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("leaves") - 1)))
-    return other.select(
-        "family", "band", F.least("leaf", "other").alias("left"), F.greatest("leaf", "other").alias("right"), "leaf", "cls", "members"
-    )
+    return with_partners(found.select("cls", "family", "members", F.inline("places")), "members")
 
 
 class Points:
@@ -380,8 +495,7 @@ def links(parts: DataFrame, percent: int, spanning: bool = True) -> DataFrame:
         if held:
             yield result()
 
-    keys = ["family", "band", "left", "right"]
-    return parts.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "a bigint, b bigint")
+    return parts.repartition(*PAIR_KEYS).sortWithinPartitions(*PAIR_KEYS).mapInArrow(run, "a bigint, b bigint")
 
 
 def _write_names(docs: DataFrame, sets: DataFrame, size: int, percent: int, path: str):
@@ -390,6 +504,8 @@ def _write_names(docs: DataFrame, sets: DataFrame, size: int, percent: int, path
     classes = classes_of(sets)
     family = staged(families(docs, classes, size, percent), "families")
     forget_shuffles(spark)
+    family = staged(finer(sets, family, percent), "finer")
+    forget_shuffles(spark)
     found = staged(links(leaf_pairs(docs, classes, family, size, percent), percent), "links")
     forget_shuffles(spark)
     roots = staged(components(found), "roots").withColumnRenamed("node", "cls")
@@ -424,7 +540,7 @@ def link_classes(docs: DataFrame, size: int = 4, percent: int = 85) -> tuple[Dat
     """
     sets = staged(named_sets(docs, size), "sets")
     classes = classes_of(sets)
-    family = staged(families(docs, classes, size, percent), "families")
+    family = staged(finer(sets, staged(families(docs, classes, size, percent), "families"), percent), "finer")
     found = links(leaf_pairs(docs, classes, family, size, percent), percent, spanning=False)
     # A pair may meet in several bands.
     pairs = staged(found.select(F.least("a", "b").alias("class_a"), F.greatest("a", "b").alias("class_b")).distinct(), "links")
