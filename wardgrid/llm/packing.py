@@ -28,6 +28,7 @@ CAPACITY = 4096
 END_ID = 1
 CELL_ROWS = 1024  # pieces of a length that are ranked together, about
 CACHE_WORDS = 400_000  # words a task remembers the ids of
+BATCH_WORDS = 2_000  # words the tokenizer encodes at once; what it returns for a word takes about a kilobyte
 
 LETTER, SIGN = np.zeros(256, bool), np.zeros(256, bool)
 LETTER[97:123] = True
@@ -37,7 +38,7 @@ PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigin
 
 
 def word_tokenizer(path: str):
-    """Word bytes -> token ids, for a vocabulary whose tokens never span white space; and its added tokens, lower case."""
+    """Words -> bytes of their token ids, for a vocabulary whose tokens never span white space; and its added tokens, lower case."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
@@ -46,7 +47,13 @@ def word_tokenizer(path: str):
     added = sorted({t.content.lower().encode() for t in tokenizer.get_added_tokens_decoder().values()})
     if any(set(t) & set(textbytes.SPACE_BYTES) for t in added):
         raise ValueError("an added token of the vocabulary holds white space")
-    return (lambda words: [np.array(e.ids, np.uint32) for e in encode(words, add_special_tokens=False)]), added
+
+    def ids_of(words: list[str]) -> Iterator[bytes]:
+        for at in range(0, len(words), BATCH_WORDS):
+            for found in encode(words[at : at + BATCH_WORDS], add_special_tokens=False):
+                yield np.array(found.ids, np.uint32).tobytes()
+
+    return ids_of, added
 
 
 def lowered(data: np.ndarray, bounds: np.ndarray, added: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -83,7 +90,7 @@ def units(data: np.ndarray, bounds: np.ndarray, inside: np.ndarray) -> tuple[np.
     return starts, ends, np.searchsorted(starts, bounds)
 
 
-def token_ids(texts: pa.Array, encode, added: list[bytes], cache: dict[bytes, np.ndarray]) -> Iterator[np.ndarray]:
+def token_ids(texts: pa.Array, encode, added: list[bytes], cache: dict[bytes, bytes]) -> Iterator[np.ndarray]:
     """Ids of each text.  Every distinct word of a block is looked up once and encoded once per task."""
     for _, _, data, bounds in textbytes.blocks(texts):
         data, inside = lowered(data, bounds, added)  # the vocabulary is lower case
@@ -94,11 +101,11 @@ def token_ids(texts: pa.Array, encode, added: list[bytes], cache: dict[bytes, np
         if len(cache) > CACHE_WORDS:
             cache.clear()
         new = [w for w in distinct if w not in cache]
-        for w, ids in zip(new, encode([w.decode("utf-8") for w in new]) if new else [], strict=True):
+        for w, ids in zip(new, encode([w.decode("utf-8") for w in new]), strict=True):
             cache[w] = ids
         found = [cache[w] for w in distinct]
-        sizes = np.array([len(x) for x in found], np.int64)
-        flat = np.concatenate(found) if found else np.zeros(0, np.uint32)
+        sizes = np.array([len(x) // 4 for x in found], np.int64)
+        flat = np.frombuffer(b"".join(found), np.uint32)
         first = np.cumsum(sizes) - sizes
         lengths = sizes[which] if len(which) else np.zeros(0, np.int64)
         before = np.concatenate(([0], np.cumsum(lengths)))
