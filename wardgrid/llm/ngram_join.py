@@ -10,13 +10,13 @@ linked sets can differ in, so linked sets agree in the content of some blocks.
 Their contents are join keys (one per three shingles or so); the classes that share keys, directly or
 over others, form a family.  No link leaves a family.
 
-Families are then cut by their count vectors: the shingles of a class are hashed into groups, about one for every
+Families are then cut by their count vectors: the shingles of a class are hashed into groups, one for every two to
 four, and the group counts are a point.  Points of a family meet by bands of set size in which linked sets
 are at most one band apart, and bands in pairs of leaves of bounded size, so that a family of any size is
 spread over many tasks.  The points of a leaf are packed into boxes; the overlap of two boxes is bounded by the
 summed coordinate minima of their upper corners, then that of two points likewise.  Pairs that survive
-make smaller families, and only for these are exact sets sent and verified.  A point takes about a 30th of
-its set's bytes.
+make smaller families, and only for these are exact sets sent and verified.  A point takes a 16th to a 32nd of
+its set's bytes (more for fewer than 32 shingles).
 
 Set sizes fall into classes with upper size u; a set publishes the keys of its own size class and of
 those in which a larger partner may lie.  A set of n shingles and one of at most u differ in at most
