@@ -51,29 +51,30 @@ def prepared_rules(rules: DataFrame) -> DataFrame:
         F.length(rule).alias("_length"),
         F.length(host).alias("_host_length"),
         F.length(path).alias("_path_length"),
+        F.size(F.split(host, r"\.")).alias("_labels"),
         _digest(F.concat_ws("\n", host, path)).alias("_rule_digest"),
     ).withColumn("_prefix", F.substring("_rule_digest", 1, PREFIX_HEX))
 
 
 def expressions(urls: DataFrame, rules: DataFrame) -> DataFrame:
-    """One row per URL, host suffix and path prefix of a length that some rule has.
+    """One row per URL, host suffix of as many labels as some rule has, and path prefix of a length that some rule has.
 
-    ``urls`` has distinct ``_url``.  The rule lengths are one short array (no longer than the longest
-    rule path), read as a scalar subquery.
+    ``urls`` has distinct ``_url``.  The label counts and lengths of the rules are two short arrays (no longer than
+    the longest rule), read as scalar subqueries, so a host of any number of labels is cut only where a rule may fit.
     """
     lengths = rules.agg(F.array_sort(F.collect_set("_path_length")).alias("_lengths"))
-    labels = F.split("_host", r"\.")
+    counts = rules.agg(F.array_sort(F.collect_set("_labels")).alias("_counts"))
     suffixes = F.transform(
-        F.sequence(F.lit(1), F.size("_labels")),
-        lambda i: F.array_join(F.slice("_labels", i, F.size("_labels")), "."),
+        F.filter("_counts", lambda n: n <= F.size(F.split("_host", r"\."))),
+        lambda n: F.call_function("substring_index", F.col("_host"), F.lit("."), -n),
     )
     return (
         urls.withColumn("_host", host_of(F.col("_url")))
         .withColumn("_path", path_of(F.col("_url")))
         .where(F.length("_host") > 0)
-        .withColumn("_labels", labels)
         .withColumn("_path_size", F.length("_path"))
         .withColumn("_lengths", lengths.scalar())
+        .withColumn("_counts", counts.scalar())
         .select("_url", "_path", "_path_size", "_lengths", F.explode(suffixes).alias("_suffix"))
         .where(F.length("_suffix") > 0)
         .select(
