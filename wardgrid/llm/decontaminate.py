@@ -75,19 +75,20 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT) ->
     """(doc_id, text key, item_id, n_item_shingles, n_shared, containment) of every leaked item."""
     items = staged(item_sets(benchmark), "items")
     sketch = staged(sketches(items, percent), "sketches")
-    texts = docs.select(F.col("doc_id").alias("_doc"), F.col("text").alias("_text"))
+    # Candidates go back to their own text, not to all texts of an id: a third of all ids may be NULL or the same.
+    texts = docs.select(F.col("doc_id").alias("_doc"), F.col("text").alias("_text"), F.xxhash64("text").alias("_text_key"))
     found = (
-        texts.select("_doc", F.explode(shingle_hashes(F.col("_text"))).alias("_s"))
+        texts.select("_doc", "_text_key", F.explode(shingle_hashes(F.col("_text"))).alias("_s"))
         .join(sketch.withColumnRenamed("_h", "_s"), "_s")
-        .select("_doc", "_item", "_item_key")
+        .select("_doc", "_text_key", "_item", "_item_key")
         .distinct()
     )
-    pairs = staged(found, "candidates").withColumnsRenamed({"_doc": "_d", "_item": "_i", "_item_key": "_k"})
+    pairs = staged(found, "candidates").withColumnsRenamed({"_doc": "_d", "_text_key": "_t", "_item": "_i", "_item_key": "_k"})
     shared = F.size(F.array_intersect(shingle_texts(F.col("_text")), F.col("_item_shingles"))).cast("long")
     return (
-        texts.join(pairs, F.col("_doc").eqNullSafe(F.col("_d")))
+        texts.join(pairs, (F.col("_text_key") == F.col("_t")) & F.col("_doc").eqNullSafe(F.col("_d")))
         .join(items, null_safe([F.col("_i"), F.col("_k")], [F.col("_item"), F.col("_item_key")]))
-        .select("_doc", F.xxhash64("_text").alias("_text_key"), "_item", "_item_size", shared.alias("_shared"))
+        .select("_doc", "_text_key", "_item", "_item_size", shared.alias("_shared"))
         .where(100 * F.col("_shared") >= percent * F.col("_item_size"))
         .select(
             F.col("_doc").alias("doc_id"), F.col("_text_key").alias("text_key"), F.col("_item").alias("item_id"),
