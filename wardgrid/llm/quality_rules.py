@@ -178,6 +178,8 @@ def judge(measured: DataFrame, fences: DataFrame, lang: str = "lang", source: st
 def filter_quality(docs: DataFrame, reach: int = REACH, min_group: int = MIN_GROUP) -> DataFrame:
     """The rows of ``docs`` (text, lang, source and any others) that pass, with their columns unchanged."""
     plain, restored = shielded(docs, ("text", "lang", "source"))
-    # The fences are a small table: written once, its size decides how it is joined.
-    fences = staged(thresholds(measure(plain), reach=reach, min_group=min_group), "fences")
-    return restored(judge(measure(plain), fences).where("_kept"))
+    # Measuring is the dear part, so it is done once: rows are written with their measures, and read for sketches
+    # (narrow columns only) and verdicts.  The fences are a small table, whose size decides how it is joined.
+    measured = staged(measure(plain), "measured")
+    fences = staged(thresholds(measured, reach=reach, min_group=min_group), "fences")
+    return restored(judge(measured, fences).where("_kept"))
