@@ -4,7 +4,7 @@ Texts are tokenised and cut into pieces of at most ``capacity`` tokens.  Only th
 most ``capacity`` rows) reach the driver; best fit decreasing runs over these counts and gives, for each
 length, ranges of ranks with their sequences and offsets.  Pieces then take their slot by their rank
 among the pieces of their length.  A rank is the row number inside a hashed cell of the length plus the
-rows of the cells before it, so no length, however common, is ranked in one task.
+rows of the cells before it, so no length, however common, is ranked in one task, equal rows included.
 
 Defined results: NULL or empty text is one piece that holds the end token alone; repeated rows are packed
 as often as they occur; an empty table gives an empty result; columns other than the two named are ignored.
@@ -126,7 +126,8 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
                 ids = np.append(ids, np.uint32(end_id)).astype("<u4")
                 for piece, start in enumerate(range(0, len(ids), capacity)):
                     part = ids[start : start + capacity]
-                    for column, value in zip(rows, (doc, piece, start, len(part), zlib.crc32(part.tobytes()), part), strict=True):
+                    row = (doc, piece, start, len(part), zlib.crc32(part.tobytes()))
+                    for column, value in zip(rows, (*row, part) if with_ids else row, strict=False):
                         column.append(value)
             types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
             columns = [pa.array(v, t) for v, t in zip(rows, types, strict=False)]
@@ -184,13 +185,19 @@ def plan(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int, int
     return slots
 
 
-def assign(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """Pieces with ``sequence_id`` and ``offset``.  ``cut`` is read three times, so it should be a written table."""
+def assign(cut: DataFrame, capacity: int = CAPACITY, place: str | None = None) -> DataFrame:
+    """Pieces with ``sequence_id`` and ``offset``.  ``cut`` is read three times, so it should be a written table.
+
+    ``place`` names a column that differs between all rows; it is left out of the result.  Without it equal
+    rows share one cell, and all of them are ranked in one task.
+    """
     spark = cut.sparkSession
+    row = ["doc_id", "piece", "ids_crc32", *([place] if place else [])]
+    own = [c for c in cut.columns if c != place]
     counts = {r["length"]: r["n"] for r in cut.groupBy("length").agg(F.count("*").alias("n")).collect()}  # <= capacity rows
     slots = plan(counts, capacity)
     if not slots:
-        return cut.select("*", F.lit(0).cast("long").alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+        return cut.select(*own, F.lit(0).cast("long").alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     # Both tables are bounded by the capacity, not by the documents: a length opens or closes few groups.
     table = spark.createDataFrame(slots, "length bigint, rank bigint, n bigint, sequence bigint, at bigint")
     per_length = table.groupBy("length").agg(
@@ -198,13 +205,13 @@ def assign(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     )
     cells = F.ceil(F.col("_total") / CELL_ROWS)
     placed = cut.join(F.broadcast(per_length.select("length", cells.alias("_cells"))), "length").withColumn(
-        "_cell", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.col("_cells"))
+        "_cell", F.pmod(F.xxhash64(*row), F.col("_cells"))
     )
     order = Window.partitionBy("length").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
     before = placed.groupBy("length", "_cell").agg(F.count("*").alias("_n")).select(
         "length", "_cell", F.coalesce(F.sum("_n").over(order), F.lit(0)).alias("_before")
     )
-    inside = Window.partitionBy("length", "_cell").orderBy("doc_id", "piece", "ids_crc32")
+    inside = Window.partitionBy("length", "_cell").orderBy(*row)
     ranked = placed.withColumn("_row", F.row_number().over(inside) - 1).join(before, ["length", "_cell"])
     found = (
         ranked.join(F.broadcast(per_length.select("length", "_slots")), "length")
@@ -212,7 +219,7 @@ def assign(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         .withColumn("_slot", F.filter("_slots", lambda s: (s["rank"] <= F.col("_rank")) & (F.col("_rank") < s["rank"] + s["n"]))[0])
     )
     return found.select(
-        *cut.columns,
+        *own,
         (F.col("_slot.sequence") + F.col("_rank") - F.col("_slot.rank")).alias("sequence_id"),
         F.col("_slot.at").alias("offset"),
     )
@@ -220,7 +227,8 @@ def assign(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
     """Pieces of all ``docs`` with their sequence and offset; ``with_ids`` adds the token ids."""
-    return assign(staged(pieces(docs, tokenizer, capacity, end_id, with_ids), "pieces"), capacity)
+    cut = pieces(docs, tokenizer, capacity, end_id, with_ids).withColumn("_place", F.monotonically_increasing_id())
+    return assign(staged(cut, "pieces"), capacity, "_place")  # written, so a row keeps its place
 
 
 def sequences(packed: DataFrame) -> DataFrame:
