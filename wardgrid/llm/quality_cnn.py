@@ -211,8 +211,8 @@ def _gradients(net: Network, layouts: list[np.ndarray], target: np.ndarray) -> l
     seen = net.embedding[window].reshape(*position.shape, WIDTH * EMBED)
     d_filters = np.einsum("cf,cfk->kf", d_chunks, seen)
     d_seen = d_chunks[..., None] * net.filters.T[None]
-    d_embedding = np.zeros_like(net.embedding)
-    np.add.at(d_embedding, window.ravel(), d_seen.reshape(-1, EMBED))
+    byte, d_byte = window.ravel(), d_seen.reshape(-1, EMBED)
+    d_embedding = np.stack([np.bincount(byte, d_byte[:, k], PAD + 1) for k in range(EMBED)], 1)
     d_embedding[PAD] = 0
     return [d_embedding, d_filters, d_chunks.sum(0), d_weights, np.array([error.sum()])]
 
