@@ -161,3 +161,10 @@ def test_penalised_leaves_equal_a_plain_computation(spark, monkeypatch):
     scored = {r.id: r for r in penalised.score_penalised(trees, df).collect()}
     assert all(scored[i].predicted_log == pytest.approx(f[i]) and scored[i].predicted == pytest.approx(np.expm1(f[i])) for i in range(len(y)))
     assert np.abs(y - f).mean() < np.abs(y - y.mean()).mean()
+
+
+def test_intervals_hash_ids_and_find_quantiles_once(spark):
+    df = spark.createDataFrame([(k, k * 1.5, float(k % 40)) for k in range(400)], "id int, actual double, predicted double")
+    out = prediction_intervals.quantile_intervals(df, "id", "actual", "predicted")
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert out.count() == 400 and "md5" not in plan and "_coarse" not in plan

@@ -143,3 +143,12 @@ def test_repeated_ids_raise_where_they_break_the_sizes(spark):
             assert "ids repeat" in str(error)
             clean += 1
     assert clean == 4
+
+
+@pytest.mark.parametrize("label", [None, "y"])
+def test_folds_hash_an_id_once_for_all_cuts(spark, label):
+    df = spark.range(200).selectExpr("id", "id % 2 as y")
+    out = S.folds(df, "id", label, k=5)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in plan.splitlines()[0]
+    assert sorted(r["count"] for r in out.groupBy("fold").count().collect()) == [40] * 5

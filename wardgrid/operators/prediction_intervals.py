@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from wardgrid.operators.quantiles import exact_quantiles
 from wardgrid.operators.splits import folds
+from wardgrid.session import staged
 
 LEVELS = {"p10": 0.1, "p50": 0.5, "p90": 0.9}
 
@@ -29,11 +30,16 @@ def interval_table(
     """(``by``, bin, n, edges, one column of residual quantiles per level), for at most ``groups`` values of ``by``."""
     known = rows.where(F.col(actual).isNotNull() & F.col(predicted).isNotNull())
     cuts = exact_quantiles(known, predicted, {f"_e{k}": k / bins for k in range(1, bins)}, [by], groups)
-    edges = cuts.select(by, F.array(*[f"_e{k}" for k in range(1, bins)]).alias("edges"))
-    binned = known.join(F.broadcast(edges), by).select(
-        by, "edges", _bin(F.col("edges"), F.col(predicted)).alias("bin"), (F.col(actual) - F.col(predicted)).alias("_residual")
+    edges = staged(cuts.select(by, F.array(*[f"_e{k}" for k in range(1, bins)]).alias("edges")), "edges")
+    # Written once, three numbers a row: the quantiles below read them three times.
+    binned = staged(
+        known.join(F.broadcast(edges), by).select(
+            by, _bin(F.col("edges"), F.col(predicted)).alias("bin"), (F.col(actual) - F.col(predicted)).alias("_residual")
+        ),
+        "binned",
     )
-    quantiles = exact_quantiles(binned, "_residual", levels, [by, "bin"], groups * bins, [F.count(F.lit(1)).alias("n"), F.first("edges").alias("edges")])
+    quantiles = exact_quantiles(binned, "_residual", levels, [by, "bin"], groups * bins, [F.count(F.lit(1)).alias("n")])
+    quantiles = quantiles.join(F.broadcast(edges), by)
     return quantiles.select(by, "bin", "n", "edges", *levels)
 
 
@@ -54,10 +60,11 @@ def quantile_intervals(
     levels: Mapping[str, float] = LEVELS,
 ) -> DataFrame:
     """``preds`` with ``fold``, ``bin`` and the predicted quantiles, calibrated on the other ``k - 1`` folds."""
-    marked = folds(preds, id_col, None, k, seed)
+    # Written once: a fold costs a hash of the id, and the calibration reads the rows several times.
+    marked = staged(folds(preds, id_col, None, k, seed), "marked")
     others = F.explode(F.filter(F.array(*map(F.lit, range(k))), lambda f: f != F.col("fold"))).alias("_for")
     calibration = marked.select(F.col(actual), F.col(predicted), others)
-    table = interval_table(calibration, actual, predicted, "_for", k, bins, levels).withColumnRenamed("_for", "fold")
+    table = staged(interval_table(calibration, actual, predicted, "_for", k, bins, levels).withColumnRenamed("_for", "fold"), "intervals")
     return apply_intervals(marked, table, predicted, "fold", levels)
 
 
