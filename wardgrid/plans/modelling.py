@@ -84,7 +84,7 @@ def mortality_study(
         )
         if k:
             cv = models.cv_summary(
-                models.cv_classification(data, fit, features, label, id_col, k), "auroc"
+                models.cv_classification(data, fit, features, label, id_col, k=k), "auroc"
             )
             row = row.withColumn("_cv", cv.select(F.struct("*").alias("_cv")).scalar()).select(
                 "*", "_cv.*"
@@ -132,7 +132,7 @@ def stay_study(
         out["models"][name] = model
         out["importance"][name] = models.feature_importance(model, features)
         if k:
-            folds = staged(models.cv_regression(data, fit, features, target, id_col, k), "cv")
+            folds = staged(models.cv_regression(data, fit, features, target, id_col, k=k), "cv")
             cv_rows[name] = folds.agg(
                 F.avg("mae_log").alias("cv_mae_log"),
                 F.stddev_pop("mae_log").alias("cv_mae_log_sd"),
