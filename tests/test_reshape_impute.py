@@ -60,3 +60,19 @@ def test_single_statistic(spark, stat):
     df = spark.createDataFrame([(1, 10, 1.0), (1, 10, 2.0)], EVENTS)
     want = {"min": 1.0, "max": 2.0, "mean": 1.5}[stat]
     assert rows(R.pivot_stats_wide(df, "h", "item", "v", {10: "a"}, [stat])) == [(1, want)]
+
+
+def test_medians_of_odd_columns(spark):
+    odd = [None, float("nan"), float("inf"), float("-inf"), 0.0, -0.0, -7.5, 1e-300, 3.0]
+    values = [(x, None, 4.0, -x if x else x, k) for k, x in enumerate(odd)] + [(None, None, 4.0, None, None)]
+    df = spark.createDataFrame(values, "a double, `b.c` double, d double, e double, f int")
+    # The order is -inf, -7.5, 0, 0, 1e-300, 3, inf.
+    assert tuple(I.column_medians(df, df.columns).first()) == (0.0, None, 4.0, 0.0, 4.0)
+
+
+def test_second_pass_over_the_columns_drops_values_far_from_the_median(spark):
+    df = spark.range(1001).selectExpr("id + 0.0D as a", "-id * 1.0D as b")
+    medians = I.column_medians(df, ["a", "b"])
+    assert tuple(medians.first()) == (500.0, -500.0)
+    plan = medians._jdf.queryExecution().optimizedPlan().toString()
+    assert "Expand" not in plan and "500.0" in plan
