@@ -168,3 +168,18 @@ def test_intervals_hash_ids_and_find_quantiles_once(spark):
     out = prediction_intervals.quantile_intervals(df, "id", "actual", "predicted")
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert out.count() == 400 and "md5" not in plan and "_coarse" not in plan
+
+
+def test_logistic_fit_assembles_the_vectors_once(spark, monkeypatch):
+    df, *_ = study(spark)
+    written = []
+
+    def staged(rows, name):
+        written.append((name, rows.columns))
+        return models_staged(rows, name)
+
+    models_staged = models.staged
+    monkeypatch.setattr(models, "staged", staged)
+    model = models.fit_logistic(df, ["a", "b", "c"], "y")
+    assert written == [("assembled", ["_features", "y", "_weight"])]
+    assert [type(s).__name__ for s in model.stages] == ["VectorAssembler", "StandardScalerModel", "LogisticRegressionModel"]
