@@ -6,6 +6,7 @@ from test_clusters_intervals import study
 from __spark_entry__ import queries
 from driver_queries import modelling
 from wardgrid.operators import models
+from wardgrid.session import staged
 
 
 class Stopped(Exception):
@@ -27,3 +28,25 @@ def test_boosted_regression_takes_all_rounds(spark, monkeypatch, name):
     with pytest.raises(Stopped):
         queries()[name](spark, "").count()
     assert seen and {rounds for rounds, _ in seen} == {300}
+
+
+def test_regression_study_writes_the_marked_matrix_once(spark, monkeypatch):
+    rows = [(i, i % 7, "2024-01-01", int(i % 3 == 0), float(i % 11), float(i) if i % 4 else None) for i in range(200)]
+    matrix = spark.createDataFrame(rows, "hadm_id long, subject_id long, admittime string, flag int, age double, lab1_min double")
+    # An order without a target, one with two, and a target without an order.
+    target = spark.createDataFrame([(i, i / 10.0) for i in [*range(1, 200), 5, 777]], "hadm_id long, los double")
+    monkeypatch.setattr(modelling, "order_matrix", lambda *_: matrix)
+    monkeypatch.setattr(modelling, "_target", lambda *_: target)
+    study, _ = modelling._study(spark, "")
+    wanted = study.join(target, "hadm_id")
+    written = []
+
+    def counted(df, name):
+        written.append(name)
+        return staged(df, name)
+
+    monkeypatch.setattr(modelling, "staged", counted)
+    found, features = modelling._regression_study(spark, "")
+    assert written == ["matrix", "regression"]
+    assert features == ["age", "lab1_min"] and found.columns == wanted.columns
+    assert found.count() == 200 and sorted(found.collect()) == sorted(wanted.collect())
