@@ -1,5 +1,7 @@
 """The registered model queries fit with the published configuration."""
 
+import threading
+
 import pytest
 from test_clusters_intervals import study
 
@@ -50,3 +52,55 @@ def test_regression_study_writes_the_marked_matrix_once(spark, monkeypatch):
     assert written == ["matrix", "regression"]
     assert features == ["age", "lab1_min"] and found.columns == wanted.columns
     assert found.count() == 200 and sorted(found.collect()) == sorted(wanted.collect())
+
+
+@pytest.mark.parametrize("classes", [False, True])
+def test_folds_run_side_by_side_as_far_as_memory_keeps_their_rows(spark, monkeypatch, classes):
+    df, *_ = study(spark, 90)
+    lock = threading.Lock()
+    running, most = 0, 0
+    met = threading.Event()
+    plain = models.fit_share if classes else models.fit_log_mean
+
+    def fit(train, features, label):
+        nonlocal running, most
+        with lock:
+            running, most = running + 1, max(most, running + 1)
+            if running > 1:
+                met.set()
+        met.wait(2)  # so fits that may run side by side do
+        model = plain(train, features, label)
+        with lock:
+            running -= 1
+        return model
+
+    def scores(rows_kept):
+        nonlocal most
+        most = 0
+        met.clear()
+        # Sixty training rows a fold, three features; half of the memory is taken.
+        monkeypatch.setattr(models, "storage_memory", lambda _: 2 * rows_kept * (180 + 4 * 3), raising=False)
+        run, label = (models.cv_classification, "y") if classes else (models.cv_regression, "t")
+        out = [tuple(r) for r in run(df, fit, ["a", "b", "c"], label, "id", k=3).orderBy("fold").collect()]
+        return out, most
+
+    one, alone = scores(100)
+    two, pair = scores(120)
+    none, fewest = scores(0)
+    assert (alone, pair, fewest) == (1, 2, 1)
+    assert one == two == none and len(one) == 3
+
+
+def test_a_forest_counts_its_trees(spark, monkeypatch):
+    df, *_ = study(spark, 60)
+    monkeypatch.setattr(models, "storage_memory", lambda _: 2 * 5 * 40 * (180 + 4 * 3), raising=False)
+    boosted, forest = {"m": models.fit_gbt_classifier}, {"m": models.fit_gbt_classifier, "f": models.fit_random_forest}
+    assert models._fitting(df, boosted, ["a", "b", "c"], 3, 10) == 5
+    assert models._fitting(df, forest, ["a", "b", "c"], 3, 10) == 1
+    assert models._fitting(df, boosted, ["a", "b", "c"], 3, 2) == 2
+
+
+def test_storage_memory_is_known(spark):
+    from wardgrid.session import storage_memory
+
+    assert 2**30 < storage_memory(spark) < 8 * 2**30
