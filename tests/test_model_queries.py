@@ -1,6 +1,7 @@
 """The registered model queries fit with the published configuration."""
 
 import threading
+import time
 
 import pytest
 from test_clusters_intervals import study
@@ -100,6 +101,42 @@ def test_a_forest_counts_its_trees(spark, monkeypatch):
     assert models._fitting(df, boosted, ["a", "b", "c"], 3, 2) == 2
 
 
+def test_light_fits_run_side_by_side_beside_a_heavy_model(spark, monkeypatch):
+    df, *_ = study(spark, 60)
+    lock, running, beside = threading.Lock(), [], []
+
+    def fit_as(kind):
+        def fit(train, features, label):
+            with lock:
+                running.append(kind)
+                beside.append(sorted(running))
+            time.sleep(1)
+            model = models.fit_share(train, features, label)
+            with lock:
+                running.remove(kind)
+            return model
+
+        return fit
+
+    light, heavy = fit_as("light"), fit_as("heavy")
+    monkeypatch.setattr(models, "fit_random_forest", heavy)
+    # Memory for one forest of 200 trees, or five light fits: 40 training rows a fold, three features.
+    monkeypatch.setattr(models, "storage_memory", lambda _: 2 * 40 * (180 + 4 * 203))
+    out = models.cv_classifiers(df, {"a": light, "b": heavy, "c": light}, ["a", "b", "c"], "y", "id", k=3)
+    assert ["heavy"] in beside and not any("heavy" in x and len(x) > 1 for x in beside)
+    assert 1 < max(len(x) for x in beside) <= 5
+    assert [(r.model, r.fold) for r in out.collect()] == [(m, f) for m in "abc" for f in range(3)]
+
+
+def test_a_failing_fit_is_told(spark):
+    def fails(train, features, label):
+        raise Stopped
+
+    df, *_ = study(spark, 60)
+    with pytest.raises(Stopped):
+        models.cv_regressors(df, {"a": fails, "b": models.fit_log_mean}, ["a"], "t", "id", k=3)
+
+
 def test_storage_memory_is_known(spark):
     from wardgrid.session import storage_memory
 
