@@ -33,6 +33,35 @@ def test_boosted_regression_takes_all_rounds(spark, monkeypatch, name):
     assert seen and {rounds for rounds, _ in seen} == {300}
 
 
+def test_cross_validated_regressors_fit_every_model_fold_and_row(spark, monkeypatch):
+    df, *_ = study(spark, 60)
+    data = df.selectExpr("id as hadm_id", "a", "b", "t as los", "int(id % 5 = 0) as is_test")
+    asked, trained, tested = [], [], []
+    boosted, score = models.GBTRegressor, models.score_regressor
+
+    def regressor(**params):
+        asked.append((params["maxIter"], params["minInstancesPerNode"]))
+        return boosted(**{**params, "maxIter": 1})
+
+    def scored(model, rows):
+        tested.append(rows.count())
+        return score(model, rows)
+
+    for name, fit in list(modelling.REGRESSORS.items()):
+        monkeypatch.setitem(
+            modelling.REGRESSORS, name, lambda train, *rest, name=name, fit=fit: trained.append((name, train.count())) or fit(train, *rest)
+        )
+    monkeypatch.setattr(modelling, "_regression_study", lambda *_: (data, ["a", "b"]))
+    monkeypatch.setattr(models, "GBTRegressor", regressor)
+    monkeypatch.setattr(models, "score_regressor", scored)
+    out = queries()["cv_regression_models"](spark, "").collect()
+    assert sorted((r.model, r.fold) for r in out) == [(m, f) for m in ("gbt", "gbt_alt") for f in range(5)]
+    assert all(r.mae > 0 and r.mae_log > 0 for r in out)
+    # 300 rounds for all ten; rows marked as tested take part, and every row is held out once per model.
+    assert sorted(asked) == [(300, 3)] * 5 + [(300, 5)] * 5
+    assert sorted(trained) == [("gbt", 48)] * 5 + [("gbt_alt", 48)] * 5 and tested == [12] * 10
+
+
 def test_regression_study_writes_the_marked_matrix_once(spark, monkeypatch):
     rows = [(i, i % 7, "2024-01-01", int(i % 3 == 0), float(i % 11), float(i) if i % 4 else None) for i in range(200)]
     matrix = spark.createDataFrame(rows, "hadm_id long, subject_id long, admittime string, flag int, age double, lab1_min double")
