@@ -25,7 +25,10 @@ def first_row_per_key(df: DataFrame, key: str | list[str], order: Iterable[str])
     place = [F.struct(F.col(c).isNull().alias("missing"), F.col(c).alias("value")) for c in order]
     tie = F.xxhash64(*[f"`{c}`" for c in rest]) if rest else F.lit(0).cast("long")
     first = F.min_by(F.struct(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(df.columns)]), F.struct(*place, tie))
-    kept = df.na.drop(subset=keys).groupBy(*keys).agg(first.alias("_first"))
+    # Of itself min_by of rows sorts all rows of a task by key.  Beside an aggregate that Spark keeps as an object, here an always
+    # empty set, a task hashes its rows and sorts only what comes once it has met many keys.
+    nothing = F.collect_set(F.lit(None).cast("int")).alias("_nothing")
+    kept = df.na.drop(subset=keys).groupBy(*keys).agg(first.alias("_first"), nothing).where(F.size("_nothing") == 0)
     return kept.select(*[F.col(f"_first.c{k}").alias(c) for k, c in enumerate(df.columns)])
 
 
